@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .operators import associate
+from .functions import text
+from .operators import associate, dims, merge, quality
 from .plans import reports, views
 
 QUERIES = {}
@@ -228,3 +229,380 @@ def sky_parent(spark, folder):
         "id", "concat('M', metar_fk * 2) as external_id", "sky_cover", "condition_order"
     )
     return associate.sky_rows_with_parent(layers, fx.metar(spark, folder), "metar_fk")
+
+
+# ---- merges ------------------------------------------------------------------
+
+def _offers(spark, folder):
+    """Reports offered in two batches; the second repeats and changes some."""
+    return fx.metar(spark, folder).selectExpr(
+        "id", "explode(sequence(1, cast(1 + id % 2 as int))) as batch", "station_id", "wx_string"
+    ).selectExpr("id", "batch", "station_id", "concat_ws('/', wx_string, batch) as wx_string")
+
+
+def _stored(spark, folder):
+    return _offers(spark, folder).filter("batch = 1 and id % 3 = 0").selectExpr(
+        "id", "0 as batch", "station_id", "'kept' as wx_string"
+    )
+
+
+@query
+def insert_ignore(spark, folder):
+    return merge.insert_ignore(_stored(spark, folder), _offers(spark, folder), ["id"], ["batch"])
+
+
+@query
+def insert_counts(spark, folder):
+    return merge.insert_counts(_stored(spark, folder), _offers(spark, folder), ["id"], ["batch"], "batch")
+
+
+@query
+def insert_with_children(spark, folder):
+    _, layers = merge.insert_with_children(
+        _stored(spark, folder), _offers(spark, folder), ["id"], ["batch"],
+        fx.sky_condition(spark, folder).filter("metar_fk is not null"), "metar_fk", "id",
+    )
+    return layers.select("id", "metar_fk", "sky_cover", "condition_order")
+
+
+@query
+def upsert_counters(spark, folder):
+    target = fx.table(spark, folder, "orders").selectExpr(
+        "cast(o_orderkey * 2 as string) as doc_id", "o_orderstatus as status", "'s1' as collection_session_id",
+        "o_orderkey % 3 > 0 as is_updated", "o_orderkey % 3 as update_count",
+        "cast(null as timestamp_ntz) as last_updated_at",
+        "cast(null as string) as previous_collection_session_id",
+        "case when o_orderkey % 4 = 0 then concat('M', o_orderkey) end as metar_id",
+    )
+    source = fx.table(spark, folder, "lineitem").selectExpr(
+        "cast(l_orderkey as string) as doc_id", "l_returnflag as status", "'s2' as collection_session_id",
+        "cast(null as string) as metar_id",
+        "l_linenumber", "l_partkey", "l_suppkey",
+    )
+    merged = merge.replace_upsert(
+        target, source, "doc_id", ["l_linenumber", "l_partkey", "l_suppkey", "status"],
+        F.expr("timestamp_ntz'2024-02-01 00:00:00'"), keep=("metar_id",),
+    )
+    return merged
+
+
+def _revisions(spark, folder):
+    """Late records of landed flights in two revisions."""
+    return fx.flights(spark, folder).filter("status = 'LANDED'").selectExpr(
+        "flight_number", "from_airport", "to_airport", "departure_scheduled_utc",
+        "explode(array(1, 2)) as revision", "row_key",
+        "departure_actual_utc as departure_final_utc",
+        "arrival_scheduled_utc as planned", "delay_min as delay",
+    ).selectExpr(
+        "flight_number", "from_airport", "to_airport", "departure_scheduled_utc", "revision", "row_key",
+        "departure_final_utc", "planned + interval '1' minute * (delay + revision) as arrival_actual_utc",
+        "concat('FINAL', revision) as status_final", "delay + revision as delay_min",
+    )
+
+
+@query
+def late_actuals(spark, folder):
+    flights = fx.flights(spark, folder).select(
+        "row_key", *merge.FLIGHT_KEY, "arrival_actual_utc", "status_final", "delay_min"
+    )
+    return merge.late_actuals(flights, _revisions(spark, folder), ["revision", "row_key"]).select(
+        "row_key", "departure_final_utc", "arrival_actual_utc", "status_final", "delay_min"
+    )
+
+
+@query
+def prediction_writeback(spark, folder):
+    flights = fx.flights(spark, folder).select("row_key", "delay_prob", "delay_risk_level")
+    predictions = fx.flights(spark, folder).filter("delay_min is not null").selectExpr(
+        "row_key", "case when delay_min <> 0 then abs(delay_min) / 50.0D end as delay_probability",
+        "case when delay_min > 20 then 'high' when delay_min > 5 then 'medium' end as risk_level",
+    )
+    return merge.write_back_predictions(flights, predictions, "row_key")
+
+
+@query
+def incremental_dim(spark, folder):
+    parts = fx.table(spark, folder, "part")
+    old = parts.filter("p_partkey % 5 <> 0").selectExpr("p_partkey as id", "p_name as name", "p_size as size")
+    new = parts.filter("p_partkey % 3 = 0").selectExpr(
+        "p_partkey as id", "upper(p_name) as name", "p_size + 100 as size"
+    )
+    return merge.upsert(old, new, ["id"])
+
+
+@query
+def upsert_latest(spark, folder):
+    target = fx.table(spark, folder, "customer").selectExpr(
+        "c_custkey as id", "c_mktsegment as segment", "c_acctbal as amount"
+    )
+    source = fx.table(spark, folder, "orders").filter("o_custkey % 2 = 0").selectExpr(
+        "o_custkey as id", "o_orderpriority as segment", "o_totalprice as amount", "o_orderkey as seq"
+    )
+    latest = merge.last_per_key(source, ["id"], ["seq"]).drop("seq")
+    return merge.upsert(target, latest, ["id"])
+
+
+@query
+def set_links(spark, folder):
+    flights = fx.flights(spark, folder).selectExpr(
+        "row_key", "case when departure_metar_fk % 2 = 0 then 'old' end as metar_id"
+    )
+    links = fx.flights(spark, folder).filter("arrival_taf_fk % 3 = 0").selectExpr(
+        "row_key", "concat('M', departure_metar_fk) as metar_id"
+    )
+    return merge.set_links(flights, links, "row_key", ["metar_id"])
+
+
+@query
+def cascade_delete(spark, folder):
+    alive = fx.metar(spark, folder).filter("wx_string is not null").select("id")
+    return merge.cascade_delete(fx.sky_condition(spark, folder), "metar_fk", alive).select(
+        "id", "metar_fk", "taf_fk", "sky_cover"
+    )
+
+
+# ---- dimensions --------------------------------------------------------------
+
+def _carriers(spark, folder):
+    """Customers seen as airlines; two-letter codes repeat."""
+    return fx.table(spark, folder, "customer").selectExpr(
+        "c_custkey as id",
+        "concat(lower(c_mktsegment), ' air ', c_custkey % 13) as name",
+        "case when c_custkey % 11 = 0 then null else concat(chr(cast(65 + c_custkey % 23 as int)),"
+        " cast((c_custkey * 7) % 10 as string)) end as iata",
+        "case when c_custkey % 4 = 0 then null else lpad(cast(c_custkey % 389 as string), 3, 'I') end as icao",
+        "concat('NATION_', c_nationkey) as country_name",
+        "case c_custkey % 3 when 0 then 'N' when 1 then 'Y' else 'y' end as active",
+    )
+
+
+def _nations(spark, folder):
+    return fx.table(spark, folder, "nation").selectExpr(
+        "n_nationkey as id", "concat('N', n_nationkey) as code", "n_name as country_name"
+    )
+
+
+def _brands(spark, folder):
+    return fx.table(spark, folder, "supplier").selectExpr(
+        "concat('Machinery AIR ', s_suppkey % 13) as Brand", "s_suppkey"
+    ).groupBy("Brand").agg(F.min("s_suppkey").cast("double").alias("average_age"))
+
+
+@query
+def airline_dim(spark, folder):
+    return dims.dim_airlines(_carriers(spark, folder), _nations(spark, folder), _brands(spark, folder))
+
+
+@query
+def active_flag(spark, folder):
+    carriers = _carriers(spark, folder)
+    previous = carriers.filter("id % 5 <> 0").selectExpr(
+        "id", "case id % 4 when 0 then 'Y' when 1 then 'N' when 2 then 'Y' end as active"
+    )
+    return dims.active_flag(carriers.select("id", "name", "active"), previous)
+
+
+@query
+def active_dups(spark, folder):
+    return dims.active_duplicates(_carriers(spark, folder))
+
+
+def _authority(spark, folder):
+    return fx.table(spark, folder, "supplier").selectExpr(
+        "concat(chr(cast(65 + s_suppkey % 23 as int)), cast((s_suppkey * 7) % 10 as string)) as iata",
+        "lpad(cast((s_suppkey * 3) % 389 as string), 3, 'i') as icao",
+        "concat('Machinery Air ', s_suppkey % 13) as name",
+    )
+
+
+@query
+def authority_exact(spark, folder):
+    return dims.exact_authority_match(_carriers(spark, folder), _authority(spark, folder))
+
+
+@query
+def authority_match(spark, folder):
+    return dims.authority_match(_carriers(spark, folder), _authority(spark, folder))
+
+
+@query
+def clear_active_dups(spark, folder):
+    return dims.clear_active_duplicates(_carriers(spark, folder), _authority(spark, folder))
+
+
+@query
+def one_row_per_iata(spark, folder):
+    return dims.one_row_per_iata(_carriers(spark, folder), _authority(spark, folder))
+
+
+def _own_airports(spark, folder):
+    return fx.table(spark, folder, "part").selectExpr(
+        "p_partkey as id", "concat('ID', p_partkey) as ident", "lower(p_type) as type", "p_name as name",
+        "p_retailprice as latitude_deg", "-p_retailprice as longitude_deg", "p_brand as iso_country",
+        "'EU' as continent", "p_type as iso_region",
+        "case when p_partkey % 3 = 0 then null else concat('IC', p_partkey) end as icao_code",
+        "case when p_partkey % 4 < 2 then null else concat('IA', p_partkey) end as iata_code",
+        "cast(null as string) as gps_code", "cast(null as string) as local_code", "p_name as municipality",
+    )
+
+
+def _other_airports(spark, folder):
+    return fx.table(spark, folder, "customer").selectExpr(
+        "case when c_custkey % 3 = 0 then null else concat('IA', c_custkey) end as iata_code",
+        "concat('IC', c_custkey) as icao_code",
+        "case when c_custkey % 7 <> 0 then c_name end as city",
+        r"case when c_custkey % 5 = 0 then '\\N' else 'Europe/Paris' end as timezone",
+        r"case when c_custkey % 2 = 0 then '\\N' else '1' end as gmt_offset",
+    )
+
+
+@query
+def airport_dim(spark, folder):
+    return dims.dim_airports(_own_airports(spark, folder), _other_airports(spark, folder))
+
+
+@query
+def distinct_airports(spark, folder):
+    return dims.airport_iata_ids(
+        dims.dim_airports(_own_airports(spark, folder), _other_airports(spark, folder))
+    )
+
+
+def _routes(spark, folder):
+    return fx.flights(spark, folder).selectExpr(
+        r"case when delay_min = 7 then '\\N' else airline_code end as airline_iata",
+        "from_airport as source_airport_iata",
+        r"case when delay_min = 8 then '\\N' when delay_min = 9 then 'AP99' else to_airport end as dest_airport_iata",
+        r"case when status = 'LANDED' then '\\N' else 'Y' end as shared",
+        "0 as stops", "flight_number as equipments",
+    )
+
+
+def _route_airlines(spark, folder):
+    return fx.airlines(spark, folder).selectExpr("iata", "cast(substr(iata, 2) as bigint) as id")
+
+
+@query
+def route_dim(spark, folder):
+    return dims.dim_routes(
+        _routes(spark, folder), _route_airlines(spark, folder),
+        fx.airports(spark, folder).selectExpr("cast(id as bigint) as id", "iata_code"),
+    )
+
+
+@query
+def runway_semi(spark, folder):
+    runways = fx.table(spark, folder, "orders").selectExpr(
+        "o_orderkey as id", "cast(o_custkey % 40 as int) as airport_ref", "o_orderpriority as surface"
+    )
+    return dims.dim_runways(runways, fx.airports(spark, folder))
+
+
+def _countries(spark, folder):
+    """Part names seen as country names: many near copies of each other."""
+    return fx.table(spark, folder, "part").groupBy(
+        F.expr("concat(p_name, ' ', p_brand)").alias("name")
+    ).agg(F.min("p_partkey").alias("id")).selectExpr("id", "concat('C', id) as code", "name")
+
+
+def _country_fleet(spark, folder):
+    return fx.table(spark, folder, "part").groupBy(
+        F.expr("concat(upper(p_name), '-', p_type)").alias("country_name")
+    ).agg(F.max("p_partkey").cast("double").alias("average_age"))
+
+
+@query
+def country_fuzzy(spark, folder):
+    return text.similar_names(
+        _countries(spark, folder), "name", _country_fleet(spark, folder), "country_name"
+    )
+
+
+@query
+def country_match(spark, folder):
+    return dims.country_matches(_countries(spark, folder), _country_fleet(spark, folder))
+
+
+@query
+def union_countries(spark, folder):
+    return dims.dim_countries(_countries(spark, folder), _country_fleet(spark, folder))
+
+
+@query
+def country_anti(spark, folder):
+    matched = dims.country_matches(_countries(spark, folder), _country_fleet(spark, folder))
+    return _countries(spark, folder).join(matched.select("id"), "id", "left_anti")
+
+
+@query
+def first_seen_dedup(spark, folder):
+    pulls = fx.flights(spark, folder).selectExpr(
+        "airline_code as carrier", "flight_number", "cast(departure_scheduled_utc as date) as dep_date",
+        "hour(departure_scheduled_utc) as pull_hour", "row_key",
+    )
+    return dims.first_seen(pulls, ["carrier", "flight_number", "dep_date"], ["pull_hour", "row_key"])
+
+
+@query
+def snapshot_delta(spark, folder):
+    rows = fx.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"
+    )
+    new = rows.withColumn("l_returnflag", F.expr("if(l_quantity > 45, 'X', l_returnflag)"))
+    return dims.snapshot_delta(rows, new)
+
+
+@query
+def snapshot_changed(spark, folder):
+    return dims.snapshot_digest(fx.table(spark, folder, "lineitem")).select("rows")
+
+
+# ---- data quality ------------------------------------------------------------
+
+@query
+def dq_unique(spark, folder):
+    return quality.unique(fx.table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def dq_relationship(spark, folder):
+    return quality.relationship(
+        fx.flights(spark, folder), "departure_metar_fk",
+        fx.metar(spark, folder), "id",
+    ).select("row_key", "departure_metar_fk")
+
+
+@query
+def dq_accepted(spark, folder):
+    return quality.accepted_values(_carriers(spark, folder), "active", ["Y", "N"]).select("id", "active")
+
+
+@query
+def dq_one_parent(spark, folder):
+    broken = fx.sky_condition(spark, folder).withColumn(
+        "taf_fk", F.expr("if(id % 7 = 0, metar_fk, taf_fk)")
+    )
+    return quality.one_parent(broken).select("id")
+
+
+@query
+def dq_not_null(spark, folder):
+    return quality.not_null(_carriers(spark, folder), "iata").select("id")
+
+
+@query
+def dq_report(spark, folder):
+    return quality.report(quality.weather_checks(
+        fx.flights(spark, folder), fx.metar(spark, folder), fx.taf(spark, folder),
+        fx.sky_condition(spark, folder),
+    ))
+
+
+@query
+def dq_dimensions(spark, folder):
+    airports = dims.dim_airports(_own_airports(spark, folder), _other_airports(spark, folder))
+    carriers = dims.dim_airlines(_carriers(spark, folder), _nations(spark, folder), _brands(spark, folder))
+    runways = fx.table(spark, folder, "orders").selectExpr("o_orderkey as id", "o_custkey * 2 as airport_ref")
+    return quality.report(quality.dimension_checks(
+        _nations(spark, folder), carriers, airports, dims.null_markers(_routes(spark, folder)), runways
+    ))

@@ -2,6 +2,6 @@
 
 
 def statements() -> dict[str, str]:
-    from . import associate, reports
+    from . import associate, merge, reports
 
-    return {**reports.SQL, **associate.SQL}
+    return {**reports.SQL, **associate.SQL, **merge.SQL}
