@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .functions import text
-from .operators import associate, dims, merge, quality
+from .functions import clean, text, weather, zones
+from .operators import associate, dims, merge, normalize, quality
 from .plans import reports, views
+from .sources import boards, feeds, landing, reference
 
 QUERIES = {}
 
@@ -606,3 +607,279 @@ def dq_dimensions(spark, folder):
     return quality.report(quality.dimension_checks(
         _nations(spark, folder), carriers, airports, dims.null_markers(_routes(spark, folder)), runways
     ))
+
+
+# ---- normalisation -----------------------------------------------------------
+
+def _moment(text):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+LOADED, NOW = "2024-02-01 00:00:00", "2024-01-31 00:00:00"
+
+
+def _texts(spark, folder):
+    """Untidy numbers and times made from events."""
+    return fx.table(spark, folder, "events").selectExpr(
+        "event_id as id",
+        "case event_id % 8 when 0 then concat(cast(event_id as string), '+') when 1 then 'VRB' when 2 then '-'"
+        " when 3 then concat('-', cast(event_id as string), '.', lpad(cast(event_id % 1000 as string), 3, '0'))"
+        " when 4 then concat(cast(event_id % 999 as string), '.', cast(event_id % 10 as string), '45')"
+        " when 5 then '' when 6 then concat(cast(event_id % 77 as string), '-1')"
+        " else concat(' ', cast(event_id % 500 as string), '.5 kt') end as number",
+        "case event_id % 7 when 0 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+        " when 1 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
+        " when 2 then date_format(ts, 'yyyy-MM-dd HH:mm:ss') when 3 then date_format(ts, 'yyyyMMdd_HHmmss')"
+        " when 4 then date_format(ts, \"yyyy-MM-dd'T'HH:mm\") when 5 then date_format(ts, 'dd/MM/yyyy')"
+        " else '' end as time",
+        "ts",
+    )
+
+
+@query
+def clean_decimal(spark, folder):
+    return _texts(spark, folder).select(
+        "id", clean.clean_decimal("number", 2, 18).cast("double").alias("two"),
+        clean.clean_decimal("number", 3, 18).cast("double").alias("three"),
+    )
+
+
+@query
+def clean_int(spark, folder):
+    return _texts(spark, folder).select(
+        "id", clean.clean_integer("number", "long").alias("whole"),
+        clean.lost_decimal_point("number").alias("lost_point"),
+    )
+
+
+@query
+def clean_timestamp(spark, folder):
+    return _texts(spark, folder).select("id", clean.clean_timestamp("time").alias("at"))
+
+
+@query
+def numeric_beside_text(spark, folder):
+    return clean.with_numbers(_texts(spark, folder).selectExpr("id", "number as wind_dir_degrees", "time as wx"))
+
+
+@query
+def flight_id(spark, folder):
+    scheduled = "date_format(departure_scheduled_utc, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+    docs = fx.flights(spark, folder).selectExpr(
+        "row_key", "flight_number", "if(delay_min = 3, '', from_airport) as origin", "to_airport",
+        f"case when delay_min = 1 then null when delay_min = 2 then '' else {scheduled} end as scheduled",
+    )
+    return docs.select("row_key", normalize.flight_id(
+        F.col("flight_number"), F.col("origin"), F.col("to_airport"), F.col("scheduled")
+    ).alias("flight_id"))
+
+
+@query
+def delay_minutes(spark, folder):
+    return fx.flights(spark, folder).select(
+        "row_key",
+        normalize.delay_minutes(F.col("departure_actual_utc"), F.col("departure_scheduled_utc")).alias("departure"),
+        normalize.late_minutes(F.col("arrival_actual_utc"), F.col("arrival_scheduled_utc")).alias("arrival"),
+    )
+
+
+def _sky_documents(spark, folder):
+    """Zero to five layers per event, some without cover."""
+    return fx.table(spark, folder, "events").selectExpr(
+        "concat('M', event_id) as _id",
+        "transform(sequence(1, cast(event_id % 5 + 1 as int)), k -> named_struct("
+        " 'sky_cover', case when (event_id + k) % 6 = 0 then '' else"
+        "   element_at(array('FEW', 'SCT', 'BKN', 'OVC', 'VV'), k) end,"
+        " 'cloud_base_ft_agl', concat(cast(k * 1000 as string), ' ft'),"
+        " 'cloud_type', case when k = 3 then 'CB' end)) as sky_condition",
+    )
+
+
+@query
+def sky_layers_rows(spark, folder):
+    return normalize.sky_rows(_sky_documents(spark, folder)).withColumn(
+        "condition_order", F.col("condition_order").cast("int")
+    )
+
+
+@query
+def sky_layers_wide(spark, folder):
+    return normalize.sky_wide(_sky_documents(spark, folder))
+
+
+def _wx(spark, folder):
+    """Weather strings of one or two codes, with signs and unknown parts."""
+    return fx.table(spark, folder, "events").selectExpr(
+        "event_id as id",
+        "case when event_id % 29 = 0 then null when event_id % 31 = 0 then '' when event_id % 37 = 0 then 'CLEAR'"
+        " else concat(element_at(array('+', '-', '', 'VC', 'X'), cast(event_id % 5 + 1 as int)),"
+        " element_at(array('TSRA', 'SN', 'FZRA', 'FG', 'BR', 'RA', 'DZ', 'DS', 'XX', 'SQ', 'GR', 'HZ', 'PL'),"
+        "   cast(event_id % 13 + 1 as int)),"
+        " element_at(array('', ' BR', 'Q', '+', ' SHRA', ' IC', ' FU'), cast(event_id % 7 + 1 as int))) end as wx",
+    )
+
+
+@query
+def wx_decode(spark, folder):
+    return _wx(spark, folder).select("id", "wx", weather.decode_wx(F.col("wx")).alias("words"))
+
+
+@query
+def wx_severity(spark, folder):
+    return _wx(spark, folder).select("id", weather.severity_class(F.col("wx")).alias("severity"))
+
+
+@query
+def wx_impact(spark, folder):
+    parts = weather.impact(F.col("wx"))
+    return _wx(spark, folder).select("id", *[c.alias(n) for n, c in parts.items()]).withColumn(
+        "overall", weather.worst_impact(F.col("weather_impact"), F.lit("low"))
+    )
+
+
+@query
+def local_to_utc(spark, folder):
+    boards = fx.flights(spark, folder).selectExpr(
+        "row_key", "if(delay_min = 5, 'AP77', from_airport) as from_airport",
+        "date_format(departure_scheduled_utc, 'yyyy-MM-dd') as day",
+        "if(delay_min = 4, '', date_format(departure_scheduled_utc, 'HH:mm')) as clock",
+    )
+    return zones.board_time_to_utc(
+        boards, fx.airports(spark, folder), "day", "clock", "from_airport", "utc"
+    ).select("row_key", "utc")
+
+
+@query
+def expected_boards(spark, folder):
+    moments = fx.metar(spark, folder).selectExpr("id", "station_id as icao_code", "observation_time as now")
+    places = moments.join(fx.airports(spark, folder).select("icao_code", "iata_code", "timezone"), "icao_code")
+    return zones.expected_board_hour(places, F.col("now"), 1).groupBy(
+        "iata_code", "airport_timezone", "board_date", "shift", "utc_offset"
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def airport_labels(spark, folder):
+    names = fx.airports(spark, folder).filter("id % 5 <> 4").selectExpr(
+        "iata_code as code_iata", "icao_code", "id as row_no",
+        "if(id % 3 = 0, concat('Greater Metropolitan ', airport_name), airport_name) as name",
+    )
+    return reference.airport_labels(fx.metar(spark, folder).select("id", "station_id"), names)
+
+
+@query
+def metar_feed(spark, folder):
+    """Reports written as XML elements, parsed and typed again."""
+    elements = fx.metar(spark, folder).selectExpr(
+        "concat('<METAR><station_id>', station_id, '</station_id><observation_time>',"
+        " date_format(observation_time, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\"), '</observation_time>',"
+        " if(id % 9 = 0, '', concat('<temp_c>', temp_c, '</temp_c>')),"
+        " '<wind_dir_degrees>', if(id % 6 = 0, 'VRB', wind_dir_degrees), '</wind_dir_degrees>',"
+        " '<wind_speed_kt>', wind_speed_kt, '</wind_speed_kt>',"
+        " coalesce(concat('<visibility_statute_mi>', visibility_statute_mi, '+</visibility_statute_mi>'), ''),"
+        " '<sky_condition sky_cover=\"FEW\" cloud_base_ft_agl=\"1200\"/><sky_condition sky_cover=\"BKN\"/>',"
+        " coalesce(concat('<wx_string>', wx_string, '</wx_string>'), ''), '</METAR>') as element"
+    )
+    docs = feeds.metar_from_text(elements, "element", _moment(LOADED))
+    return with_doubles(normalize.metar_rows(docs).select(
+        "external_id", "observation_time", "station_id", "temp_c", "wind_dir_degrees",
+        F.col("wind_speed_kt").cast("int").alias("wind_speed_kt"), "visibility_statute_mi", "wx_string",
+    ))
+
+
+@query
+def taf_feed(spark, folder):
+    """Reports of zero to three forecasts, some empty, fanned out to one row each."""
+    elements = fx.taf(spark, folder).selectExpr(
+        "concat('<TAF><station_id>', station_id, '</station_id><issue_time>',"
+        " date_format(issue_time, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), '</issue_time>',"
+        " concat_ws('', transform(if(id % 4 = 0, array(), sequence(0, cast(id % 4 as int) - 1)), k ->"
+        "   if((id + k) % 5 = 0, '<forecast/>', concat('<forecast><fcst_time_from>',"
+        "   date_format(fcst_time_from, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), '</fcst_time_from>',"
+        "   if(k = 1, '', concat('<fcst_time_to>',"
+        "   date_format(coalesce(fcst_time_to, fcst_time_from), \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), '</fcst_time_to>')),"
+        "   '<wind_speed_kt>', wind_speed_kt, '</wind_speed_kt></forecast>')))), '</TAF>') as element"
+    )
+    docs = feeds.taf_from_text(elements, "element", _moment(LOADED))
+    typed = normalize.taf_rows(docs)
+    return typed.select(
+        "external_id", "station_id", "issue_time", "fcst_time_from", "fcst_time_to",
+        F.col("wind_speed_kt").cast("int").alias("wind_speed_kt"),
+    )
+
+
+def _pages(spark, folder):
+    """One board page per order, with one flight row and at times a code-share note."""
+    return fx.table(spark, folder, "orders").selectExpr(
+        "o_orderkey as k",
+        "concat('/landing/raw_', concat('A', chr(cast(65 + o_custkey % 2 as int)), 'C'), '_',"
+        " if(o_orderkey % 3 = 0, 'arrival', 'departure'), '_2024-01-15_08h_20240115_081500.html') as path",
+        "concat('<html><body><table class=\"x flightsTable\"><tr><th>h</th></tr><tr><td><a href=\"/f?d=2024-01-16\">FL',"
+        " o_orderkey, '</a></td><td><a>Town [XYZ]</a></td><td>', o_orderstatus, '</td><td><span>08:',"
+        " lpad(cast(o_orderkey % 60 as string), 2, '0'), '</span>', if(o_orderkey % 4 = 0,"
+        " '<span class=\"estimatedTime depDelayed\" data-delay=\"25\">09:05 [01-16]</span>', ''),"
+        " '<span class=\"gate\">G', o_orderkey % 9, '</span></td><td>10:30</td>',"
+        " '<td><span>On time</span><button data-arrivaltime=\"2024-01-16T10:30:00.000\"></button></td></tr>',"
+        " if(o_orderkey % 5 = 0, concat('<tr class=\"compensation-row\"><td>Operated By XX', o_orderkey,"
+        " '</td></tr>'), ''), '</table>', if(o_orderkey % 50 = 7, '<span class=\"noflights\"></span>', ''),"
+        " '</body></html>') as html",
+    )
+
+
+def _board_airports(spark, folder):
+    return fx.airports(spark, folder).selectExpr(
+        "case id when 0 then 'AAC' when 1 then 'ABC' when 2 then 'XYZ' end as iata_code", "timezone"
+    ).filter("iata_code is not null")
+
+
+@query
+def board_parse(spark, folder):
+    docs = boards.parse_boards(_pages(spark, folder), _board_airports(spark, folder))
+    return docs.select(
+        "flight_number", "from_code", "to_code", "airline", "status", "operated_by", "airport_type",
+        F.col("departure.date").alias("dep_date"), F.col("departure.scheduled").alias("dep_scheduled"),
+        F.col("departure.estimated").alias("dep_estimated"), F.col("departure.gate").alias("dep_gate"),
+        F.col("departure.delay.is_delayed").alias("dep_is_delayed"),
+        F.col("departure.delay.minutes").alias("dep_delay"),
+        F.col("arrival.date").alias("arr_date"), F.col("arrival.scheduled").alias("arr_scheduled"),
+    )
+
+
+@query
+def flight_documents(spark, folder):
+    """Board pages all the way to flight table rows."""
+    docs = boards.parse_boards(_pages(spark, folder), _board_airports(spark, folder))
+    rows, _ = clean.split_valid(
+        normalize.flight_rows(normalize.collected_flights(docs, "s1", "realtime_departures", _moment(LOADED))),
+        ["flight_number", "from_airport", "to_airport"],
+    )
+    return rows.select(
+        "flight_number", "airline_code", "from_airport", "to_airport", "departure_scheduled_utc",
+        "departure_actual_utc", "arrival_scheduled_utc", "delay_min",
+    )
+
+
+def _listing(spark, folder):
+    """Names and times of landed files made from events; some names do not fit."""
+    return fx.table(spark, folder, "events").selectExpr(
+        "concat('/landing/raw_', 'A', chr(cast(65 + user_id % 26 as int)), chr(cast(65 + event_id % 3 as int)), '_',"
+        " if(event_id % 2 = 0, 'arrival', 'departure'), '_', date_format(ts, 'yyyy-MM-dd'), '_',"
+        " date_format(ts, 'HH'), if(event_id % 11 = 0, '', 'h'), '_', date_format(ts, 'yyyyMMdd_HHmmss'), '.html') as path",
+        "date_trunc('minute', ts) as modified", "event_id as length",
+    ).withColumn("modified", F.col("modified").cast("timestamp_ntz"))
+
+
+@query
+def landing_newest(spark, folder):
+    files = landing.catalog(_listing(spark, folder), _moment(NOW))
+    return landing.newest_per_key(files, 240).select("airport", "type", "date", "shift", "filename")
+
+
+@query
+def landing_totals(spark, folder):
+    return landing.totals(landing.catalog(_listing(spark, folder), _moment(NOW), board_type="arrival"))
+
+
+@query
+def landing_expired(spark, folder):
+    return landing.expired(landing.catalog(_listing(spark, folder), _moment(NOW)), 48)
