@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .functions import clean, text, weather, zones
 from .operators import associate, dims, merge, normalize, quality
-from .plans import reports, views
+from .plans import evaluation, features, reports, views
 from .sources import boards, feeds, landing, reference
 
 QUERIES = {}
@@ -809,8 +809,13 @@ def taf_feed(spark, folder):
 
 
 def _pages(spark, folder):
-    """One board page per order, with one flight row and at times a code-share note."""
-    return fx.table(spark, folder, "orders").selectExpr(
+    """One board page per order, with one flight row and at times a code-share note.
+
+    The small test file is a single scan task; real pages come from many files.
+    Spreading the keys first lets every core parse.
+    """
+    orders = fx.table(spark, folder, "orders").repartition(spark.sparkContext.defaultParallelism)
+    return orders.selectExpr(
         "o_orderkey as k",
         "concat('/landing/raw_', concat('A', chr(cast(65 + o_custkey % 2 as int)), 'C'), '_',"
         " if(o_orderkey % 3 = 0, 'arrival', 'departure'), '_2024-01-15_08h_20240115_081500.html') as path",
@@ -883,3 +888,172 @@ def landing_totals(spark, folder):
 @query
 def landing_expired(spark, folder):
     return landing.expired(landing.catalog(_listing(spark, folder), _moment(NOW)), 48)
+
+
+# ---- features ----------------------------------------------------------------
+
+def _gappy(spark, folder):
+    """Flights where most hours of some days have no usable final status."""
+    return fx.flights(spark, folder).withColumn("status_final", F.expr(
+        "case when (dayofmonth(departure_scheduled_utc) * 24 + hour(departure_scheduled_utc)) % 5 < 2 then"
+        " element_at(array(' ', 'NULL', null), 1 + abs(coalesce(delay_min, 0)) % 3) else status_final end"
+    ))
+
+
+@query
+def gap_removal(spark, folder):
+    return features.remove_gaps(_gappy(spark, folder)).select("row_key", "departure_scheduled_utc")
+
+
+@query
+def settled_flights(spark, folder):
+    return features.settled(fx.flights(spark, folder)).select("row_key")
+
+
+@query
+def frequency(spark, folder):
+    flights = fx.flights(spark, folder).withColumn(
+        "from_airport", F.expr("if(delay_min = 0, null, from_airport)")
+    )
+    return features.frequencies(flights, "from_airport")
+
+
+@query
+def visibility_class(spark, folder):
+    return fx.metar(spark, folder).select(
+        "id", features.visibility_class(F.col("visibility_statute_mi")).alias("visibility")
+    )
+
+
+@query
+def severity(spark, folder):
+    return fx.metar(spark, folder).select("id", features.severity(
+        F.col("wind_speed_kt"), F.coalesce("wind_gust_kt", F.lit(0)),
+        features.visibility_class(F.col("visibility_statute_mi")),
+    ).alias("severity"))
+
+
+@query
+def local_time_parts(spark, folder):
+    timed = features.time_features(fx.flights(spark, folder), fx.airports(spark, folder))
+    return timed.select(
+        "row_key", "departure_hour_local", "arrival_hour_local", "departure_dayofweek", "arrival_dayofweek",
+        "departure_month", "departure_quarter", "departure_day", "flight_duration_hours", "is_rush_hour_dep",
+        "is_rush_hour_arr", "is_weekend", "is_month_end", "is_month_start",
+    )
+
+
+@query
+def target_flag(spark, folder):
+    return features.target(fx.flights(spark, folder).withColumn("delay_min", F.col("delay_min").cast("double"))).select(
+        "row_key", "delay"
+    )
+
+
+@query
+def class_shares(spark, folder):
+    flights = fx.flights(spark, folder).withColumn("delay_min", F.col("delay_min").cast("double"))
+    return features.class_shares(features.target(flights))
+
+
+@query
+def feature_frame(spark, folder):
+    """The full training frame, reduced to sums per airport for comparison."""
+    frame = features.prepare(_view(spark, folder), fx.airports(spark, folder))
+    return frame.groupBy("from_airport").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("delay").alias("late"),
+        F.sum("weather_severity_dep").alias("dep"), F.sum("weather_severity_arr").alias("arr"),
+        F.count(F.when(F.col("overall_weather_impact") == "high", 1)).alias("high"),
+        F.sum(F.col("flight_duration_minutes").cast("long")).alias("minutes"),
+        F.sum(F.col("departure_delay_minutes").cast("long")).alias("shift"),
+        F.max(F.round("airport_flight_count", 9)).alias("share"),
+        F.sum("is_rush_hour_arr").alias("rush"),
+    )
+
+
+@query
+def sample_rows(spark, folder):
+    n = 1000
+    sampled = features.sample_rows(fx.flights(spark, folder).select("row_key", "airline_code"), n, ["row_key"])
+    return sampled
+
+
+# ---- scores ------------------------------------------------------------------
+
+def _scored(spark, folder):
+    """Order lines as scores and outcomes: many distinct scores, some shared."""
+    return fx.table(spark, folder, "lineitem").selectExpr(
+        "cast(l_returnflag = 'R' as int) as label", "round(l_extendedprice / 110000, 4) as score",
+        "l_linenumber"
+    )
+
+
+@query
+def pr_points(spark, folder):
+    return evaluation.curve_points(evaluation.curve(_scored(spark, folder)))
+
+
+@query
+def roc_auc(spark, folder):
+    return evaluation.areas(evaluation.curve(_scored(spark, folder))).select("roc_auc")
+
+
+@query
+def avg_precision(spark, folder):
+    return evaluation.areas(evaluation.curve(_scored(spark, folder))).select(
+        F.round("pr_auc", 9).alias("pr_auc")
+    )
+
+
+@query
+def best_threshold(spark, folder):
+    return evaluation.best_threshold(evaluation.curve(_scored(spark, folder)))
+
+
+@query
+def risk_bands(spark, folder):
+    return evaluation.risk_bands(evaluation.curve(_scored(spark, folder)))
+
+
+@query
+def score_metrics(spark, folder):
+    return evaluation.metrics(_scored(spark, folder)).withColumn("pr_auc", F.round("pr_auc", 9))
+
+
+@query
+def overfit_gaps(spark, folder):
+    scored = _scored(spark, folder)
+    report = evaluation.overfit_gaps(
+        evaluation.metrics(scored.filter("l_linenumber > 1"), 0.4),
+        evaluation.metrics(scored.filter("l_linenumber = 1"), 0.4),
+    )
+    return report.select(*[
+        F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in report.dtypes
+    ])
+
+
+@query
+def calibration(spark, folder):
+    return evaluation.calibration(_scored(spark, folder)).withColumns({
+        "mean_score": F.round("mean_score", 9), "positive_rate": F.round("positive_rate", 9)
+    })
+
+
+@query
+def brier(spark, folder):
+    return evaluation.brier(_scored(spark, folder)).select(F.round("brier_score", 9).alias("brier_score"))
+
+
+@query
+def score_histogram(spark, folder):
+    return evaluation.histogram(_scored(spark, folder))
+
+
+@query
+def prediction_summary(spark, folder):
+    predictions = _scored(spark, folder).select(
+        F.col("score").alias("delay_probability"), (F.col("score") >= 0.5).cast("int").alias("prediction"),
+        evaluation.risk_level(F.col("score"), 0.3, 0.6).alias("risk_level"),
+    )
+    summary = evaluation.prediction_summary(predictions)
+    return summary.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in summary.dtypes])

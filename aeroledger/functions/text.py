@@ -27,6 +27,14 @@ def similarity(left: Column, right: Column) -> Column:
     return F.when(total > 0, shared / total).otherwise(F.lit(0.0))
 
 
+def gram_code(gram: Column) -> Column:
+    """A trigram as one number (21 bits per character, so no two share one)."""
+    def char(i: int) -> Column:
+        return F.ascii(F.substring(gram, i, 1)).cast("long")
+
+    return F.shiftleft(char(1), 42) + F.shiftleft(char(2), 21) + char(3)
+
+
 def similar_names(
     left: DataFrame, left_name: str, right: DataFrame, right_name: str, threshold: float = 0.3
 ) -> DataFrame:
@@ -40,7 +48,9 @@ def similar_names(
     names_l = left.select(F.col(left_name).alias("name")).filter("name is not null").distinct()
     names_r = right.select(F.col(right_name).alias("name")).filter("name is not null").distinct()
     both = names_l.withColumn("side", F.lit("l")).unionByName(names_r.withColumn("side", F.lit("r")))
-    pieces = both.select("side", "name", F.explode(trigrams(F.col("name"))).alias("gram"))
+    pieces = both.select("side", "name", F.explode(trigrams(F.col("name"))).alias("gram")).withColumn(
+        "gram", gram_code(F.col("gram"))
+    )
     rarity = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("seen"))
     ordered = (
         pieces.join(sized_broadcast(rarity), "gram")

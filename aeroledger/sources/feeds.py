@@ -123,12 +123,18 @@ def read_taf(spark: SparkSession, path: str, loaded_at: Column | None = None) ->
     return taf_documents(reports, F.col("_metadata.file_path"), loaded_at or F.current_timestamp())
 
 
+def _parsed(rows: DataFrame, column: str, schema: str) -> DataFrame:
+    """Fields of the elements. The generator keeps one parse per element: a plain
+    struct would be parsed again for every field that is read."""
+    return rows.select(F.inline(F.array(F.from_xml(F.col(column), schema))))
+
+
 def metar_from_text(rows: DataFrame, column: str, loaded_at: Column) -> DataFrame:
     """Documents from a column that holds one METAR element per row."""
-    parsed = rows.select(F.from_xml(F.col(column), METAR_SCHEMA).alias("r")).select("r.*")
+    parsed = _parsed(rows, column, METAR_SCHEMA)
     return metar_documents(parsed, F.lit(column), loaded_at)
 
 
 def taf_from_text(rows: DataFrame, column: str, loaded_at: Column) -> DataFrame:
-    parsed = rows.select(F.from_xml(F.col(column), TAF_SCHEMA).alias("r")).select("r.*")
+    parsed = _parsed(rows, column, TAF_SCHEMA)
     return taf_documents(parsed, F.lit(column), loaded_at)

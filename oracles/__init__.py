@@ -2,6 +2,6 @@
 
 
 def statements() -> dict[str, str]:
-    from . import associate, merge, normalize, reports
+    from . import associate, merge, model, normalize, reports
 
-    return {**reports.SQL, **associate.SQL, **merge.SQL, **normalize.SQL}
+    return {**reports.SQL, **associate.SQL, **merge.SQL, **normalize.SQL, **model.SQL}
