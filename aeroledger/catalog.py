@@ -744,8 +744,8 @@ def local_to_utc(spark, folder):
         "date_format(departure_scheduled_utc, 'yyyy-MM-dd') as day",
         "if(delay_min = 4, '', date_format(departure_scheduled_utc, 'HH:mm')) as clock",
     )
-    return zones.board_time_to_utc(
-        boards, fx.airports(spark, folder), "day", "clock", "from_airport", "utc"
+    return zones.board_times_to_utc(
+        boards, fx.airports(spark, folder), "day", {"utc": "clock"}, "from_airport"
     ).select("row_key", "utc")
 
 
@@ -983,7 +983,7 @@ def sample_rows(spark, folder):
 def _scored(spark, folder):
     """Order lines as scores and outcomes: many distinct scores, some shared."""
     return fx.table(spark, folder, "lineitem").selectExpr(
-        "cast(l_returnflag = 'R' as int) as label", "round(l_extendedprice / 110000, 4) as score",
+        "cast(l_returnflag = 'R' as int) as label", "floor(l_extendedprice / 11) / 10000 as score",
         "l_linenumber"
     )
 

@@ -42,17 +42,20 @@ def with_zone(df: DataFrame, airports: DataFrame, airport: str, zone: str) -> Da
     return df.join(zone_lookup(airports, airport, zone), airport, "left")
 
 
-def board_time_to_utc(
-    df: DataFrame, airports: DataFrame, date: str, time: str, airport: str, out: str
+def board_time(date: Column, time: Column) -> Column:
+    """Wall-clock time of a board's date and HH:MM; null if either is unusable."""
+    usable = date.rlike(r"^\d{4}-\d\d?-\d\d?$") & time.rlike(r"^\d\d?:\d\d?$")
+    return F.when(usable, F.concat_ws(" ", date, time)).try_cast("timestamp_ntz")
+
+
+def board_times_to_utc(
+    df: DataFrame, airports: DataFrame, date: str, times: dict[str, str], airport: str
 ) -> DataFrame:
-    """UTC of a board's date and HH:MM; null if a part or the zone is missing."""
-    usable = F.when(
-        F.col(date).rlike(r"^\d{4}-\d\d?-\d\d?$") & F.col(time).rlike(r"^\d\d?:\d\d?$"),
-        F.concat_ws(" ", date, time),
-    ).try_cast("timestamp_ntz")
-    return with_zone(df, airports, airport, "zone").withColumn(
-        out, local_to_utc(usable, F.col("zone"))
-    ).drop("zone")
+    """UTC of board times given as {output column: HH:MM column}; one zone lookup for all."""
+    placed = with_zone(df, airports, airport, "zone")
+    return placed.withColumns({
+        out: local_to_utc(board_time(F.col(date), F.col(time)), F.col("zone")) for out, time in times.items()
+    }).drop("zone")
 
 
 def expected_board_hour(airports: DataFrame, now: Column, offset_hours: int = 1) -> DataFrame:

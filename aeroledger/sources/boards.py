@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.zones import board_time_to_utc
+from ..functions.zones import board_times_to_utc
 from .landing import NAME_PATTERN
 
 CELL = "struct<text: string, parts: array<string>, terminal: string, gate: string, delays: array<string>>"
@@ -202,10 +202,8 @@ def flight_documents(rows: DataFrame, airports: DataFrame) -> DataFrame:
         "arr_scheduled": _edge(F.col("arr_times"), 1), "arr_estimated": _edge(F.col("arr_times"), -1),
     })
     for end, airport in (("dep", "from_code"), ("arr", "to_code")):
-        for kind in ("scheduled", "estimated"):
-            shaped = board_time_to_utc(
-                shaped, airports, f"{end}_date", f"{end}_{kind}", airport, f"{end}_{kind}_utc"
-            )
+        times = {f"{end}_{kind}_utc": f"{end}_{kind}" for kind in ("scheduled", "estimated")}
+        shaped = board_times_to_utc(shaped, airports, f"{end}_date", times, airport)
 
     def side(end: str, cell: str) -> Column:
         def iso(kind: str) -> Column:

@@ -4,7 +4,7 @@ from .associate import REF, WIDE
 from .normalize import ZONE
 from .prelude import with_tables as w
 
-SCORED = """scored as (select cast(l_returnflag = 'R' as int) as label, round(l_extendedprice / 110000, 4) as score, l_linenumber
+SCORED = """scored as (select cast(l_returnflag = 'R' as int) as label, floor(l_extendedprice / 11) / 10000 as score, l_linenumber
   from lineitem)"""
 CURVE = """g as (select score, cast(sum(label) as bigint) as pos, cast(sum(1 - label) as bigint) as neg from scored group by 1),
 c as (select *, cast(sum(pos) over (order by score desc) as bigint) as tp, cast(sum(neg) over (order by score desc) as bigint) as fp,
