@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .functions import clean, text, weather, zones
 from .operators import associate, dims, merge, normalize, quality
-from .plans import evaluation, features, reports, views
+from .plans import evaluation, features, model, reports, views
+from .session import reliable_checkpoint, run_dir
 from .sources import boards, feeds, landing, reference
+from .streaming import jobs
 
 QUERIES = {}
 
@@ -1057,3 +1059,130 @@ def prediction_summary(spark, folder):
     )
     summary = evaluation.prediction_summary(predictions)
     return summary.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in summary.dtypes])
+
+
+# ---- streams -----------------------------------------------------------------
+
+def _event_stream(spark, folder, name="events"):
+    """One driver table as a stream of files."""
+    schema = fx.table(spark, folder, name).schema
+    return jobs.read_new(spark, folder, "parquet", schema, pattern=f"{name}.parquet")
+
+
+def _appended(spark, stream, label):
+    base = run_dir(spark, label)
+    jobs.append_available(stream, f"{base}/table", f"{base}/progress")
+    return spark.read.parquet(f"{base}/table")
+
+
+@query
+def stream_dedup(spark, folder):
+    doubled = _event_stream(spark, folder).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    unique = jobs.first_copies(doubled, ["event_id"], "ts").select("event_id", "user_id", "event_type")
+    return _appended(spark, unique, "dedup")
+
+
+@query
+def stream_hourly(spark, folder):
+    windows = jobs.settled_windows(
+        _event_stream(spark, folder), "ts", "1 hour", jobs.SETTLING,
+        F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id"),
+    )
+    return _appended(spark, windows, "hourly")
+
+
+@query
+def stream_latest(spark, folder):
+    reports = _event_stream(spark, folder).selectExpr(
+        "concat('ZZ', lpad(user_id % 25, 2, '0')) as station_id", "event_id as id", "ts as observation_time"
+    )
+    base = run_dir(spark, "latest")
+    empty = spark.createDataFrame([], "station_id string, metar_id long, observation_time timestamp_ntz")
+    empty.write.parquet(jobs.version_path(f"{base}/table", 0))
+    jobs.merge_available(
+        jobs.latest_reports(reports), f"{base}/table", f"{base}/progress", jobs.keep_latest, mode="update"
+    )
+    return jobs.read_latest(spark, f"{base}/table")
+
+
+@query
+def stream_late_actuals(spark, folder):
+    """Orders as stored flights, order lines as late records arriving in files."""
+    base = run_dir(spark, "actuals")
+    stored = fx.table(spark, folder, "orders").selectExpr(
+        "cast(o_orderkey as string) as flight_number", "'AAA' as from_airport", "'BBB' as to_airport",
+        "cast(o_orderdate as timestamp_ntz) as departure_scheduled_utc",
+        "cast(null as timestamp_ntz) as departure_final_utc", "cast(null as timestamp_ntz) as arrival_actual_utc",
+        "cast(null as string) as status_final", "cast(null as int) as delay_min",
+    )
+    stored.write.parquet(jobs.version_path(f"{base}/table", 0))
+    dates = fx.table(spark, folder, "orders").selectExpr("o_orderkey", "o_orderdate")
+    late = _event_stream(spark, folder, "lineitem").join(dates, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "cast(l_orderkey as string) as flight_number", "'AAA' as from_airport", "'BBB' as to_airport",
+        "cast(o_orderdate as timestamp_ntz) as departure_scheduled_utc",
+        "cast(o_orderdate as timestamp_ntz) + interval '1' minute * l_linenumber as departure_final_utc",
+        "cast(null as timestamp_ntz) as arrival_actual_utc", "l_returnflag as status_final",
+        "cast(l_quantity as int) as delay_min", "l_linenumber", "l_partkey", "l_suppkey",
+    )
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "status_final", "delay_min"]
+    jobs.merge_available(late, f"{base}/table", f"{base}/progress", jobs.actuals_step(order))
+    return jobs.read_latest(spark, f"{base}/table").select(
+        "flight_number", "departure_final_utc", "status_final", "delay_min"
+    )
+
+
+@query
+def stream_best_taf(spark, folder):
+    """Order lines arrive as flights and get their best forecast batch by batch."""
+    base = run_dir(spark, "linked")
+    spark.createDataFrame([], "flight_key string, taf_id long").write.parquet(
+        jobs.version_path(f"{base}/table", 0)
+    )
+    arrivals = _event_stream(spark, folder, "lineitem").selectExpr(
+        "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) as flight_key",
+        "concat('AP', lpad(l_suppkey % 25, 2, '0')) as to_airport", "cast(null as string) as operated_by",
+        "timestamp_ntz'2024-01-01 00:00:00' + interval '1' minute * cast((l_orderkey * 7 + l_partkey) % 43200 as int)"
+        " as arrival_scheduled_utc",
+    )
+    jobs.merge_available(
+        arrivals, f"{base}/table", f"{base}/progress",
+        jobs.link_step(fx.taf(spark, folder), fx.airports(spark, folder)),
+    )
+    return jobs.read_latest(spark, f"{base}/table")
+
+
+# ---- models ------------------------------------------------------------------
+
+def _frame(spark, folder):
+    return reliable_checkpoint(features.prepare(_view(spark, folder), fx.airports(spark, folder)))
+
+
+def _train(spark, folder, name, **params):
+    return model.train(_frame(spark, folder), ["f_id"], name, **params)
+
+
+@query
+def train_logistic(spark, folder):
+    return _train(spark, folder, "logistic_regression", maxIter=20).test_metrics
+
+
+@query
+def train_tree_importance(spark, folder):
+    trained = _train(spark, folder, "decision_tree")
+    return evaluation.cumulative_importance(model.feature_importance(spark, trained.fitted))
+
+
+@query
+def train_boosted_overfit(spark, folder):
+    return _train(spark, folder, "xgboost_tuned", maxIter=5).overfit
+
+
+@query
+def predicted_risk(spark, folder):
+    """Train, score every flight of the view and count risk levels per airline."""
+    trained = _train(spark, folder, "random_forest", numTrees=10, maxDepth=5)
+    view = _view(spark, folder)
+    predictions = model.predict_flights(trained, view, fx.airports(spark, folder))
+    return predictions.join(view.select("f_id", "airline_code"), "f_id").groupBy("airline_code", "risk_level").agg(
+        F.count(F.lit(1)).alias("flights"), F.avg("delay_probability").alias("mean_probability")
+    )
