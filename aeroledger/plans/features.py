@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import minutes_between
 from ..functions.weather import impact, worst_impact
@@ -46,6 +47,9 @@ NUMBERS = [
     "visibility_statute_mi", "t_visibility_statute_mi", "wind_speed_kt", "wind_gust_kt", "t_wind_speed_kt",
     "t_wind_gust_kt", "wind_dir_degrees", "t_wind_dir_degrees", "delay_min",
 ]
+# Columns whose relative frequency is a feature.
+FREQUENCIES = {"from_airport": "airport_flight_count", "airline_code": "airline_flight_count"}
+
 # Local rush hours.
 RUSH_HOURS = [7, 8, 17, 18, 19]
 
@@ -86,6 +90,19 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
     return counts.select(column, (F.col("n") / F.sum("n").over(W.partitionBy())).alias("share"))
 
 
+def frequency_tables(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+    """``frequencies`` of several columns from one pass over the rows.
+
+    The counts per combination are kept, and each column's table sums them.
+    """
+    combined = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).persist(StorageLevel.MEMORY_AND_DISK)
+    tables = {}
+    for column in columns:
+        counts = combined.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("rows").alias("n"))
+        tables[column] = counts.select(column, (F.col("n") / F.sum("n").over(W.partitionBy())).alias("share"))
+    return tables
+
+
 def with_frequency(df: DataFrame, table: DataFrame, column: str, out: str) -> DataFrame:
     """Add a stored frequency; a value the table does not know gets null."""
     known = table.select(column, F.col("share").alias(out))
@@ -215,9 +232,10 @@ def prepare(
     df = typed(view.select(*kept, *VIEW_COLUMNS))
     if for_training:
         df = settled(remove_gaps(df))
-    for column, out in (("from_airport", "airport_flight_count"), ("airline_code", "airline_flight_count")):
-        table = tables[column] if tables else frequencies(df, column)
-        df = with_frequency(df, table, column, out)
+    if tables is None:
+        tables = frequency_tables(df, list(FREQUENCIES))
+    for column, out in FREQUENCIES.items():
+        df = with_frequency(df, tables[column], column, out)
     df = df.withColumns({
         "departure_delay_minutes": minutes_between("departure_actual_utc", DEPARTURE),
         "flight_duration_minutes": minutes_between(ARRIVAL, DEPARTURE),

@@ -19,9 +19,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..operators.neighbours import distinct_vectors, nearest, vector_id, weighted_vote
-from ..session import reliable_checkpoint
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
 from . import evaluation, features
 
 SEED = 42
@@ -64,13 +65,13 @@ def imbalance_ratio(df: DataFrame, label: str = "delay") -> DataFrame:
 
 def category_levels(train: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted values of each categorical column; the most frequent if there are too many."""
-    levels = {}
-    for column in columns:
-        top = train.filter(F.col(column).isNotNull()).groupBy(column).count().orderBy(
-            F.desc("count"), column
-        ).limit(limit).collect()
-        levels[column] = sorted(r[0] for r in top)
-    return levels
+    pairs = train.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in columns
+    ])).alias("p")).select("p.*").filter("level is not null")
+    counts = pairs.groupBy("name", "level").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(W.partitionBy("name").orderBy(F.desc("n"), "level"))
+    kept = counts.withColumn("place", place).filter(F.col("place") <= limit).collect()
+    return {c: sorted(r["level"] for r in kept if r["name"] == c) for c in columns}
 
 
 def preprocessor(levels: dict[str, list[str]]) -> list:
@@ -235,12 +236,12 @@ def fit_vectors(
     weighted = balance == "weights"
     if weighted and spec.name != "knn":
         ready = with_class_weights(ready)
-    spark_context = ready.sparkSession.sparkContext
-    if spark_context.getCheckpointDir() is None:
-        from ..session import shared_dir
-
-        spark_context.setCheckpointDir(shared_dir(ready.sparkSession))
-    return Fitted(spec, prepare, _fit_classifier(spec, ready, weighted), levels, base)
+    # Learners pass over the rows many times.
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(ready.sparkSession)
+    classify = _fit_classifier(spec, ready, weighted)
+    ready.unpersist()
+    return Fitted(spec, prepare, classify, levels, base)
 
 
 # ---- rebalancing -------------------------------------------------------------

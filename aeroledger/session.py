@@ -53,10 +53,12 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def reliable_checkpoint(df):
     """Cut the lineage of ``df`` through files in the shared folder."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

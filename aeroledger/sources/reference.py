@@ -147,9 +147,8 @@ def restore_tables(spark: SparkSession, files: dict[str, str], schemas: dict[str
         if name not in files:
             continue
         target = f"{target_dir.rstrip('/')}/{name}"
-        rows = spark.read.csv(
-            files[name], schema=schemas[name], header=True, nullValue="",
-            timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
+        rows = spark.read.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(
+            files[name], schema=schemas[name], header=True, nullValue=""
         )
         rows.write.mode("overwrite").parquet(target)
         done[name] = target
