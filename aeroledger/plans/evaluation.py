@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 RANGES = 128
 
 
+def _range_of(score: Column, bounds: list[float], first: int = 0) -> Column:
+    """Number of bounds below the score, found by halving: a few comparisons per row."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(score > bounds[middle], _range_of(score, bounds[middle + 1:], first + middle + 1)).otherwise(
+        _range_of(score, bounds[:middle], first)
+    )
+
+
 def curve(scored: DataFrame) -> DataFrame:
     """Per distinct score: positives, negatives, and running tp and fp from the top."""
     counts = scored.groupBy("score").agg(
@@ -23,11 +33,9 @@ def curve(scored: DataFrame) -> DataFrame:
         F.sum(1 - F.col("label").cast("long")).alias("neg"),
     )
     cuts = [i / RANGES for i in range(1, RANGES)]
-    bounds = counts.agg(F.percentile_approx("score", cuts, 10_000).alias("b")).scalar()
-    # Never null, so the join below adds no null test; Spark would push one with
-    # this expression down to every input row.
-    place = F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col("score"))), F.lit(0))
-    ranged = counts.withColumn("bounds", bounds).withColumn("range", place).drop("bounds")
+    # One row with at most RANGES numbers.
+    bounds = counts.agg(F.percentile_approx("score", cuts, 10_000).alias("b")).first()["b"]
+    ranged = counts.withColumn("range", _range_of(F.col("score"), sorted(set(bounds or []))))
     sums = ranged.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     above = W.orderBy(F.desc("range")).rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy()
