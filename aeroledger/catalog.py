@@ -772,7 +772,7 @@ def airport_labels(spark, folder):
 @query
 def metar_feed(spark, folder):
     """Reports written as XML elements, parsed and typed again."""
-    elements = fx.metar(spark, folder).selectExpr(
+    elements = _spread(fx.metar(spark, folder)).selectExpr(
         "concat('<METAR><station_id>', station_id, '</station_id><observation_time>',"
         " date_format(observation_time, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\"), '</observation_time>',"
         " if(id % 9 = 0, '', concat('<temp_c>', temp_c, '</temp_c>')),"
@@ -792,7 +792,7 @@ def metar_feed(spark, folder):
 @query
 def taf_feed(spark, folder):
     """Reports of zero to three forecasts, some empty, fanned out to one row each."""
-    elements = fx.taf(spark, folder).selectExpr(
+    elements = _spread(fx.taf(spark, folder)).selectExpr(
         "concat('<TAF><station_id>', station_id, '</station_id><issue_time>',"
         " date_format(issue_time, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), '</issue_time>',"
         " concat_ws('', transform(if(id % 4 = 0, array(), sequence(0, cast(id % 4 as int) - 1)), k ->"
@@ -810,14 +810,17 @@ def taf_feed(spark, folder):
     )
 
 
-def _pages(spark, folder):
-    """One board page per order, with one flight row and at times a code-share note.
+def _spread(df):
+    """Rows over all cores before text is made and parsed.
 
-    The small test file is a single scan task; real pages come from many files.
-    Spreading the keys first lets every core parse.
+    A test file is one scan task; real pages and feeds come from many files.
     """
-    orders = fx.table(spark, folder, "orders").repartition(spark.sparkContext.defaultParallelism)
-    return orders.selectExpr(
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _pages(spark, folder):
+    """One board page per order, with one flight row and at times a code-share note."""
+    return _spread(fx.table(spark, folder, "orders")).selectExpr(
         "o_orderkey as k",
         "concat('/landing/raw_', concat('A', chr(cast(65 + o_custkey % 2 as int)), 'C'), '_',"
         " if(o_orderkey % 3 = 0, 'arrival', 'departure'), '_2024-01-15_08h_20240115_081500.html') as path",

@@ -36,7 +36,7 @@ def surrogate_id(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Source rows whose key is not in the target, first one per key."""
-    return first_per_key(source, keys, order).join(target.select(*keys).distinct(), keys, "left_anti")
+    return first_per_key(source, keys, order).join(target.select(*keys), keys, "left_anti")
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

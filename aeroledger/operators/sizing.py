@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+
+from ..session import reliable_checkpoint
 
 # A lookup row here is a key and a few narrow values (about 100 bytes), so this
 # many rows stay near 20 MB on each executor.
@@ -12,16 +13,15 @@ MAX_LOOKUP_ROWS = 200_000
 
 
 def sized_broadcast(side: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
-    """Hint a broadcast if ``side`` is counted and small, else return it plain.
+    """``side``, with a broadcast hint if it is counted and small.
 
     File-backed dimensions need no hint: Spark knows their size. This is for
     aggregated lookups, whose size Spark can only guess from their input. The
-    count keeps the rows, so the side is computed once; a side that is too large
-    is released and joined through a shuffle, where adaptive execution splits
-    skewed keys.
+    side is written to the shared checkpoint folder, so it is computed once, the
+    count is cheap and a lost executor costs nothing. (A cached side would be
+    found again by its plan, also after its input files have changed.) A side
+    that is too large is joined through a shuffle, where adaptive execution
+    splits skewed keys.
     """
-    kept = side.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return side
+    kept = reliable_checkpoint(side)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import minutes_between
 from ..functions.weather import impact, worst_impact
 from ..functions.zones import utc_to_local, with_zone
 from ..operators.sizing import sized_broadcast
+from ..session import reliable_checkpoint
 
 DEPARTURE, ARRIVAL = "departure_scheduled_utc", "arrival_scheduled_utc"
 
@@ -95,7 +95,7 @@ def frequency_tables(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
 
     The counts per combination are kept, and each column's table sums them.
     """
-    combined = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).persist(StorageLevel.MEMORY_AND_DISK)
+    combined = reliable_checkpoint(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")))
     tables = {}
     for column in columns:
         counts = combined.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("rows").alias("n"))
