@@ -100,9 +100,10 @@ def flight_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def actual_rows(docs: DataFrame) -> DataFrame:
-    """Past-flight documents as late records for the flight table."""
+def actual_rows(docs: DataFrame, *keep: str) -> DataFrame:
+    """Past-flight documents as late records for the flight table; ``keep`` passes columns on."""
     return docs.select(
+        *keep,
         "flight_number", F.col("from_code").alias("from_airport"), F.col("to_code").alias("to_airport"),
         clean_timestamp("departure.scheduled_utc").alias("departure_scheduled_utc"),
         clean_timestamp("departure.estimated_utc").alias("departure_final_utc"),

@@ -27,7 +27,7 @@ def read_json_with_provenance(
 ) -> DataFrame:
     """Documents with the file they came from and when they were read."""
     rows = read_json(spark, path, schema)
-    return rows.withColumn("provenance", _provenance(loaded_at or F.current_timestamp()))
+    return rows.withColumn("provenance", _provenance(F.current_timestamp() if loaded_at is None else loaded_at))
 
 
 def read_combined(spark: SparkSession, folder: str, schema: str, loaded_at: Column | None = None) -> DataFrame:
@@ -44,7 +44,7 @@ def read_combined(spark: SparkSession, folder: str, schema: str, loaded_at: Colu
     return rows.withColumn(
         "provenance",
         _provenance(
-            loaded_at or F.current_timestamp(), flight_type=part(1), flight_date=part(2),
+            F.current_timestamp() if loaded_at is None else loaded_at, flight_type=part(1), flight_date=part(2),
             collection_type=F.lit("flights"),
         ),
     )

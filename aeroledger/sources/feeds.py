@@ -115,12 +115,12 @@ def taf_documents(
 
 def read_metar(spark: SparkSession, path: str, loaded_at: Column | None = None) -> DataFrame:
     reports = spark.read.format("xml").option("rowTag", "METAR").schema(METAR_SCHEMA).load(path)
-    return metar_documents(reports, F.col("_metadata.file_path"), loaded_at or F.current_timestamp())
+    return metar_documents(reports, F.col("_metadata.file_path"), F.current_timestamp() if loaded_at is None else loaded_at)
 
 
 def read_taf(spark: SparkSession, path: str, loaded_at: Column | None = None) -> DataFrame:
     reports = spark.read.format("xml").option("rowTag", "TAF").schema(TAF_SCHEMA).load(path)
-    return taf_documents(reports, F.col("_metadata.file_path"), loaded_at or F.current_timestamp())
+    return taf_documents(reports, F.col("_metadata.file_path"), F.current_timestamp() if loaded_at is None else loaded_at)
 
 
 def _parsed(rows: DataFrame, column: str, schema: str) -> DataFrame:
