@@ -119,14 +119,18 @@ def active_duplicates(airlines: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf(T.DoubleType())
-def name_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Sequence-match ratio of two names, case ignored; 0 if either is missing."""
+def best_name_ratio(names: pd.Series, stated: pd.Series) -> pd.Series:
+    """Highest sequence-match ratio of a name with any stated one, case ignored; 0 without a name."""
     return pd.Series([
-        SequenceMatcher(None, a.lower(), b.lower()).ratio() if a and b else 0.0
-        for a, b in zip(left, right)
+        max((SequenceMatcher(None, n.lower(), s.lower()).ratio() if n and s else 0.0 for s in others), default=0.0)
+        for n, others in zip(names, stated)
     ])
 
 
+# Names per list that one row is compared with.
+NAME_CHUNK = 500
+
+
 def exact_authority_match(candidates: DataFrame, authority: DataFrame) -> DataFrame:
     """First airline per IATA code whose ICAO code or name an authority entry states."""
     by_icao = authority.select("iata", F.upper("icao").alias("k")).filter("k <> ''").distinct()
@@ -147,8 +151,15 @@ def authority_match(candidates: DataFrame, authority: DataFrame) -> DataFrame:
     exact = exact_authority_match(candidates, authority)
     rest = candidates.join(exact.select("iata"), "iata", "left_anti")
     own = rest.groupBy("iata", "name").agg(F.min("id").alias("id"))
-    stated = authority.select("iata", F.col("name").alias("stated")).distinct()
-    compared = own.join(stated, "iata").withColumn("ratio", name_ratio("name", "stated"))
+    stated = authority.select("iata", F.coalesce("name", F.lit("")).alias("stated")).distinct()
+    parts = stated.groupBy("iata").agg(F.ceil(F.count(F.lit(1)) / NAME_CHUNK).alias("parts"))
+    # Lists of bounded length, so a code with very many names makes more lists, not longer ones.
+    lists = (
+        stated.join(parts, "iata")
+        .withColumn("part", F.pmod(F.xxhash64("stated"), F.col("parts")))
+        .groupBy("iata", "part").agg(F.collect_list("stated").alias("stated"))
+    )
+    compared = own.join(lists, "iata").withColumn("ratio", best_name_ratio("name", "stated"))
     nearest = compared.groupBy("iata").agg(
         F.min(F.struct((-F.col("ratio")).alias("worst"), "id")).alias("best")
     )

@@ -84,25 +84,27 @@ def settled(df: DataFrame, hours: int = 24) -> DataFrame:
 
 # ---- frequencies -------------------------------------------------------------
 
-def frequencies(df: DataFrame, column: str) -> DataFrame:
-    """Share of each value among the rows that have one."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(column, (F.col("n") / F.sum("n").over(W.partitionBy())).alias("share"))
-
-
 def frequency_tables(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
-    """``frequencies`` of several columns from one pass over the rows.
+    """Per column the share of each value among the rows that have one, from one pass.
 
-    The counts per combination are kept, and each column's table sums them.
+    The counts per combination are written once; each column's table and total
+    are sums over them, so no step gathers all values in one task.
     """
     combined = reliable_checkpoint(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")))
     tables = {}
     for column in columns:
-        counts = combined.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("rows").alias("n"))
-        tables[column] = counts.select(column, (F.col("n") / F.sum("n").over(W.partitionBy())).alias("share"))
+        known = combined.filter(F.col(column).isNotNull())
+        total = known.agg(F.sum("rows")).scalar()
+        tables[column] = known.groupBy(column).agg(F.sum("rows").alias("n")).select(
+            column, (F.col("n") / total).alias("share")
+        )
     return tables
 
 
+def frequencies(df: DataFrame, column: str) -> DataFrame:
+    return frequency_tables(df, [column])[column]
+
+
 def with_frequency(df: DataFrame, table: DataFrame, column: str, out: str) -> DataFrame:
     """Add a stored frequency; a value the table does not know gets null."""
     known = table.select(column, F.col("share").alias(out))

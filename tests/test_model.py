@@ -229,10 +229,10 @@ def test_split_and_folds(spark):
     folds = model.cross_validation(df, ["f_id"], model.learner("decision_tree", maxDepth=3), 2)
     assert rows(folds, "fold") == [(0,), (1,)]
     assert model.stability(folds).count() == 4
-    curve = model.learning_curve(df, ["f_id"], model.learner("decision_tree", maxDepth=3), (0.5, 1.0))
-    assert curve.count() == 2
-    grid = model.validation_curve(df, ["f_id"], model.learner("decision_tree"), [2, 4])
-    assert rows(grid, "parameter", "value") == [("maxDepth", 2.0), ("maxDepth", 4.0)]
+    curve = model.learning_curve(df, ["f_id"], model.learner("decision_tree", maxDepth=3), (0.5,))
+    assert curve.count() == 1
+    grid = model.validation_curve(df, ["f_id"], model.learner("decision_tree"), [2])
+    assert rows(grid, "parameter", "value") == [("maxDepth", 2.0)]
 
 
 def test_unknown_model():

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from aeroledger import catalog, fixtures as fx
 from aeroledger.operators import merge, normalize
 from aeroledger.plans import features, model, pipeline
+from aeroledger.session import reliable_checkpoint
 from aeroledger.sources import boards, feeds
 from test_sources import BOARD, METAR, TAF
 
@@ -44,6 +45,7 @@ def documents(spark, tmp_path_factory):
     flights = normalize.collected_flights(
         boards.read_boards(spark, str(folder), airports), "s1", "realtime_departures", moment
     )
+    flights = reliable_checkpoint(flights)
     return {
         "flights": flights, "metar": feeds.read_metar(spark, str(folder / "m.xml"), moment),
         "taf": feeds.read_taf(spark, str(folder / "t.xml"), moment), "airports": airports, "now": moment,
@@ -60,13 +62,17 @@ def tables(spark, documents):
 
 def test_hourly_run(spark, documents):
     d = documents
-    linked = pipeline.link_documents(d["flights"], d["metar"], d["taf"], d["airports"], d["now"])
+    # Tables are written between the steps of a run.
+    linked = reliable_checkpoint(
+        pipeline.link_documents(d["flights"], d["metar"], d["taf"], d["airports"], d["now"])
+    )
     assert rows(linked, "flight_number", "metar_id", "taf_id") == [
         ("AF1", "LFPG_2025-10-01T12:30:00Z", "KJFK_2025-10-01T10:00:00Z_2025-10-02T00:00:00Z_f0"),
         ("AF2", "LFPG_2025-10-01T12:30:00Z", "KJFK_2025-10-01T10:00:00Z_2025-10-02T00:00:00Z_f0"),
         ("DL3", None, None), ("DL4", None, None),
     ]
     loaded, rejected = pipeline.load_session(tables(spark, d), linked, d["metar"], d["taf"], "s1")
+    loaded = {n: reliable_checkpoint(t) for n, t in loaded.items()}
     assert {n: t.count() for n, t in loaded.items()} == {"flight": 2, "metar": 1, "taf": 1, "sky_condition": 3}
     assert all(t.count() == 0 for t in rejected.values())
     keys = loaded["metar"].first()["id"], loaded["taf"].first()["id"]
@@ -84,7 +90,7 @@ def test_hourly_run(spark, documents):
 
 
 def test_train_store_score(spark, tmp_path):
-    view = catalog._view(spark, SMOKE)
+    view = reliable_checkpoint(catalog._view(spark, SMOKE))
     airports = fx.airports(spark, SMOKE)
     pipeline.train_and_store(view, airports, str(tmp_path), "1", "decision_tree", sample_size=1500, maxDepth=3)
     trained, stored = model.load(spark, str(tmp_path))
