@@ -1,4 +1,3 @@
-import datetime as dt
 
 import pytest
 from conftest import rows
@@ -6,7 +5,7 @@ from pyspark.sql import functions as F
 
 from aeroledger import catalog, fixtures as fx
 from aeroledger.operators import merge, normalize
-from aeroledger.plans import features, model, pipeline
+from aeroledger.plans import features, hourly, model
 from aeroledger.session import reliable_checkpoint
 from aeroledger.sources import boards, feeds
 from test_sources import BOARD, METAR, TAF
@@ -64,27 +63,27 @@ def test_hourly_run(spark, documents):
     d = documents
     # Tables are written between the steps of a run.
     linked = reliable_checkpoint(
-        pipeline.link_documents(d["flights"], d["metar"], d["taf"], d["airports"], d["now"])
+        hourly.link_documents(d["flights"], d["metar"], d["taf"], d["airports"], d["now"])
     )
     assert rows(linked, "flight_number", "metar_id", "taf_id") == [
         ("AF1", "LFPG_2025-10-01T12:30:00Z", "KJFK_2025-10-01T10:00:00Z_2025-10-02T00:00:00Z_f0"),
         ("AF2", "LFPG_2025-10-01T12:30:00Z", "KJFK_2025-10-01T10:00:00Z_2025-10-02T00:00:00Z_f0"),
         ("DL3", None, None), ("DL4", None, None),
     ]
-    loaded, rejected = pipeline.load_session(tables(spark, d), linked, d["metar"], d["taf"], "s1")
+    loaded, rejected = hourly.load_session(tables(spark, d), linked, d["metar"], d["taf"], "s1")
     loaded = {n: reliable_checkpoint(t) for n, t in loaded.items()}
     assert {n: t.count() for n, t in loaded.items()} == {"flight": 2, "metar": 1, "taf": 1, "sky_condition": 3}
     assert all(t.count() == 0 for t in rejected.values())
     keys = loaded["metar"].first()["id"], loaded["taf"].first()["id"]
     assert rows(loaded["flight"], "departure_metar_fk", "arrival_taf_fk") == [keys, keys]
     assert rows(loaded["sky_condition"], "sky_cover", "condition_order") == [("BKN", 2), ("FEW", 1), ("SCT", 1)]
-    again, _ = pipeline.load_session(loaded, linked, d["metar"], d["taf"], "s1")
+    again, _ = hourly.load_session(loaded, linked, d["metar"], d["taf"], "s1")
     assert {n: t.count() for n, t in again.items()} == {"flight": 2, "metar": 1, "taf": 1, "sky_condition": 3}
 
     past = d["flights"].withColumn("status", F.lit("Landed")).withColumn(
         "arrival", F.col("arrival").withField("delay.minutes", F.lit(42))
     )
-    corrected = pipeline.correct_flights(loaded["flight"], past, ["_metadata.collected_at", "_id"])
+    corrected = hourly.correct_flights(loaded["flight"], past, ["_metadata.collected_at", "_id"])
     assert rows(corrected, "flight_number", "status_final", "delay_min") == [("AF1", "Landed", 42), ("AF2", "Landed", 42)]
     assert corrected.filter("arrival_actual_utc is not null and departure_final_utc is not null").count() == 2
 
@@ -92,7 +91,7 @@ def test_hourly_run(spark, documents):
 def test_train_store_score(spark, tmp_path):
     view = reliable_checkpoint(catalog._view(spark, SMOKE))
     airports = fx.airports(spark, SMOKE)
-    pipeline.train_and_store(view, airports, str(tmp_path), "1", "decision_tree", sample_size=1500, maxDepth=3)
+    hourly.train_and_store(view, airports, str(tmp_path), "1", "decision_tree", sample_size=1500, maxDepth=3)
     trained, stored = model.load(spark, str(tmp_path))
     assert sorted(stored) == sorted(features.FREQUENCIES)
     flights = fx.flights(spark, SMOKE).selectExpr("row_key as id", "delay_prob", "delay_risk_level")
