@@ -158,25 +158,25 @@ def restore_tables(spark: SparkSession, files: dict[str, str], schemas: dict[str
 
 # Where each resource keeps its list, and its flat columns.
 PAGED = {
-    "countries": ("CountryResource.Countries.Country", "CountryCode string, Names struct<Name: struct<`$`: string>>",
+    "countries": ("CountryResource.Countries.Country", "CountryCode: string, Names: struct<Name: struct<`$`: string>>",
                   {"CountryCode": "CountryCode", "Name": "Names.Name.`$`"}),
     "cities": ("CityResource.Cities.City",
-               "CityCode string, CountryCode string, Names struct<Name: struct<`$`: string>>",
+               "CityCode: string, CountryCode: string, Names: struct<Name: struct<`$`: string>>",
                {"CityCode": "CityCode", "CountryCode": "CountryCode", "Name": "Names.Name.`$`"}),
     "airports": ("AirportResource.Airports.Airport",
-                 "AirportCode string, CityCode string, CountryCode string, "
-                 "Names struct<Name: struct<`$`: string>>, "
-                 "Position struct<Coordinate: struct<Latitude: double, Longitude: double>>, "
-                 "UtcOffset string, TimeZoneId string",
+                 "AirportCode: string, CityCode: string, CountryCode: string, "
+                 "Names: struct<Name: struct<`$`: string>>, "
+                 "Position: struct<Coordinate: struct<Latitude: double, Longitude: double>>, "
+                 "UtcOffset: string, TimeZoneId: string",
                  {"AirportCode": "AirportCode", "CityCode": "CityCode", "CountryCode": "CountryCode",
                   "Name": "Names.Name.`$`", "Latitude": "Position.Coordinate.Latitude",
                   "Longitude": "Position.Coordinate.Longitude", "UtcOffset": "UtcOffset",
                   "TimeZoneId": "TimeZoneId"}),
     "airlines": ("AirlineResource.Airlines.Airline",
-                 "AirlineID string, AirlineID_ICAO string, Names struct<Name: struct<`$`: string>>",
+                 "AirlineID: string, AirlineID_ICAO: string, Names: struct<Name: struct<`$`: string>>",
                  {"AirlineID": "AirlineID", "AirlineID_ICAO": "AirlineID_ICAO", "Name": "Names.Name.`$`"}),
     "aircraft": ("AircraftResource.AircraftSummaries.AircraftSummary",
-                 "AircraftCode string, Names struct<Name: struct<`$`: string>>, AirlineEquipCode string",
+                 "AircraftCode: string, Names: struct<Name: struct<`$`: string>>, AirlineEquipCode: string",
                  {"AircraftCode": "AircraftCode", "Name": "Names.Name.`$`",
                   "AirlineEquipCode": "AirlineEquipCode"}),
 }
@@ -185,8 +185,7 @@ PAGED = {
 def paged_schema(kind: str) -> str:
     """Schema of one page: nested structs down to the list of items."""
     path, item, _ = PAGED[kind]
-    fields = item.replace(" string", ": string").replace(" struct", ": struct")
-    nested = f"array<struct<{fields}>>"
+    nested = f"array<struct<{item}>>"
     for name in reversed(path.split(".")[1:]):
         nested = f"struct<{name}: {nested}>"
     return f"{path.split('.')[0]} {nested}"
