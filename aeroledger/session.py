@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,30 @@ def build_session(app: str = "aeroledger", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers once per application.
+
+    Functions that run in Python workers are found by their module, and a worker
+    need not have the driver's path or working directory.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="aeroledger-")), "aeroledger.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("aeroledger", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 
