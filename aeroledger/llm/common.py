@@ -37,6 +37,14 @@ def decode(raw: bytes) -> str:
     return raw.decode("utf-8", "replace")
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has such a column."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``function(iterator of rows as tuples) -> iterator of tuples`` over Arrow batches."""
     prepare(frame.sparkSession)
@@ -89,7 +97,8 @@ def with_range(frame: DataFrame, column: str, bounds: list[int], name: str = "ra
     if last < 2:
         return frame.withColumn(name, F.when(F.col(column).isNull(), last).otherwise(0).cast("int"))
     cut = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep")
-    return cut.transform(frame).withColumn(name, F.col(name).cast("int"))
+    number = F.when(F.col(column).isNull(), last).otherwise(F.col(name)).cast("int")
+    return cut.transform(frame).withColumn(name, number)
 
 
 def by_range(frame: DataFrame, bounds: list[int], name: str = "range_no") -> DataFrame:

@@ -154,13 +154,13 @@ def one_per_group(
     The row with the smallest id stays (null ids last, then the smallest text
     digest); of rows that repeat that id and text, one.
     """
-    columns = documents.columns
+    key = common.free_name(documents, "kept_row")
     marked = marked_rows(documents, shingle_words, bits, bucket_pairs)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     kept = marked.groupBy("label").agg(F.min(order).alias("row"))
-    kept = kept.select(row_key(F.col("row.doc_id"), F.col("row.text_key")).alias("kept_row"))
-    keyed = documents.withColumn("kept_row", row_key(F.col("doc_id"), F.md5(common.text_bytes("text"))))
-    return keyed.join(kept, "kept_row", "left_semi").dropDuplicates(["kept_row"]).select(*columns)
+    kept = kept.select(row_key(F.col("row.doc_id"), F.col("row.text_key")).alias(key))
+    keyed = documents.withColumn(key, row_key(F.col("doc_id"), F.md5(common.text_bytes("text"))))
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*documents.columns)
 
 
 def row_key(doc_id, text_key):

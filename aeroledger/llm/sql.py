@@ -2,4 +2,72 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+WARC = """
+with p as (
+    select page_id, url, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+    from pages
+), g as (
+    select *, min(page_id) over (partition by payload_digest) as first_id from p
+)
+select page_id, url as target_uri,
+    case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to,
+    payload_bytes, payload_digest,
+    '<urn:uuid:' || regexp_replace(left(sha256(page_id || chr(10) || url || chr(10) || payload_digest || chr(10) || '0'), 32),
+        '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') || '>' as record_id
+from g
+"""
+
+CHAT = r"""
+with c as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e as (
+    select *, regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|/?ROLE\])', '\1\\\2\3', 'g') as safe,
+        regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\]|/?ROLE\])', '\1\\\2\3', 'g') as safe_role
+    from c
+), s as (
+    select *, role = 'assistant' as reply, length(safe) + length('<s></s>') + case role when 'assistant' then 0
+        when 'user' then length('[INST]  [/INST]') else length('[ROLE]  [/ROLE]') + length(safe_role) end as size
+    from e
+), o as (
+    select *, sum(size) over (partition by conv_id order by turn nulls last, role, text rows unbounded preceding) as until from s
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls last, role, text)) as turns_sha256,
+    cast(coalesce(sum(length(text)) filter (reply), 0) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn nulls last, role, text) filter (reply), '')) as loss_sha256,
+    cast(sum(size) as bigint) as formatted_chars, count(*) filter (reply) as n_examples,
+    cast(coalesce(sum(until) filter (reply), 0) as bigint) as example_chars
+from o group by conv_id
+"""
+
+DECONTAMINATE = r"""
+with d as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from documents
+), b as (
+    select item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from benchmark
+), win as (
+    select distinct item_id, w[i:i + least(len(w), 10) - 1] as g from (
+        select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)
+), sizes as (
+    select distinct len(g) as n from win
+), grams as (
+    select doc_id, i, n, w[i:i + n - 1] as g from (
+        select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, sizes where len(w) >= n)
+), hit as (
+    select distinct doc_id, item_id, i, n from grams join win using (g)
+), places as (
+    select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hit) group by doc_id
+), items as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+    from (select distinct doc_id, cast(item_id as varchar) as item from hit) group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join places using (doc_id) left join items using (doc_id)
+"""
+
+SQL: dict[str, str] = {"op1_warc": WARC, "op3_chat": CHAT, "op4_decontaminate": DECONTAMINATE}
