@@ -17,6 +17,7 @@ equal ids each keep their row; an empty table gives no rows; further columns are
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 from . import common
 
 # Pieces whose ids a worker keeps; a full cache starts anew.
-CACHED_PIECES = 400_000
-# Longer pieces are encoded each time they come.
-LONGEST_CACHED = 64
+CACHED_PIECES = 500_000
 # Token pairs whose validity a worker keeps.
 CACHED_PAIRS = 1_000_000
 # Code points that are split at once; a longer text is cut between words.
 SPLIT_CHARS = 1 << 20
+# Code points of short texts whose pieces are encoded together.
+BATCH_CHARS = 1 << 21
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -127,6 +128,26 @@ class PrefixEncoder:
         return self.tokens(data, last)
 
 
+    def encode_sorted(self, pieces: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of pieces in byte order; each goes on from the prefix that it shares with the one before."""
+        found, last, before = {}, [], b""
+        for data in pieces:
+            whole = self.ranks.get(data)
+            if whole is not None:
+                found[data] = [whole]
+                continue
+            shared = 0
+            for a, b in zip(before, data):
+                if a != b:
+                    break
+                shared += 1
+            last[shared:] = [0] * (len(data) - shared)
+            self.extend(data, last, shared, len(data))
+            found[data] = self.tokens(data, last)
+            before = data
+        return found
+
+
 class EditableBytes:
     """A byte string with the last token of every prefix, kept through appends and edits."""
 
@@ -228,33 +249,33 @@ def portions(text: str, size: int = SPLIT_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-class PieceCache(dict):
-    """Ids of each piece as little-endian 32-bit words; starts anew when it is full."""
-
-    def __init__(self, encoder: PrefixEncoder, limit: int):
-        super().__init__()
-        self.encoder, self.limit = encoder, limit
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encoder.encode(piece.encode()), dtype="<u4").tobytes()
-        if len(piece) <= LONGEST_CACHED:
-            if len(self) >= self.limit:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
 class TextEncoder:
-    """Whole texts to ids and back; one per worker and vocabulary."""
+    """Whole texts to ids and back; one per worker and vocabulary.
+
+    ``known`` holds the ids of pieces as little-endian 32-bit words and starts anew when it is full.
+    """
 
-    def __init__(self, path: str):
-        self.encoder = PrefixEncoder(read_ranks(path))
-        self.splitter = PieceSplitter()
-        self.cache = PieceCache(self.encoder, CACHED_PIECES)
+    def __init__(self, path: str, limit: int = CACHED_PIECES):
+        self.encoder, self.splitter, self.limit = PrefixEncoder(read_ranks(path)), PieceSplitter(), limit
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, pieces: set[str]) -> None:
+        fresh = pieces.difference(self.known)
+        if len(self.known) + len(fresh) > self.limit:
+            self.known, fresh = {}, pieces
+        found = self.encoder.encode_sorted(sorted(piece.encode() for piece in fresh))
+        for data, ids in found.items():
+            self.known[data.decode()] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; new pieces of all texts are encoded together."""
+        split = [self.splitter.pieces(text) for text in texts]
+        self.learn(set().union(*split))
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, pieces)) for pieces in split]
 
     def encode(self, text: str) -> bytes:
-        ids = self.cache.__getitem__
-        return b"".join(b"".join(map(ids, self.splitter.pieces(part))) for part in portions(text))
+        return b"".join(self.encode_all([part])[0] for part in portions(text))
 
     def decode(self, ids: bytes) -> bytes:
         token = self.encoder.token.__getitem__
@@ -277,8 +298,18 @@ def encode_documents(documents: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         encoder = encoder_for(ranks_path)
+        held, size = [], 0
         for doc_id, raw in rows:
-            yield doc_id, encoder.encode(common.decode(raw))
+            text = common.decode(raw)
+            if len(text) > SPLIT_CHARS:
+                yield doc_id, encoder.encode(text)
+                continue
+            held.append((doc_id, text))
+            size += len(text)
+            if size >= BATCH_CHARS:
+                yield from zip((i for i, _ in held), encoder.encode_all([t for _, t in held]))
+                held, size = [], 0
+        yield from zip((i for i, _ in held), encoder.encode_all([t for _, t in held]))
 
     return common.map_rows(documents.select("doc_id", common.text_bytes("text").alias("raw")), run, "doc_id long, ids binary")
 
