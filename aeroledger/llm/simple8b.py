@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -49,44 +50,83 @@ ESCAPE = 15
 
 # ---- words -------------------------------------------------------------------------
 
-def pack_block(ids: np.ndarray) -> np.ndarray:
-    """Words of one block of unsigned 64-bit ids, greedily the most ids per word."""
+def fitting(narrow: np.ndarray, count: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a word of ``count`` narrow ids may start, and how many ids it takes.
+
+    Runs of narrow ids end at a wide one and at a block's end; only at a block's end
+    may a word be filled in part.
+    """
+    size = len(narrow)
+    change = narrow[1:] != narrow[:-1]
+    change[block - 1 :: block] = True
+    start = np.concatenate([[0], np.flatnonzero(change) + 1])
+    end = np.append(start[1:], size)
+    closes = (end % block == 0) | (end == size)
+    run = narrow[start] & ((end - start >= count) | closes)
+    start, end, closes = start[run], end[run], closes[run]
+    length = end - start
+    place = np.arange(int(length.sum())) + np.repeat(start - (np.cumsum(length) - length), length)
+    left = np.repeat(end, length) - place
+    fits = (left >= count) | np.repeat(closes, length)
+    return place[fits], np.minimum(left[fits], count)
+
+
+def word_starts(taken: np.ndarray, block: int) -> np.ndarray:
+    """Where words start, if a word at a place takes so many ids; all blocks are walked side by side."""
+    size = len(taken)
+    start = np.zeros(size, dtype=bool)
+    at = np.arange(0, size, block)
+    end = np.minimum(at + block, size)
+    while len(at):
+        start[at] = True
+        at = at + taken[at]
+        inside = at < end
+        if not inside.all():
+            at, end = at[inside], end[inside]
+    return np.flatnonzero(start)
+
+
+def pack(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[np.ndarray, np.ndarray]:
+    """Words of unsigned 64-bit ids, greedily the most ids per word, and each block's first word.
+
+    No word holds ids of two blocks; the last word of a block may hold fewer than it has room for.
+    """
     size = len(ids)
     if not size:
-        return np.empty(0, dtype="<u8")
-    position = np.arange(size)
-    choice = np.full(size, ESCAPE, dtype=np.int64)
+        return np.empty(0, dtype="<u8"), np.empty(0, dtype="<u8")
+    # The narrowest selector that takes each id.
+    need = np.zeros(size, dtype=np.int8)
+    for _, bits in PACKS:
+        need += ids >= np.uint64(1 << bits)
+    choice = np.full(size, ESCAPE, dtype=np.int8)
     taken = np.ones(size, dtype=np.int64)
-    for selector in reversed(range(len(PACKS))):
-        count, bits = PACKS[selector]
-        wide = ids >= np.uint64(1 << bits)
-        # First id from here on that is too wide; a last word may hold fewer ids than it has room for.
-        stop = np.minimum.accumulate(np.where(wide, position, size)[::-1])[::-1]
-        fits = (stop - position >= count) | ((stop == size) & ~wide)
-        choice[fits] = selector
-        taken[fits] = np.minimum(count, size - position[fits])
-    following = (position + taken).tolist()
-    starts, at = [], 0
-    while at < size:
-        starts.append(at)
-        at = following[at]
-    starts = np.array(starts)
-    chosen = choice[starts]
+    # The selector that takes every id fits everywhere, so wider ones need no look.
+    for selector in reversed(range(min(len(PACKS), int(need.max()) + 1))):
+        place, count = fitting(need <= selector, PACKS[selector][0], block)
+        choice[place] = selector
+        taken[place] = count
+    starts = word_starts(taken, block)
+    chosen, held = choice[starts], taken[starts]
     width = np.where(chosen == ESCAPE, 2, 1)
     place = np.cumsum(width) - width
     words = np.zeros(int(width.sum()), dtype="<u8")
     words[place] = chosen.astype("<u8") << np.uint64(60)
-    padded = np.concatenate([ids, np.zeros(60, dtype="<u8")])
     for selector, (count, bits) in enumerate(PACKS):
         of = np.flatnonzero(chosen == selector)
-        if len(of):
-            first = starts[of]
-            for k in range(count):
-                inside = np.where(k < taken[first], padded[first + k], np.uint64(0))
-                words[place[of]] |= inside << np.uint64(bits * k)
+        if not len(of):
+            continue
+        first, target, room = starts[of], place[of], held[of]
+        value = words[target]
+        for k in range(count):
+            inside = room > k
+            if inside.all():
+                value |= ids[first + k] << np.uint64(bits * k)
+            else:
+                value[inside] |= ids[first[inside] + k] << np.uint64(bits * k)
+        words[target] = value
     escaped = np.flatnonzero(chosen == ESCAPE)
     words[place[escaped] + 1] = ids[starts[escaped]]
-    return words
+    return words, place[starts % block == 0].astype("<u8")
 
 
 def unpack(words: np.ndarray, first_word: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -120,13 +160,11 @@ def unpack(words: np.ndarray, first_word: np.ndarray, sizes: np.ndarray) -> np.n
 
 
 def file_bytes(doc_ids: list[int], counts: list[int], ids: np.ndarray) -> bytes:
-    blocks = [pack_block(ids[a : a + BLOCK_IDS]) for a in range(0, len(ids), BLOCK_IDS)]
-    lengths = np.array([len(b) for b in blocks], dtype="<u8")
-    head = np.array([len(doc_ids), len(ids), BLOCK_IDS, len(blocks), int(lengths.sum())], dtype="<u8")
-    offsets = (np.cumsum(lengths) - lengths).astype("<u8")
+    words, offsets = pack(ids)
+    head = np.array([len(doc_ids), len(ids), BLOCK_IDS, len(offsets), len(words)], dtype="<u8")
     return b"".join([
         MAGIC, head.tobytes(), np.array(doc_ids, dtype="<i8").tobytes(), np.array(counts, dtype="<u8").tobytes(),
-        offsets.tobytes(), *(b.tobytes() for b in blocks),
+        offsets.tobytes(), words.tobytes(),
     ])
 
 
@@ -149,6 +187,16 @@ def file_content(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 # ---- ids of texts ---------------------------------------------------------------------
 
+def id_type(plan: dict) -> str:
+    """16 bits per id where the vocabulary allows, else 32."""
+    return "<u2" if max(plan["model"]["vocab"].values()) < 1 << 16 else "<u4"
+
+
+def read_plan(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
 class SpellingCache(dict):
     """Ids of each white-space-free stretch of text, asked of the library once per spelling.
 
@@ -160,9 +208,10 @@ class SpellingCache(dict):
         super().__init__()
         from tokenizers import Tokenizer
 
-        plan = json.load(open(path, encoding="utf-8"))
+        plan = read_plan(path)
         splits = [p["pattern"]["Regex"] for p in plan["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.pattern = regex.compile(splits[0])
+        self.code = {"<u2": "H", "<u4": "I"}[id_type(plan)]
         self.words: dict[str, bytes] = {}
         # The library's model alone; stretches come to it normalised and split.
         plan |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
@@ -174,8 +223,10 @@ class SpellingCache(dict):
     def word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            spelled = word.encode().decode("latin-1").translate(self.spelled)
-            ids = np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
+            # Printable ASCII stands for its own bytes.
+            spelled = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.spelled)
+            found = [token.id for token in self.model.tokenize(spelled)]
+            ids = struct.pack(f"<{len(found)}{self.code}", *found)
             if len(self.words) >= CACHED:
                 self.words.clear()
             if len(word) <= 64:
@@ -222,8 +273,8 @@ def cache_for(path: str) -> SpellingCache:
 
 
 def tokenize(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, text_key, ids`` per row, ``ids`` with the end id as unsigned 32-bit integers."""
-    end = np.array([end_id], dtype="<u4").tobytes()
+    """``doc_id, text_key, ids`` per row, ``ids`` with the end id as integers of ``id_type``."""
+    end = np.array([end_id], dtype=id_type(read_plan(tokenizer_path))).tobytes()
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         ids = cache_for(tokenizer_path).__getitem__
@@ -242,9 +293,10 @@ def tokenize(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
 class IdFiles:
     """Files of one range; documents are never cut between files."""
 
-    def __init__(self, folder: str, range_no: int, file_ids: int):
+    def __init__(self, folder: str, range_no: int, file_ids: int, kind: str):
         self.files, self.root = common.open_folder(folder)
         self.range_no, self.limit, self.seq = range_no, file_ids, 0
+        self.kind = np.dtype(kind)
         self.reset()
 
     def reset(self) -> None:
@@ -252,15 +304,15 @@ class IdFiles:
 
     def add(self, doc_id: int | None, ids: bytes) -> Iterator[tuple]:
         self.docs.append(NO_ID if doc_id is None else doc_id)
-        self.counts.append(len(ids) // 4)
+        self.counts.append(len(ids) // self.kind.itemsize)
         self.parts.append(ids)
-        self.total += len(ids) // 4
+        self.total += self.counts[-1]
         if self.total >= self.limit:
             yield from self.close()
 
     def close(self) -> Iterator[tuple]:
         if self.docs:
-            data = file_bytes(self.docs, self.counts, np.frombuffer(b"".join(self.parts), dtype="<u4").astype("<u8"))
+            data = file_bytes(self.docs, self.counts, np.frombuffer(b"".join(self.parts), dtype=self.kind).astype("<u8"))
             staged = common.staged_name()
             self.files.create_dir(f"{self.root}/_temporary", recursive=True)
             with self.files.open_output_stream(f"{self.root}/{staged}") as out:
@@ -273,9 +325,9 @@ class IdFiles:
 
 
 def write_ids(
-    tokenized: DataFrame, bounds: list[int], folder: str, file_ids: int = FILE_IDS
+    tokenized: DataFrame, bounds: list[int], folder: str, file_ids: int = FILE_IDS, kind: str = "<u4"
 ) -> DataFrame:
-    """Write ``doc_id, text_key, ids`` rows below ``folder``; the manifest."""
+    """Write ``doc_id, text_key, ids`` rows (ids of type ``kind``) below ``folder``; the manifest."""
     dealt = common.by_range(common.with_range(tokenized, "doc_id", bounds), bounds).sortWithinPartitions(
         "range_no", F.col("doc_id").asc_nulls_last(), "text_key"
     )
@@ -286,7 +338,7 @@ def write_ids(
             if out is None or out.range_no != range_no:
                 if out:
                     yield from out.close()
-                out = IdFiles(folder, range_no, file_ids)
+                out = IdFiles(folder, range_no, file_ids, kind)
             yield from out.add(doc_id, ids)
         if out:
             yield from out.close()
@@ -329,7 +381,8 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
 def write_documents(documents: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID,
                     rows_per_range: int = ROWS_PER_RANGE, file_ids: int = FILE_IDS) -> DataFrame:
     bounds = common.range_bounds(documents, "doc_id", rows_per_range)
-    return write_ids(tokenize(documents, tokenizer_path, end_id), bounds, folder, file_ids)
+    kind = id_type(read_plan(tokenizer_path))
+    return write_ids(tokenize(documents, tokenizer_path, end_id), bounds, folder, file_ids, kind)
 
 
 def crc(ids: bytes) -> int:
