@@ -48,7 +48,8 @@ def hourly_stats(spark, folder):
 
 @query
 def airline_stats(spark, folder):
-    return reports.airline_stats(fx.flights(spark, folder), fx.airlines(spark, folder), top=3)
+    airlines = fx.airlines(spark, folder)
+    return reports.airline_stats(fx.flights(spark, folder), airlines.unionByName(_old_airlines(airlines)), top=3)
 
 
 @query
@@ -80,12 +81,20 @@ def filter_options(spark, folder):
 
 
 def _search(spark, folder, **filters):
+    # Every code twice: the copies must neither show nor multiply rows.
+    airports, airlines = fx.airports(spark, folder), fx.airlines(spark, folder)
     return with_doubles(reports.search_flights(
-        fx.flights(spark, folder), fx.metar(spark, folder), fx.airports(spark, folder),
-        fx.airlines(spark, folder), **filters,
+        fx.flights(spark, folder), fx.metar(spark, folder),
+        airports.unionByName(airports.selectExpr("* except (id, city)", "id + 1000 as id", "'copy' as city")),
+        airlines.unionByName(_old_airlines(airlines)), **filters,
     ))
 
 
+def _old_airlines(airlines):
+    """A second, inactive airline for every code."""
+    return airlines.selectExpr("iata", "concat('~', name) as name", "'N' as active")
+
+
 @query
 def search_flights(spark, folder):
     return _search(
@@ -541,9 +550,9 @@ def country_anti(spark, folder):
 def first_seen_dedup(spark, folder):
     pulls = fx.flights(spark, folder).selectExpr(
         "airline_code as carrier", "flight_number", "cast(departure_scheduled_utc as date) as dep_date",
-        "hour(departure_scheduled_utc) as pull_hour", "row_key",
+        "date_format(departure_scheduled_utc, 'HH:mm') as dep_time", "row_key",
     )
-    return dims.first_seen(pulls, ["carrier", "flight_number", "dep_date"], ["pull_hour", "row_key"])
+    return dims.first_seen(pulls, ["carrier", "flight_number", "dep_date", "dep_time"], ["row_key"])
 
 
 @query
@@ -557,7 +566,14 @@ def snapshot_delta(spark, folder):
 
 @query
 def snapshot_changed(spark, folder):
-    return dims.snapshot_digest(fx.table(spark, folder, "lineitem")).select("rows")
+    """Digests of a file's rows, in any order, and of a copy with one column changed."""
+    rows = fx.table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "cast(l_quantity as long) as l_quantity", "l_returnflag"
+    )
+    changed = rows.withColumn("l_returnflag", F.expr("if(l_quantity > 45, 'X', l_returnflag)"))
+    return dims.snapshot_digest(rows.repartition(5)).withColumn("copy", F.lit("old")).unionByName(
+        dims.snapshot_digest(changed).withColumn("copy", F.lit("new"))
+    )
 
 
 # ---- data quality ------------------------------------------------------------
@@ -595,10 +611,11 @@ def dq_not_null(spark, folder):
 
 @query
 def dq_report(spark, folder):
-    return quality.report(quality.weather_checks(
-        fx.flights(spark, folder), fx.metar(spark, folder), fx.taf(spark, folder),
-        fx.sky_condition(spark, folder),
-    ))
+    tables = {
+        "flight": fx.flights(spark, folder), "metar": fx.metar(spark, folder), "taf": fx.taf(spark, folder),
+        "sky": fx.sky_condition(spark, folder),
+    }
+    return quality.report(tables, quality.weather_checks())
 
 
 @query
@@ -606,9 +623,11 @@ def dq_dimensions(spark, folder):
     airports = dims.dim_airports(_own_airports(spark, folder), _other_airports(spark, folder))
     carriers = dims.dim_airlines(_carriers(spark, folder), _nations(spark, folder), _brands(spark, folder))
     runways = fx.table(spark, folder, "orders").selectExpr("o_orderkey as id", "o_custkey * 2 as airport_ref")
-    return quality.report(quality.dimension_checks(
-        _nations(spark, folder), carriers, airports, dims.null_markers(_routes(spark, folder)), runways
-    ))
+    tables = {
+        "countries": _nations(spark, folder), "airlines": carriers, "airports": airports,
+        "routes": dims.null_markers(_routes(spark, folder)), "runways": runways,
+    }
+    return quality.report(tables, quality.dimension_checks())
 
 
 # ---- normalisation -----------------------------------------------------------
@@ -961,10 +980,15 @@ def class_shares(spark, folder):
     return features.class_shares(features.target(flights))
 
 
+def _prepared(spark, folder):
+    cut = features.training_cut(fx.flights(spark, folder))
+    return features.prepare(_view(spark, folder), fx.airports(spark, folder), cut=cut)
+
+
 @query
 def feature_frame(spark, folder):
     """The full training frame, reduced to sums per airport for comparison."""
-    frame = features.prepare(_view(spark, folder), fx.airports(spark, folder))
+    frame = _prepared(spark, folder)
     return frame.groupBy("from_airport").agg(
         F.count(F.lit(1)).alias("n"), F.sum("delay").alias("late"),
         F.sum("weather_severity_dep").alias("dep"), F.sum("weather_severity_arr").alias("arr"),
@@ -1149,7 +1173,7 @@ def stream_best_taf(spark, folder):
     )
     jobs.merge_available(
         arrivals, f"{base}/table", f"{base}/progress",
-        jobs.link_step(fx.taf(spark, folder), fx.airports(spark, folder)),
+        jobs.link_step(fx.taf(spark, folder), fx.airports(spark, folder), ["flight_key"], ["arrival_scheduled_utc"]),
     )
     return jobs.read_latest(spark, f"{base}/table")
 
@@ -1157,7 +1181,7 @@ def stream_best_taf(spark, folder):
 # ---- models ------------------------------------------------------------------
 
 def _frame(spark, folder):
-    return reliable_checkpoint(features.prepare(_view(spark, folder), fx.airports(spark, folder)))
+    return reliable_checkpoint(_prepared(spark, folder))
 
 
 def _train(spark, folder, name, **params):
@@ -1166,7 +1190,7 @@ def _train(spark, folder, name, **params):
 
 @query
 def train_logistic(spark, folder):
-    return _train(spark, folder, "logistic_regression", maxIter=20).test_metrics
+    return _train(spark, folder, "logistic_regression").test_metrics
 
 
 @query
@@ -1177,15 +1201,18 @@ def train_tree_importance(spark, folder):
 
 @query
 def train_boosted_overfit(spark, folder):
-    return _train(spark, folder, "xgboost_tuned", maxIter=5).overfit
+    return _train(spark, folder, "xgboost_tuned").overfit
 
 
 @query
 def predicted_risk(spark, folder):
     """Train, score every flight of the view and count risk levels per airline."""
-    trained = _train(spark, folder, "random_forest", numTrees=10, maxDepth=5)
-    view = _view(spark, folder)
-    predictions = model.predict_flights(trained, view, fx.airports(spark, folder))
+    cut = features.training_cut(fx.flights(spark, folder))
+    view, airports = _view(spark, folder), fx.airports(spark, folder)
+    frame = reliable_checkpoint(features.prepare(view, airports, cut=cut))
+    trained = model.train(frame, ["f_id"], "random_forest")
+    # Scored with the frequencies of training, as a stored model would.
+    predictions = model.predict_flights(trained, view, airports, cut.tables)
     return predictions.join(view.select("f_id", "airline_code"), "f_id").groupBy("airline_code", "risk_level").agg(
         F.count(F.lit(1)).alias("flights"), F.avg("delay_probability").alias("mean_probability")
     )

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import similar_names
 
@@ -118,17 +114,11 @@ def active_duplicates(airlines: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def best_name_ratio(names: pd.Series, stated: pd.Series) -> pd.Series:
-    """Highest sequence-match ratio of a name with any stated one, case ignored; 0 without a name."""
-    return pd.Series([
-        max((SequenceMatcher(None, n.lower(), s.lower()).ratio() if n and s else 0.0 for s in others), default=0.0)
-        for n, others in zip(names, stated)
-    ])
-
-
-# Names per list that one row is compared with.
-NAME_CHUNK = 500
+def name_ratio(name: Column, stated: Column) -> Column:
+    """One minus the edit distance over the longer length, case ignored; 0 without a name."""
+    a, b = F.lower(F.coalesce(name, F.lit(""))), F.lower(F.coalesce(stated, F.lit("")))
+    longer = F.greatest(F.char_length(a), F.char_length(b))
+    return F.when((a != "") & (b != ""), 1 - F.levenshtein(a, b) / longer).otherwise(F.lit(0.0))
 
 
 def exact_authority_match(candidates: DataFrame, authority: DataFrame) -> DataFrame:
@@ -146,20 +136,14 @@ def authority_match(candidates: DataFrame, authority: DataFrame) -> DataFrame:
     """Chosen airline per IATA code: (iata, id, rule).
 
     An exact ICAO or name match wins, the first one in file order; only codes
-    without one are compared by name ratio, over distinct names of each code.
+    without one are compared by name ratio, over distinct names of each code. A code
+    has a handful of names on either side; the pairs are rows, not lists.
     """
     exact = exact_authority_match(candidates, authority)
     rest = candidates.join(exact.select("iata"), "iata", "left_anti")
     own = rest.groupBy("iata", "name").agg(F.min("id").alias("id"))
     stated = authority.select("iata", F.coalesce("name", F.lit("")).alias("stated")).distinct()
-    parts = stated.groupBy("iata").agg(F.ceil(F.count(F.lit(1)) / NAME_CHUNK).alias("parts"))
-    # Lists of bounded length, so a code with very many names makes more lists, not longer ones.
-    lists = (
-        stated.join(parts, "iata")
-        .withColumn("part", F.pmod(F.xxhash64("stated"), F.col("parts")))
-        .groupBy("iata", "part").agg(F.collect_list("stated").alias("stated"))
-    )
-    compared = own.join(lists, "iata").withColumn("ratio", best_name_ratio("name", "stated"))
+    compared = own.join(stated, "iata").withColumn("ratio", name_ratio(F.col("name"), F.col("stated")))
     nearest = compared.groupBy("iata").agg(
         F.min(F.struct((-F.col("ratio")).alias("worst"), "id")).alias("best")
     )
@@ -263,8 +247,13 @@ def first_seen(pulls: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def snapshot_digest(df: DataFrame) -> DataFrame:
-    """One row that does not depend on row order: row count and xor of row hashes."""
-    return df.select(F.xxhash64(*df.columns).alias("h")).agg(
+    """One row that does not depend on row order: row count, and xor and sum of row hashes.
+
+    The hash is the start of an MD5 over the values as text, which other engines can repeat.
+    """
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]
+    hashed = F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 15), 16, 10).cast("long")
+    return df.select(hashed.alias("h")).agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor("h").alias("digest"), F.expr("sum(h % 1000003)").alias("sum"),
     )
 

@@ -28,10 +28,18 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def surrogate_id(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
-    """A 64-bit id from the business key: equal on every run, unlike a sequence."""
+    """A 64-bit id from the business key: equal on every run, unlike a sequence.
+
+    Two keys may share an id (to be expected near 10^10 rows): see ``shared_ids``.
+    """
     return df.withColumn(name, F.xxhash64(*keys))
 
 
+def shared_ids(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
+    """Ids that stand for more than one business key, with the number of keys."""
+    return df.groupBy(name).agg(F.count_distinct(F.struct(*keys)).alias("keys")).filter("keys > 1")
+
+
 # ---- inserts -----------------------------------------------------------------
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,49 +34,115 @@ def one_parent(sky: DataFrame) -> DataFrame:
     return sky.filter(F.col("metar_fk").isNull() == F.col("taf_fk").isNull())
 
 
-def report(checks: dict[str, DataFrame]) -> DataFrame:
-    """One row per check with its number of violations."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
-        for name, df in checks.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
-
-
-def dimension_checks(
-    countries: DataFrame, airlines: DataFrame, airports: DataFrame, routes: DataFrame, runways: DataFrame
-) -> dict[str, DataFrame]:
+@dataclass(frozen=True)
+class Check:
+    """A declared check of one table.
+
+    ``kind``: ``not_null``, ``unique``, ``accepted`` (``values``), ``relationship`` (``parent``
+    table and its key) or ``condition`` (an SQL condition that a bad row fulfils).
+    """
+
+    name: str
+    table: str
+    kind: str
+    columns: tuple[str, ...] = ()
+    values: tuple[str, ...] = ()
+    parent: tuple[str, str] = ("", "")
+    condition: str = ""
+
+    def bad(self) -> Column:
+        """A violating row, for kinds that one row decides."""
+        column = F.col(self.columns[0]) if self.columns else None
+        if self.kind == "not_null":
+            return column.isNull()
+        if self.kind == "accepted":
+            return column.isNotNull() & ~column.isin(*self.values)
+        return F.expr(self.condition)
+
+    def key(self) -> Column:
+        """The value that rows are compared by; null if a part is null."""
+        parts = [F.col(c).cast("string") for c in self.columns]
+        present = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+        return F.when(present, F.to_json(F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])))
+
+
+def _evidence(name: str, df: DataFrame, checks: list[Check]) -> DataFrame | None:
+    """``check, key, rows, parent`` from one scan of a table: what its checks have to compare."""
+    entries = []
+
+    def entry(check: str, key: Column, wanted: Column, parent: bool) -> None:
+        entries.append(F.when(wanted, F.struct(
+            F.lit(check).alias("check"), key.alias("key"), F.lit(int(not parent)).cast("long").alias("rows"),
+            F.lit(parent).alias("parent"),
+        )))
+
+    for check in checks:
+        if check.kind == "relationship":
+            if check.table == name:
+                entry(check.name, check.key(), check.key().isNotNull(), False)
+            if check.parent[0] == name:
+                own = Check("", name, "unique", (check.parent[1],)).key()
+                entry(check.name, own, own.isNotNull(), True)
+        elif check.table == name:
+            if check.kind == "unique":
+                entry(check.name, check.key(), check.key().isNotNull(), False)
+            else:
+                entry(check.name, F.lit(None).cast("string"), check.bad(), False)
+    if not entries:
+        return None
+    return df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+
+
+def report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """One row per check with its number of violations; every table is read once.
+
+    Rows are counted per check and value before they are shuffled, so a value that
+    a third of all rows share costs one row per task.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    parts = [p for name, df in tables.items() if (p := _evidence(name, df, checks)) is not None]
+    counted = reduce(DataFrame.unionByName, parts).groupBy("check", "key").agg(
+        F.sum("rows").alias("rows"), F.max("parent").alias("parent")
+    )
+    kinds = spark.createDataFrame([(c.name, c.kind) for c in checks], "check string, kind string")
+    judged = counted.join(F.broadcast(kinds), "check").select(
+        "check",
+        F.when(F.col("kind") == "unique", (F.col("rows") > 1).cast("long"))
+        .when(F.col("kind") == "relationship", F.when(F.col("parent"), 0).otherwise(F.col("rows")))
+        .otherwise(F.col("rows")).cast("long").alias("violations"),
+    )
+    every = kinds.select("check", F.lit(0).cast("long").alias("violations"))
+    return judged.unionByName(every).groupBy("check").agg(F.sum("violations").alias("violations"))
+
+
+def dimension_checks() -> list[Check]:
     """The declared checks of the five dimensions."""
-    route_key = ["airline_iata", "source_airport_iata", "dest_airport_iata"]
-    checks = {
-        "countries.code unique": unique(countries, ["code"]),
-        "countries.code not_null": not_null(countries, "code"),
-        "airlines.id unique": unique(airlines, ["id"]),
-        "airlines.id not_null": not_null(airlines, "id"),
-        "airlines.iata unique": unique(airlines, ["iata"]),
-        "airlines.iata not_null": not_null(airlines, "iata"),
-        "airlines.country_code relationship": relationship(airlines, "country_code", countries, "code"),
-        "airlines.active accepted": accepted_values(airlines, "active", ["Y", "N"]),
-        "airports.id not_null": not_null(airports, "id"),
-        "airports.iata_code unique": unique(airports, ["iata_code"]),
-        "airports.iso_country relationship": relationship(airports, "iso_country", countries, "code"),
-        "routes key unique": unique(routes, route_key),
-        "runways.id not_null": not_null(runways, "id"),
-        "runways.airport_ref not_null": not_null(runways, "airport_ref"),
-        "runways.airport_ref relationship": relationship(runways, "airport_ref", airports, "id"),
-    }
-    checks.update({f"routes.{c} not_null": not_null(routes, c) for c in route_key})
+    route_key = ("airline_iata", "source_airport_iata", "dest_airport_iata")
+    checks = [
+        *[Check(f"{t}.{c} unique", t, "unique", (c,)) for t, c in (
+            ("countries", "code"), ("airlines", "id"), ("airlines", "iata"), ("airports", "iata_code"))],
+        *[Check(f"{t}.{c} not_null", t, "not_null", (c,)) for t, c in (
+            ("countries", "code"), ("airlines", "id"), ("airlines", "iata"), ("airports", "id"), ("runways", "id"),
+            ("runways", "airport_ref"), *[("routes", c) for c in route_key])],
+        Check("airlines.active accepted", "airlines", "accepted", ("active",), values=("Y", "N")),
+        Check("routes key unique", "routes", "unique", route_key),
+    ]
+    for table, column, parent in (
+        ("airlines", "country_code", ("countries", "code")), ("airports", "iso_country", ("countries", "code")),
+        ("runways", "airport_ref", ("airports", "id")),
+    ):
+        checks.append(Check(f"{table}.{column} relationship", table, "relationship", (column,), parent=parent))
     return checks
 
 
-def weather_checks(flights: DataFrame, metar: DataFrame, taf: DataFrame, sky: DataFrame) -> dict[str, DataFrame]:
+def weather_checks() -> list[Check]:
     """References between flights, reports, forecasts and sky layers."""
-    return {
-        "flight.departure_metar_fk": relationship(flights, "departure_metar_fk", metar, "id"),
-        "flight.arrival_taf_fk": relationship(flights, "arrival_taf_fk", taf, "id"),
-        "sky.metar_fk": relationship(sky, "metar_fk", metar, "id"),
-        "sky.taf_fk": relationship(sky, "taf_fk", taf, "id"),
-        "sky.one_parent": one_parent(sky),
-        "metar.external_id unique": unique(metar, ["external_id"]),
-        "taf.external_id unique": unique(taf, ["external_id"]),
-    }
+    checks = [
+        Check(f"{table}.{column}", table, "relationship", (column,), parent=(parent, "id"))
+        for table, column, parent in (
+            ("flight", "departure_metar_fk", "metar"), ("flight", "arrival_taf_fk", "taf"),
+            ("sky", "metar_fk", "metar"), ("sky", "taf_fk", "taf"),
+        )
+    ]
+    checks.append(Check("sky.one_parent", "sky", "condition", condition="(metar_fk is null) = (taf_fk is null)"))
+    return checks + [Check(f"{t}.external_id unique", t, "unique", ("external_id",)) for t in ("metar", "taf")]

@@ -13,7 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 128
+from ..session import reliable_checkpoint
+
+# Distinct scores per range aimed at, and the most ranges.
+RANGE_SCORES = 20_000
+MAX_RANGES = 1024
 
 
 def _range_of(score: Column, bounds: list[float], first: int = 0) -> Column:
@@ -32,14 +36,16 @@ def curve(scored: DataFrame) -> DataFrame:
         F.sum(F.col("label").cast("long")).alias("pos"),
         F.sum(1 - F.col("label").cast("long")).alias("neg"),
     )
-    cuts = [i / RANGES for i in range(1, RANGES)]
-    # One row with at most RANGES numbers.
+    counts = reliable_checkpoint(counts)
+    ranges = min(MAX_RANGES, max(8, counts.count() // RANGE_SCORES))
+    cuts = [i / ranges for i in range(1, ranges)]
+    # One row with at most MAX_RANGES numbers.
     bounds = counts.agg(F.percentile_approx("score", cuts, 10_000).alias("b")).first()["b"]
     ranged = counts.withColumn("range", _range_of(F.col("score"), sorted(set(bounds or []))))
     sums = ranged.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     above = W.orderBy(F.desc("range")).rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy()
-    # At most RANGES rows from here to the join.
+    # At most MAX_RANGES rows from here to the join.
     offsets = sums.select(
         "range",
         F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
@@ -72,47 +78,59 @@ def areas(points: DataFrame) -> DataFrame:
 
     Null if only one class is present.
     """
+    return points.agg(*_area_sums()).select(*_areas())
+
+
+def _area_sums() -> list[Column]:
     # Twice the trapezoid in whole numbers, so that order does not matter.
     doubled = F.col("neg").cast("decimal(38,0)") * (2 * F.col("tp") - F.col("pos"))
     step = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    sums = points.agg(
+    return [
         F.sum(doubled).cast("double").alias("doubled"), F.sum(step).alias("steps"),
         F.max("positives").alias("p"), F.max("negatives").alias("n"),
-    )
+    ]
+
+
+def _areas() -> list[Column]:
     both = (F.col("p") > 0) & (F.col("n") > 0)
-    return sums.select(
+    return [
         F.when(both, F.col("doubled") / (2.0 * F.col("p") * F.col("n"))).alias("roc_auc"),
         F.when(F.col("p") > 0, F.col("steps") / F.col("p")).alias("pr_auc"),
-    )
+    ]
+
+
+def _best() -> Column:
+    """Aggregate: the point with the highest F1, the lowest threshold on a tie."""
+    f1 = 2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("positives"))
+    return F.max(F.struct(f1.alias("f1"), (-F.col("score")).alias("low"), "tp", "fp")).alias("best")
 
 
 def best_threshold(points: DataFrame) -> DataFrame:
     """Threshold with the highest F1; the lowest such threshold on a tie."""
-    f1 = 2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("positives"))
-    best = points.agg(F.max(F.struct(f1.alias("f1"), (-F.col("score")).alias("low"))).alias("best"))
+    best = points.agg(_best())
     return best.select((-F.col("best.low")).alias("threshold"), F.col("best.f1").alias("f1"))
 
 
-def median_of_negatives(points: DataFrame) -> DataFrame:
-    """Exact median score of the negatives, read off the running counts."""
+def _median() -> Column:
+    """Aggregate: exact median score of the negatives, read off the running counts."""
     first = F.col("negatives") - F.col("fp")
 
     def holds(rank: Column) -> Column:
-        return (first <= rank) & (rank < first + F.col("neg"))
+        return (F.col("neg") > 0) & (first <= rank) & (rank < first + F.col("neg"))
 
     low = F.floor((F.col("negatives") - 1) / 2)
     high = F.ceil((F.col("negatives") - 1) / 2)
-    return points.filter("neg > 0").agg(
-        ((F.max(F.when(holds(low), F.col("score"))) + F.max(F.when(holds(high), F.col("score")))) / 2.0)
-        .alias("median")
-    )
+    return (F.max(F.when(holds(low), F.col("score"))) + F.max(F.when(holds(high), F.col("score")))) / 2.0
+
+
+def median_of_negatives(points: DataFrame) -> DataFrame:
+    return points.agg(_median().alias("median"))
 
 
 def risk_bands(points: DataFrame) -> DataFrame:
     """Low band limit (median score of the negatives) and high one (best threshold)."""
-    low = median_of_negatives(points).select(F.col("median").alias("risk_threshold_low"))
-    high = best_threshold(points).select(F.col("threshold").alias("risk_threshold_high"))
-    return _side_by_side(low, high)
+    row = points.agg(_median().alias("risk_threshold_low"), _best())
+    return row.select("risk_threshold_low", (-F.col("best.low")).alias("risk_threshold_high"))
 
 
 def _side_by_side(*frames: DataFrame) -> DataFrame:
@@ -124,26 +142,25 @@ def risk_level(score: Column, low: float, high: float) -> Column:
     return F.when(score < low, "low").when(score < high, "medium").otherwise("high")
 
 
-def confusion_at(scored: DataFrame, threshold: float | Column) -> DataFrame:
-    limit = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    said, late = F.col("score") >= limit, F.col("label") == 1
-
-    def n(condition: Column) -> Column:
-        return F.count(F.when(condition, 1))
-
-    return scored.agg(
-        n(~said & ~late).alias("tn"), n(said & ~late).alias("fp"),
-        n(~said & late).alias("fn"), n(said & late).alias("tp"),
-    )
-
-
 def metrics(scored: DataFrame, threshold: float | None = None) -> DataFrame:
-    """One row: areas, F1, precision, recall, confusion counts, class counts."""
+    """One row: areas, F1, precision, recall, confusion counts, class counts.
+
+    All figures come from one aggregate over the curve.
+    """
     points = curve(scored)
-    limit = F.lit(threshold) if threshold is not None else best_threshold(points).select("threshold").scalar()
-    row = _side_by_side(
-        areas(points), confusion_at(scored, limit),
-        points.agg(F.max("positives").alias("positives"), F.max("negatives").alias("negatives")),
+    if threshold is None:
+        sums = points.agg(*_area_sums(), _best()).select(
+            "*", (-F.col("best.low")).alias("limit"), F.col("best.tp").alias("tp"), F.col("best.fp").alias("fp")
+        )
+    else:
+        said = F.col("score") >= F.lit(threshold)
+        sums = points.agg(
+            *_area_sums(), *[F.coalesce(F.sum(F.when(said, F.col(c))), F.lit(0)).alias(n) for c, n in (("pos", "tp"), ("neg", "fp"))]
+        ).withColumn("limit", F.lit(threshold))
+    limit = F.col("limit")
+    row = sums.select(
+        *_areas(), "limit", "tp", "fp", (F.col("n") - F.col("fp")).alias("tn"), (F.col("p") - F.col("tp")).alias("fn"),
+        F.col("p").alias("positives"), F.col("n").alias("negatives"),
     )
     precision = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
     recall = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))

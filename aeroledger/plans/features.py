@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import minutes_between
 from ..functions.weather import impact, worst_impact
-from ..functions.zones import utc_to_local, with_zone
+from ..functions.zones import utc_to_local, zone_lookup
 from ..operators.sizing import sized_broadcast
 from ..session import reliable_checkpoint
 
@@ -82,6 +85,45 @@ def settled(df: DataFrame, hours: int = 24) -> DataFrame:
     return df.filter(F.col(DEPARTURE) < newest - F.expr(f"interval {hours} hours"))
 
 
+@dataclass(frozen=True)
+class TrainingCut:
+    """What training keeps, taken from the flight table alone.
+
+    ``hours``: departure hours with a usable final status; ``before``: departures must
+    be earlier; ``tables``: frequencies among the flights that both leave.
+    """
+
+    hours: DataFrame
+    before: dt.datetime | None
+    tables: dict[str, DataFrame]
+
+
+def training_cut(flights: DataFrame, hours: int = 24) -> TrainingCut:
+    """Covered hours, newest departure and frequencies from one pass over the flights.
+
+    Flights are counted per hour and combination of the frequency columns. Only the hour
+    that the cut falls into is read again, for the flights before the cut.
+    """
+    columns = list(FREQUENCIES)
+    dated = typed(flights.select(DEPARTURE, "status_final", *columns)).filter(F.col(DEPARTURE).isNotNull())
+    usable = (F.trim("status_final") != "") & (F.lower("status_final") != "null")
+    hour = F.date_trunc("hour", DEPARTURE).cast("timestamp_ntz")
+    counted = reliable_checkpoint(dated.groupBy(hour.alias("hour"), *columns).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.coalesce(usable, F.lit(False))).alias("usable"), F.max(DEPARTURE).alias("newest"),
+    ))
+    by_hour = counted.groupBy("hour").agg(F.max("usable").alias("usable"), F.max("newest").alias("newest")).filter("usable")
+    covered = sized_broadcast(by_hour.select("hour", "newest"))
+    newest = covered.agg(F.max("newest")).first()[0]
+    before = newest and newest - dt.timedelta(hours=hours)
+    edge = before and before.replace(minute=0, second=0, microsecond=0)
+    whole = counted.filter(F.col("hour") < F.lit(edge).cast("timestamp_ntz")).select("hour", *columns, "rows")
+    part = dated.filter(
+        (F.col(DEPARTURE) >= F.lit(edge).cast("timestamp_ntz")) & (F.col(DEPARTURE) < F.lit(before).cast("timestamp_ntz"))
+    ).groupBy(hour.alias("hour"), *columns).agg(F.count(F.lit(1)).alias("rows"))
+    kept = whole.unionByName(part).join(covered.select("hour"), "hour", "left_semi")
+    return TrainingCut(covered.select("hour"), before, _shares(kept.groupBy(*columns).agg(F.sum("rows").alias("rows")), columns))
+
+
 # ---- frequencies -------------------------------------------------------------
 
 def frequency_tables(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
@@ -90,7 +132,11 @@ def frequency_tables(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
     The counts per combination are written once; each column's table and total
     are sums over them, so no step gathers all values in one task.
     """
-    combined = reliable_checkpoint(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")))
+    return _shares(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")), columns)
+
+
+def _shares(counts: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+    combined = reliable_checkpoint(counts)
     tables = {}
     for column in columns:
         known = combined.filter(F.col(column).isNotNull())
@@ -157,8 +203,9 @@ def flag(condition: Column) -> Column:
 
 
 def time_features(df: DataFrame, airports: DataFrame) -> DataFrame:
-    df = with_zone(df, airports, "from_airport", "departure_timezone")
-    df = with_zone(df, airports, "to_airport", "arrival_timezone")
+    zones = zone_lookup(airports, "code", "zone")
+    for end, name in (("from_airport", "departure_timezone"), ("to_airport", "arrival_timezone")):
+        df = df.join(zones.toDF(end, name), end, "left")
     df = df.withColumns({
         "departure_scheduled_local": utc_to_local(F.col(DEPARTURE), F.col("departure_timezone")),
         "arrival_scheduled_local": utc_to_local(F.col(ARRIVAL), F.col("arrival_timezone")),
@@ -195,6 +242,33 @@ def class_shares(df: DataFrame, label: str = "delay") -> DataFrame:
 
 
 BUCKET_BITS = 16
+HASH_BITS = 60
+
+
+def key_hash(key: list[str], seed: int) -> Column:
+    """60 bits of an MD5 over seed and key: the same number in every engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def ranked(df: DataFrame, key: list[str], seed: int, label: str) -> DataFrame:
+    """Rows with ``_rank`` (from 1, by key hash) and ``_n`` within their label.
+
+    Rows are counted per label and hash bucket, so no task orders a whole label.
+    """
+    hashed = df.withColumn("_h", key_hash(key, seed)).withColumn(
+        "_bucket", F.shiftrightunsigned(F.col("_h"), HASH_BITS - BUCKET_BITS)
+    ).withColumn("_label", F.coalesce(F.col(label).cast("long"), F.lit(-1)))
+    counts = hashed.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_in_bucket"))
+    # At most 2**16 rows per label, by construction.
+    ahead = W.partitionBy("_label").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select(
+        "_label", "_bucket", F.coalesce(F.sum("_in_bucket").over(ahead), F.lit(0)).alias("_ahead"),
+        F.sum("_in_bucket").over(W.partitionBy("_label")).alias("_n"),
+    )
+    inside = F.row_number().over(W.partitionBy("_label", "_bucket").orderBy("_h", *key))
+    placed = hashed.withColumn("_inside", inside).join(sized_broadcast(counts), ["_label", "_bucket"])
+    return placed.withColumn("_rank", F.col("_ahead") + F.col("_inside")).select(*df.columns, "_rank", "_n")
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
@@ -203,8 +277,8 @@ def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFr
     Hash buckets are counted first, so no task sorts the whole table: buckets
     below the cut pass whole and only the bucket at the cut is ordered.
     """
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *key)).withColumn(
-        "_bucket", F.shiftrightunsigned(F.col("_h"), 64 - BUCKET_BITS)
+    hashed = df.withColumn("_h", key_hash(key, seed)).withColumn(
+        "_bucket", F.shiftrightunsigned(F.col("_h"), HASH_BITS - BUCKET_BITS)
     )
     counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # At most 2**16 rows, by construction.
@@ -222,17 +296,24 @@ def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFr
 
 def prepare(
     view: DataFrame, airports: DataFrame, for_training: bool = True, threshold: int = 15,
-    tables: dict[str, DataFrame] | None = None, key: str = "f_id",
+    tables: dict[str, DataFrame] | None = None, key: str = "f_id", cut: TrainingCut | None = None,
 ) -> DataFrame:
     """All features of the view's flights, and the target when training.
 
     ``tables`` holds stored airport and airline frequencies; without them they
     come from the frame itself, after the 24-hour cut and before cancelled
-    flights go.
+    flights go. With ``cut`` (``training_cut`` of the flight table) hours, newest departure
+    and frequencies are known beforehand, and the view is computed once, for the
+    flights that stay.
     """
     kept = [key] if key in view.columns else []
     df = typed(view.select(*kept, *VIEW_COLUMNS))
-    if for_training:
+    if for_training and cut:
+        df = df.filter(F.col(DEPARTURE) < F.lit(cut.before).cast("timestamp_ntz"))
+        hour = F.date_trunc("hour", DEPARTURE).cast("timestamp_ntz")
+        df = df.join(cut.hours, hour == F.col("hour"), "left_semi")
+        tables = tables or cut.tables
+    elif for_training:
         df = settled(remove_gaps(df))
     if tables is None:
         tables = frequency_tables(df, list(FREQUENCIES))

@@ -26,8 +26,11 @@ from ..session import ensure_checkpoint_dir, reliable_checkpoint
 from . import evaluation, features
 
 SEED = 42
+# Columns of one category, the one for all rarer levels included.
 MAX_CATEGORIES = 20
-NEIGHBOURS = 5
+INFREQUENT = "(infrequent)"
+# Bound of the labelled rows that neighbour methods fit on: each of them is compared with many others.
+MAX_NEIGHBOUR_ROWS = 100_000
 
 
 # ---- splitting ---------------------------------------------------------------
@@ -37,11 +40,22 @@ def hash_share(key: list[str], seed: int = SEED) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1_000_000)) / 1_000_000.0
 
 
-def split(df: DataFrame, key: list[str], test_share: float = 0.25, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows. The hash ignores the label, so both classes get the
-    same share, and no row moves between runs or partitions."""
-    place = hash_share(key, seed)
-    return df.filter(place >= test_share), df.filter(place < test_share)
+def split(
+    df: DataFrame, key: list[str], test_share: float = 0.25, seed: int = SEED, label: str = "delay"
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows: of each label the share with the smallest key hashes is test.
+
+    Both classes get the same share to the row, and no row moves between runs or partitions.
+    """
+    placed = features.ranked(df, key, seed, label)
+    test = F.col("_rank") <= F.floor(F.col("_n") * F.lit(test_share))
+    return placed.filter(~test).drop("_rank", "_n"), placed.filter(test).drop("_rank", "_n")
+
+
+def with_folds(df: DataFrame, key: list[str], folds: int, seed: int = SEED + 1, label: str = "delay") -> DataFrame:
+    """Rows with ``fold``; every fold holds the same share of each label."""
+    placed = features.ranked(df, key, seed, label)
+    return placed.withColumn("fold", F.floor((F.col("_rank") - 1) * folds / F.col("_n"))).drop("_rank", "_n")
 
 
 def with_class_weights(df: DataFrame, label: str = "delay") -> DataFrame:
@@ -64,28 +78,43 @@ def imbalance_ratio(df: DataFrame, label: str = "delay") -> DataFrame:
 # ---- preprocessing -----------------------------------------------------------
 
 def category_levels(train: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted values of each categorical column; the most frequent if there are too many."""
+    """Sorted values of each categorical column.
+
+    With more than ``limit`` values the most frequent ``limit - 1`` stay and ``INFREQUENT``
+    comes last, for all others.
+    """
     pairs = train.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in columns
     ])).alias("p")).select("p.*").filter("level is not null")
     counts = pairs.groupBy("name", "level").agg(F.count(F.lit(1)).alias("n"))
     place = F.row_number().over(W.partitionBy("name").orderBy(F.desc("n"), "level"))
-    kept = counts.withColumn("place", place).filter(F.col("place") <= limit).collect()
-    return {c: sorted(r["level"] for r in kept if r["name"] == c) for c in columns}
+    # At most ``limit + 1`` rows per column.
+    rows = counts.withColumn("place", place).filter(F.col("place") <= limit + 1).collect()
+    levels = {}
+    for c in columns:
+        own = sorted((r["place"], r["level"]) for r in rows if r["name"] == c)
+        many = len(own) > limit
+        levels[c] = sorted(level for _, level in (own[: limit - 1] if many else own)) + [INFREQUENT] * many
+    return levels
 
 
 def preprocessor(levels: dict[str, list[str]]) -> list:
     """Stages that turn a feature frame into one vector column.
 
     Numbers: median for missing, then robust scaling. Categories: one indicator
-    per level but the first; an unknown value sets none. Ordered: place in the
-    fixed order, -1 if unknown.
+    per level but the first; a value outside the levels sets the infrequent column if
+    there is one, else none. Ordered: place in the fixed order, -1 if unknown.
     """
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
+    def holds(column: str, level: str, values: list[str]) -> str:
+        if level == INFREQUENT:
+            return f"{column} NOT IN ({', '.join(map(quoted, values[:-1]))})"
+        return f"{column} = {quoted(level)}"
+
     indicators = {
-        f"{c}={level}": f"CAST(coalesce({c} = {quoted(level)}, false) AS DOUBLE)"
+        f"{c}={level}": f"CAST(coalesce({holds(c, level, values)}, false) AS DOUBLE)"
         for c, values in levels.items() for level in values[1:]
     }
     orders = [features.VISIBILITY_ORDER] * 2 + [features.SKY_COVER_ORDER] * 2
@@ -226,6 +255,8 @@ def fit(train: DataFrame, spec: Learner, balance: str = "weights") -> Fitted:
 def fit_vectors(
     ready: DataFrame, spec: Learner, balance: str, prepare: PipelineModel, levels: dict[str, list[str]]
 ) -> Fitted:
+    if spec.name == "knn" or balance == "resample":
+        ready = fit_rows(ready)
     if balance == "resample":
         ready = resample(ready)
     base = None
@@ -244,6 +275,16 @@ def fit_vectors(
     return Fitted(spec, prepare, classify, levels, base)
 
 
+def fit_rows(ready: DataFrame, most: int = MAX_NEIGHBOUR_ROWS) -> DataFrame:
+    """At most ``most`` labelled rows, chosen by hash, for methods that compare rows pair by pair.
+
+    Only what is fitted on is bounded; every row is scored.
+    """
+    text = F.concat_ws(",", vector_to_array("features").cast("array<string>"))
+    named = ready.withColumn("_text", text)
+    return features.sample_rows(named, most, ["_text", "delay"], SEED).drop("_text")
+
+
 # ---- rebalancing -------------------------------------------------------------
 
 def resample(ready: DataFrame, k: int = 3, seed: int = SEED) -> DataFrame:
@@ -331,9 +372,12 @@ def scored(fitted: Fitted, frame: DataFrame) -> DataFrame:
 
 def train(
     frame: DataFrame, key: list[str], model: str = "xgboost_tuned", balance: str = "weights",
-    delay_threshold: int = 15, **params,
+    delay_threshold: int = 15, cv_folds: int = 0, **params,
 ) -> Trained:
-    """Split, fit, choose threshold and risk bands on the test part, compare both parts."""
+    """Split, fit, choose threshold and risk bands on the test part, compare both parts.
+
+    With ``cv_folds`` the comparison also states mean and spread of each metric over the folds of the training part.
+    """
     train_part, test_part = split(frame, key)
     fitted = fit(train_part, learner(model, **params), balance)
     # Scores are used many times below; the files also survive a lost executor.
@@ -343,6 +387,11 @@ def train(
     threshold = bands["risk_threshold_high"]
     test_metrics = evaluation.metrics(test_scores, threshold)
     overfit = evaluation.overfit_gaps(evaluation.metrics(train_scores, threshold), test_metrics)
+    if cv_folds:
+        spread = stability(cross_validation(train_part, key, learner(model, **params), cv_folds, balance))
+        # One row per metric.
+        values = {f"cv_{r['metric']}_{n}": r[n] for r in spread.collect() for n in ("mean", "std")}
+        overfit = overfit.withColumns({name: F.lit(value) for name, value in values.items()})
     return Trained(
         fitted, threshold, bands["risk_threshold_low"], threshold, delay_threshold, test_metrics, overfit, test_scores
     )
@@ -351,28 +400,29 @@ def train(
 def cross_validation(
     frame: DataFrame, key: list[str], spec: Learner, folds: int = 5, balance: str = "weights"
 ) -> DataFrame:
-    """Metrics at 0.5 per fold. Folds are fixed by hash and come from unbalanced data."""
+    """Metrics at 0.5 per fold. Folds are fixed by hash within the label and come from unbalanced data."""
     parts = []
-    place = F.floor(hash_share(key, SEED + 1) * folds)
+    placed = reliable_checkpoint(with_folds(frame, key, folds))
     for fold in range(folds):
-        fitted = fit(frame.filter(place != fold), spec, balance)
-        held = scored(fitted, frame.filter(place == fold))
+        fitted = fit(placed.filter(F.col("fold") != fold).drop("fold"), spec, balance)
+        held = reliable_checkpoint(scored(fitted, placed.filter(F.col("fold") == fold)))
         parts.append(evaluation.metrics(held, 0.5).select(
             F.lit(fold).alias("fold"), "roc_auc", F.col("f1_score").alias("f1"), "precision", "recall"
         ))
-    return reduce(DataFrame.unionByName, parts)
+    return reliable_checkpoint(reduce(DataFrame.unionByName, parts))
 
 
 def stability(folds: DataFrame) -> DataFrame:
     """Mean, spread, range and variation in percent of each metric over the folds."""
-    out = []
-    for metric in ("roc_auc", "f1", "precision", "recall"):
-        mean, std = F.avg(metric), F.stddev_pop(metric)
-        out.append(folds.agg(
-            mean.alias("mean"), std.alias("std"), F.min(metric).alias("min"), F.max(metric).alias("max"),
-            F.when(mean > 0, std / mean * 100).otherwise(0.0).alias("stability"),
-        ).withColumn("metric", F.lit(metric)))
-    return reduce(DataFrame.unionByName, out).select("metric", "mean", "std", "min", "max", "stability")
+    names = ("roc_auc", "f1", "precision", "recall")
+    long = folds.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names
+    ])).alias("m")).select("m.*")
+    mean, std = F.avg("value"), F.stddev_pop("value")
+    return long.groupBy("metric").agg(
+        mean.alias("mean"), std.alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
+        F.when(mean > 0, std / mean * 100).otherwise(0.0).alias("stability"),
+    )
 
 
 def learning_curve(
@@ -497,7 +547,8 @@ def save(trained: Trained, root: str, version: str, tables: dict[str, DataFrame]
     importance = feature_importance(spark, fitted)
     if importance is not None:
         importance.write.mode("overwrite").csv(f"{path}/importance", header=True)
-    trained.test_metrics.write.mode("overwrite").json(f"{path}/metrics")
+    for part in ("test_metrics", "overfit", "test_scores"):
+        getattr(trained, part).write.mode("overwrite").parquet(f"{path}/{part}")
     config = {
         "version": version, "path": path, "spec": json.dumps(asdict(fitted.spec)),
         "levels": json.dumps(fitted.levels), "optimal_threshold": float(trained.threshold),
@@ -536,8 +587,8 @@ def load(spark: SparkSession, root: str) -> tuple[Trained, dict[str, DataFrame]]
     tables = {
         name: spark.read.parquet(f"{row['path']}/frequency_{name}") for name in json.loads(row["tables"])
     }
-    metrics = spark.read.json(f"{row['path']}/metrics")
+    parts = [spark.read.parquet(f"{row['path']}/{part}") for part in ("test_metrics", "overfit", "test_scores")]
     return Trained(
         fitted, row["optimal_threshold"], row["risk_threshold_low"], row["risk_threshold_high"],
-        row["delay_threshold"], metrics, metrics, metrics,
+        row["delay_threshold"], *parts,
     ), tables

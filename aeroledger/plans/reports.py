@@ -26,9 +26,6 @@ from ..functions.columns import (
 SCHEDULED = "departure_scheduled_utc"
 OBSERVED = "observation_time"
 
-# Thresholds offered to the user, in minutes.
-DELAY_THRESHOLDS = [5, 10, 15, 20, 30, 45, 60]
-
 
 def _delayed(threshold: int) -> Column:
     return count_if(F.col("delay_min") >= threshold)
@@ -95,7 +92,7 @@ def airline_stats(
         .orderBy(F.desc("flights"), "airline")
         .limit(top)
     )
-    names = airlines.select(F.col("iata").alias("airline"), F.col("name").alias("airline_name"))
+    names = one_per_code(airlines, "iata", ["name"]).toDF("airline", "airline_name")
     return (
         busiest.join(names, "airline", "left")
         .select("airline", "airline_name", "flights", "delay_rate")
@@ -103,6 +100,16 @@ def airline_stats(
     )
 
 
+def one_per_code(table: DataFrame, code: str, columns: list[str]) -> DataFrame:
+    """One row per code: an active one before others, then the smallest id, then the first values."""
+    order = [F.coalesce(F.col("active") != "Y", F.lit(True))] if "active" in table.columns else []
+    order += ["id"] if "id" in table.columns else []
+    picked = table.filter(F.col(code).isNotNull()).groupBy(code).agg(
+        F.min_by(F.struct(*columns), F.struct(*order, *columns)).alias("picked")
+    )
+    return picked.select(code, "picked.*")
+
+
 def worst_hour_and_airline(hourly: DataFrame, by_airline: DataFrame) -> DataFrame:
     """Hour and airline with the highest delay rate; the first one wins a tie."""
     hour = hourly.agg(
@@ -221,12 +228,10 @@ def search_flights(
         hits = hits.filter(F.col("delay_prob").isNotNull())
     page = hits.orderBy(F.desc(SCHEDULED), key).limit(limit)
 
+    places = one_per_code(airports, "iata_code", ["city", "airport_name"])
+
     def place(end: str) -> DataFrame:
-        return airports.select(
-            F.col("iata_code").alias(f"{end}_airport"),
-            F.col("city").alias(f"{end}_city"),
-            F.col("airport_name").alias(f"{end}_airport_name"),
-        )
+        return places.toDF(f"{end}_airport", f"{end}_city", f"{end}_airport_name")
 
     weather = metar.select(
         F.col("id").alias("departure_metar_fk"),
@@ -236,7 +241,7 @@ def search_flights(
         F.col("wind_speed_kt").alias("dep_wind_speed_kt"),
         F.col("wx_string").alias("dep_weather_conditions"),
     )
-    names = airlines.select(F.col("iata").alias("airline_code"), F.col("name").alias("airline_name"))
+    names = one_per_code(airlines, "iata", ["name"]).toDF("airline_code", "airline_name")
 
     def shown(name: str) -> Column:
         return F.date_format(F.col(name), "yyyy-MM-dd HH:mm:ss").alias(name)

@@ -71,6 +71,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = spark.conf.get("aeroledger.shared.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="aeroledger-")
         spark.conf.set("aeroledger.shared.dir", folder)
     return folder.rstrip("/")

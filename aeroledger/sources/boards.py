@@ -6,20 +6,24 @@ and rules are column expressions, so they run in the JVM.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.zones import board_times_to_utc
+from ..session import ship_package
 from .landing import NAME_PATTERN
 
 CELL = "struct<text: string, parts: array<string>, terminal: string, gate: string, delays: array<string>>"
 ROW_SCHEMA = (
     "path string, row_no int, number string, href string, place string, airline string, "
-    f"departure {CELL}, arrival {CELL}, arrival_mark string, status string, next_text string, next_code string"
+    f"departure {CELL}, arrival {CELL}, arrival_mark string, status string, next_text string, next_code string, "
+    "error string"
 )
 
 # Class marks of the board page.
@@ -28,117 +32,155 @@ DELAYED = ("estimatedTime arrDelayed", "estimatedTime depDelayed")
 VOID = {"br", "img", "hr", "input", "meta", "link", "wbr", "col", "source", "area", "base", "embed"}
 
 
-class _Node:
-    __slots__ = ("tag", "attrs", "children")
-
-    def __init__(self, tag: str, attrs: dict[str, str | None]):
-        self.tag, self.attrs, self.children = tag, attrs, []
-
-    @property
-    def classes(self) -> list[str]:
-        return (self.attrs.get("class") or "").split()
-
-    def walk(self) -> Iterator["_Node"]:
-        for child in self.children:
-            if isinstance(child, _Node):
-                yield child
-                yield from child.walk()
-
-    def text(self) -> str:
-        return "".join(c.text() if isinstance(c, _Node) else c for c in self.children)
-
-    def all(self, tag: str) -> list["_Node"]:
-        return [n for n in self.walk() if n.tag == tag]
-
-    def first(self, tag: str | None = None, mark: str | None = None) -> "_Node | None":
-        for n in self.walk():
-            if (tag is None or n.tag == tag) and (mark is None or mark in n.classes):
-                return n
-        return None
+class _Page(HTMLParser):
+    """Elements of a page in document order, from one pass.
 
+    Element ``i`` has the text ``text[starts[i]:ends[i]]`` and its descendants are the elements
+    ``i + 1`` up to ``subs[i]``. Open elements are a plain stack, so tags that are
+    never closed cost no recursion, and an end tag without a start is known at once.
+    """
 
-class _Page(HTMLParser):
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("", {})
-        self.open = [self.root]
+        self.tags: list[str] = []
+        self.attrs: list[dict[str, str | None]] = []
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        self.subs: list[int] = []
+        self.pieces: list[str] = []
+        self.size = 0
+        self.open: list[int] = []
+        self.open_tags: Counter[str] = Counter()
+        self.feed(html)
+        self.close()
+        while self.open:
+            self._end_last()
+        self.text = "".join(self.pieces)
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict(attrs))
-        self.open[-1].children.append(node)
+        self.tags.append(tag)
+        self.attrs.append(dict(attrs))
+        self.starts.append(self.size)
+        self.ends.append(self.size)
+        self.subs.append(len(self.tags))
         if tag not in VOID:
-            self.open.append(node)
+            self.open.append(len(self.tags) - 1)
+            self.open_tags[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(_Node(tag, dict(attrs)))
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._end_last()
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
+        while self.open_tags[tag]:
+            if self._end_last() == tag:
                 return
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        self.pieces.append(data)
+        self.size += len(data)
 
+    def _end_last(self) -> str:
+        last = self.open.pop()
+        self.ends[last], self.subs[last] = self.size, len(self.tags)
+        self.open_tags[self.tags[last]] -= 1
+        return self.tags[last]
 
-def _cell(node: _Node) -> dict:
-    terminal, gate = node.first(mark="terminal"), node.first(mark="gate")
+    def classes(self, i: int) -> list[str]:
+        return (self.attrs[i].get("class") or "").split()
+
+    def said(self, i: int) -> str:
+        return self.text[self.starts[i] : self.ends[i]].strip()
+
+    def inside(self, i: int | None, tag: str | None = None, mark: str | None = None) -> Iterator[int]:
+        """Descendants of element ``i`` (of the page if None) with a tag and a class."""
+        for k in range(0 if i is None else i + 1, len(self.tags) if i is None else self.subs[i]):
+            if (tag is None or self.tags[k] == tag) and (mark is None or mark in self.classes(k)):
+                yield k
+
+    def first(self, i: int | None, tag: str | None = None, mark: str | None = None) -> int | None:
+        return next(self.inside(i, tag, mark), None)
+
+
+def _cell(page: _Page, cell: int) -> dict:
+    terminal, gate = page.first(cell, mark="terminal"), page.first(cell, mark="gate")
     return {
-        "text": node.text().strip(),
-        "parts": [n.text().strip() for n in node.walk()],
-        "terminal": terminal.text().strip() if terminal else "",
-        "gate": gate.text().strip() if gate else "",
+        "text": page.said(cell),
+        # Only parts that may hold a clock time are looked at.
+        "parts": [t for t in map(page.said, page.inside(cell)) if ":" in t],
+        "terminal": page.said(terminal) if terminal is not None else "",
+        "gate": page.said(gate) if gate is not None else "",
         "delays": [
-            n.attrs["data-delay"] or "" for n in node.all("span")
-            if " ".join(n.classes) in DELAYED and "data-delay" in n.attrs
+            page.attrs[k]["data-delay"] or "" for k in page.inside(cell, "span")
+            if " ".join(page.classes(k)) in DELAYED and "data-delay" in page.attrs[k]
         ],
     }
 
 
-def page_rows(path: str, html: str) -> list[dict]:
+def page_rows(path: str, html: str | None) -> list[dict]:
     """The flight rows of one page, each with its following compensation row."""
-    page = _Page()
-    page.feed(html or "")
-    page.close()
-    table = page.root.first("table", TABLE)
-    if table is None or page.root.first("span", NO_FLIGHTS) is not None:
+    page = _Page(html or "")
+    table = page.first(None, "table", TABLE)
+    if table is None or page.first(None, "span", NO_FLIGHTS) is not None:
         return []
-    rows, out = table.all("tr"), []
+    rows, out = list(page.inside(table, "tr")), []
     for i, row in enumerate(rows):
-        cells = row.all("td")
-        if row.first("th") or HEADER in row.classes or COMPENSATION in row.classes or len(cells) < 6:
+        marks = page.classes(row)
+        if HEADER in marks or COMPENSATION in marks or page.first(row, "th") is not None:
             continue
-        link, place, airline = cells[0].first("a"), cells[1].first("a"), cells[2].first("a")
-        status = cells[5].first("span")
-        marks = [b.attrs.get("data-arrivaltime") for b in cells[5].all("button")]
-        after = rows[i + 1] if i + 1 < len(rows) and COMPENSATION in rows[i + 1].classes else None
-        note = after.first("td") if after is not None else None
+        cells = list(page.inside(row, "td"))
+        if len(cells) < 6:
+            continue
+        link, place, airline = (page.first(cell, "a") for cell in cells[:3])
+        status = page.first(cells[5], "span")
+        times = [page.attrs[k].get("data-arrivaltime") for k in page.inside(cells[5], "button")]
+        after = rows[i + 1] if i + 1 < len(rows) and COMPENSATION in page.classes(rows[i + 1]) else None
+        note = page.first(after, "td") if after is not None else None
         out.append({
             "path": path, "row_no": i,
-            "number": link.text().strip() if link else "",
-            "href": (link.attrs.get("href") or "") if link else None,
-            "place": place.text().strip() if place else None,
-            "airline": (airline or cells[2]).text().strip(),
-            "departure": _cell(cells[3]), "arrival": _cell(cells[4]),
-            "arrival_mark": next((m for m in marks if m), None),
-            "status": status.text().strip() if status else "",
-            "next_text": note.text().strip() if note is not None else None,
-            "next_code": after.attrs.get("data-cs") if note is not None else None,
+            "number": page.said(link) if link is not None else "",
+            "href": (page.attrs[link].get("href") or "") if link is not None else None,
+            "place": page.said(place) if place is not None else None,
+            "airline": page.said(airline if airline is not None else cells[2]),
+            "departure": _cell(page, cells[3]), "arrival": _cell(page, cells[4]),
+            "arrival_mark": next((m for m in times if m), None),
+            "status": page.said(status) if status is not None else "",
+            "next_text": page.said(note) if note is not None else None,
+            "next_code": page.attrs[after].get("data-cs") if note is not None else None,
+            "error": None,
         })
     return out
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [part.split()[0] for part in ROW_SCHEMA.replace(CELL, "x").split(", ")]
-    for batch in batches:
-        rows = [r for path, html in zip(batch["path"], batch["html"]) for r in page_rows(path, html)]
-        yield pd.DataFrame(rows, columns=names)
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """Board rows of pages (``path``, ``html``); a page that cannot be read is one row with ``error``."""
+    ship_package(pages.sparkSession)
+    schema = pages.sparkSession.createDataFrame([], ROW_SCHEMA).schema
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            rows: list[dict] = []
+            for path, html in zip(*(c.to_pylist() for c in batch.columns)):
+                try:
+                    rows += page_rows(path, html)
+                except (AssertionError, ValueError) as error:
+                    # What the parser raises on declarations it cannot read.
+                    rows.append({"path": path, "error": f"{type(error).__name__}: {error}"})
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return pages.select("path", "html").mapInArrow(parse, ROW_SCHEMA)
 
 
 def board_rows(pages: DataFrame) -> DataFrame:
     """Raw board rows from pages with ``path`` and ``html``."""
-    return pages.select("path", "html").mapInPandas(_parse, ROW_SCHEMA)
+    return parsed_pages(pages).filter("error is null").drop("error")
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Path and error of pages that gave no rows because they cannot be read."""
+    return parsed_pages(pages).filter("error is not null").select("path", "error")
 
 
 # ---- rules -------------------------------------------------------------------

@@ -69,6 +69,24 @@ def newest_per_key(files: DataFrame, max_age_hours: float = MAX_AGE_HOURS) -> Da
     return newest.filter(F.col("age_seconds") <= max_age_hours * 3600)
 
 
+def lookup(files: DataFrame, wanted: DataFrame, max_age_hours: float = MAX_AGE_HOURS) -> DataFrame:
+    """Newest file of each wanted board with what became of the request.
+
+    ``status`` is ``found``, ``too old`` (with the file and its age) or ``missing``: a stale
+    board is refused and the caller is told, nothing is left out.
+    """
+    newest = files.groupBy(*KEY).agg(
+        F.max(F.struct("modified", "filename", "path", "age_seconds")).alias("newest")
+    ).select(*KEY, "newest.*")
+    status = (
+        F.when(F.col("path").isNull(), "missing").when(F.col("age_seconds") > max_age_hours * 3600, "too old")
+        .otherwise("found")
+    )
+    return wanted.select(*KEY).distinct().join(newest, KEY, "left").select(
+        *KEY, status.alias("status"), "filename", F.when(status == "found", F.col("path")).alias("path"), "age_seconds"
+    )
+
+
 def expired(files: DataFrame, max_age_hours: float) -> DataFrame:
     """Files past retention; deleting them is left to the storage."""
     return files.filter(F.col("age_hours") > max_age_hours).select("path", "filename", "age_hours")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Sky cover codes as (code, description, description_en, octal_min,
@@ -28,18 +29,18 @@ SKY_COVER = [
      "Visibilité verticale obscurcie, base nuageuse impossible à établir"),
 ]
 
-# Time zones used when the airport reference cannot be read.
+# IATA code, ICAO code and time zone of the airports used when there is no reference file.
 FALLBACK_ZONES = [
-    ("CDG", "Europe/Paris"),
-    ("ORY", "Europe/Paris"),
-    ("LHR", "Europe/London"),
-    ("JFK", "America/New_York"),
-    ("LAX", "America/Los_Angeles"),
-    ("NRT", "Asia/Tokyo"),
-    ("DXB", "Asia/Dubai"),
-    ("SIN", "Asia/Singapore"),
-    ("FRA", "Europe/Berlin"),
-    ("AMS", "Europe/Amsterdam"),
+    ("CDG", "LFPG", "Europe/Paris"),
+    ("ORY", "LFPO", "Europe/Paris"),
+    ("LHR", "EGLL", "Europe/London"),
+    ("JFK", "KJFK", "America/New_York"),
+    ("LAX", "KLAX", "America/Los_Angeles"),
+    ("NRT", "RJAA", "Asia/Tokyo"),
+    ("DXB", "OMDB", "Asia/Dubai"),
+    ("SIN", "WSSS", "Asia/Singapore"),
+    ("FRA", "EDDF", "Europe/Berlin"),
+    ("AMS", "EHAM", "Europe/Amsterdam"),
 ]
 
 # Headers of the header-less public route, airline and airport files.
@@ -68,18 +69,28 @@ def sky_cover_reference(spark: SparkSession) -> DataFrame:
 
 
 def fallback_airports(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FALLBACK_ZONES, "code_iata string, timezone string")
+    return spark.createDataFrame(FALLBACK_ZONES, "code_iata string, icao_code string, timezone string")
 
 
 def airport_reference(spark: SparkSession, path: str) -> DataFrame:
     """``;``-separated airport reference: trimmed, blank codes dropped, last copy kept.
 
-    ``row_no`` keeps the file order (the file must be one split, which a few
-    thousand lines are), so "the first N airports" stays well defined.
+    ``row_no`` is the line's place: the file (a few thousand lines) is read whole, so
+    "the first N airports" does not depend on splits; files follow each other by name.
     """
-    raw = spark.read.csv(path, sep=";", header=True, encoding="UTF-8")
-    clean = raw.select(*[F.trim(F.col(c)).alias(c) for c in raw.columns]).withColumn(
-        "row_no", F.monotonically_increasing_id()
+    header = spark.read.csv(path, sep=";", header=True, encoding="UTF-8").columns
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    lines = files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "text")).filter(
+        "line > 0 and trim(text) <> ''"
+    )
+    schema = ", ".join(f"`{c}` string" for c in header)
+    parsed = lines.select("file", "line", F.from_csv("text", F.lit(schema), {"sep": ";"}).alias("row"))
+    first = parsed.groupBy("file").agg((F.max("line") + 1).alias("lines"))
+    ahead = F.coalesce(F.sum("lines").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # One row per file of the reference.
+    placed = parsed.join(F.broadcast(first.withColumn("ahead", ahead)), "file")
+    clean = placed.select(
+        *[F.trim(F.col(f"row.{c}")).alias(c) for c in header], (F.col("ahead") + F.col("line")).alias("row_no")
     )
     return last_per_code(clean)
 
@@ -94,12 +105,14 @@ def last_per_code(rows: DataFrame) -> DataFrame:
 
 
 def airport_reference_or_fallback(spark: SparkSession, path: str) -> DataFrame:
-    """The reference file, or the ten built-in airports if it is absent."""
+    """The reference file, or the ten built-in airports if it is absent; a broken file is an error."""
     from pyspark.errors import AnalysisException
 
     try:
         return airport_reference(spark, path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return fallback_airports(spark)
 
 

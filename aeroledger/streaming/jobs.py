@@ -8,12 +8,15 @@ writes the same version again.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import associate, merge
+from ..session import reliable_checkpoint
 from ..sources.feeds import METAR_SCHEMA, TAF_SCHEMA, metar_documents, taf_documents
 
 SETTLING = "24 hours"
@@ -23,26 +26,28 @@ SETTLING = "24 hours"
 
 def read_new(
     spark: SparkSession, folder: str, form: str, schema, pattern: str | None = None,
-    max_age: str | None = None, **options,
+    files_per_batch: int | None = None, **options,
 ) -> DataFrame:
-    """New files of a folder. ``max_age`` leaves out files too old to matter."""
+    """New files of a folder, also late ones; ``files_per_batch`` cuts a backlog into batches."""
     reader = spark.readStream.format(form).schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    if max_age:
-        reader = reader.option("maxFileAge", max_age)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # Without this, Spark leaves out files much older than the newest one it has seen.
+    reader = reader.option("maxFileAge", "36500d")
     for name, value in options.items():
         reader = reader.option(name, value)
     return reader.load(folder)
 
 
-def new_metar(spark: SparkSession, folder: str, max_age: str | None = "24h") -> DataFrame:
-    reports = read_new(spark, folder, "xml", METAR_SCHEMA, max_age=max_age, rowTag="METAR")
+def new_metar(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    reports = read_new(spark, folder, "xml", METAR_SCHEMA, files_per_batch=files_per_batch, rowTag="METAR")
     return metar_documents(reports, F.col("_metadata.file_path"), F.current_timestamp())
 
 
-def new_taf(spark: SparkSession, folder: str, max_age: str | None = "24h") -> DataFrame:
-    reports = read_new(spark, folder, "xml", TAF_SCHEMA, max_age=max_age, rowTag="TAF")
+def new_taf(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    reports = read_new(spark, folder, "xml", TAF_SCHEMA, files_per_batch=files_per_batch, rowTag="TAF")
     return taf_documents(reports, F.col("_metadata.file_path"), F.current_timestamp())
 
 
@@ -99,6 +104,75 @@ def merge_available(
     query.awaitTermination()
 
 
+# ---- tables whose partitions are replaced one by one -----------------------------
+
+def _manifest_path(root: str, number: int) -> str:
+    return f"{root.rstrip('/')}/manifest/version={number}"
+
+
+def start_partitions(table: DataFrame, root: str, part: Column) -> None:
+    """Version 0 of a partitioned table; ``part`` names a row's partition, such as its day."""
+    _write_partitions(table, root, 0, part, {})
+
+
+def _write_partitions(rows: DataFrame, root: str, number: int, part: Column, kept: dict[str, str]) -> None:
+    """Write ``rows`` as the partitions of version ``number``; ``kept`` stay where they are."""
+    spark = rows.sparkSession
+    target = f"{root.rstrip('/')}/data/version={number}"
+    named = reliable_checkpoint(rows.withColumn("part", F.coalesce(part.cast("string"), F.lit("-"))))
+    named.write.mode("overwrite").partitionBy("part").parquet(target)
+    # One row per partition that the batch touched.
+    written = [r["part"] for r in named.select("part").distinct().collect()]
+    places = kept | {part: f"{target}/part={part}" for part in written}
+    # The row without path keeps the schema of a table that has no partition.
+    listed = [(name, path, rows.schema.json()) for name, path in [("", None), *sorted(places.items())]]
+    manifest = spark.createDataFrame(listed, "part string, path string, schema string")
+    manifest.coalesce(1).write.mode("overwrite").parquet(_manifest_path(root, number))
+
+
+def _manifest(spark: SparkSession, root: str, number: int) -> tuple[dict[str, str], StructType]:
+    """Place of each partition and the table's schema."""
+    listed = spark.read.parquet(_manifest_path(root, number)).collect()
+    return {r["part"]: r["path"] for r in listed if r["path"]}, StructType.fromJson(json.loads(listed[0]["schema"]))
+
+
+def read_partitions(spark: SparkSession, root: str, number: int | None = None, parts: list[str] | None = None) -> DataFrame:
+    """A version of a partitioned table, or only some of its partitions."""
+    if number is None:
+        number = latest_version(spark, f"{root.rstrip('/')}/manifest")
+    places, schema = _manifest(spark, root, number)
+    paths = [path for part, path in places.items() if parts is None or part in parts]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def merge_partitions_available(
+    stream: DataFrame, root: str, checkpoint: str, step: Callable[[DataFrame, DataFrame], DataFrame], part: str,
+    mode: str = "append",
+) -> None:
+    """Apply ``step(table, batch)`` to the partitions that a batch touches; the others keep their files.
+
+    ``part`` is an SQL expression over table rows and batch rows alike. Batch ``n`` reads
+    manifest ``n`` and writes manifest ``n + 1``, so a replayed batch writes the same again.
+    """
+    spark = stream.sparkSession
+    name = F.coalesce(F.expr(part).cast("string"), F.lit("-"))
+
+    def apply(batch: DataFrame, number: int) -> None:
+        kept_batch = reliable_checkpoint(batch)
+        # One row per touched partition.
+        touched = [r["part"] for r in kept_batch.select(name.alias("part")).distinct().collect()]
+        places, _ = _manifest(spark, root, number)
+        current = read_partitions(spark, root, number, touched)
+        kept = {p: path for p, path in places.items() if p not in touched}
+        _write_partitions(step(current, kept_batch), root, number + 1, F.expr(part), kept)
+
+    query = (
+        stream.writeStream.foreachBatch(apply).outputMode(mode)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
 # ---- transformations ---------------------------------------------------------
 
 def first_copies(stream: DataFrame, keys: list[str], time: str, delay: str = SETTLING) -> DataFrame:
@@ -171,10 +245,15 @@ def actuals_step(order: list[str]):
     return lambda table, batch: merge.late_actuals(table, batch, order).select(*table.columns)
 
 
-def link_step(taf: DataFrame, airports: DataFrame):
-    """Merge step: new flights get their best forecast (static table) and are appended."""
+def link_step(taf: DataFrame, airports: DataFrame, keys: list[str], order: list[str]):
+    """Merge step: flights of the batch get their best forecast (static table).
+
+    A flight that comes again replaces its stored row, so repeated pulls leave one
+    row per key; ``order`` picks among copies within a batch.
+    """
     def step(table: DataFrame, batch: DataFrame) -> DataFrame:
-        linked = associate.link_best_taf(associate.without_codeshares(batch), taf, airports)
-        return table.unionByName(linked.select(*table.columns))
+        newest = merge.last_per_key(associate.without_codeshares(batch), keys, order)
+        linked = associate.link_best_taf(newest, taf, airports)
+        return merge.upsert(table, linked.select(*table.columns), keys)
 
     return step

@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``), ``BENCH_CPUS``
-(default 8), ``BENCH_RUNS`` (default 2). Each figure is the median of warm runs
+(default 8), ``BENCH_RUNS`` (default 3). Each figure is the median of warm runs
 after one cold run; results are written to the ``noop`` sink, so every column is
 computed and nothing is collected.
 """
@@ -23,14 +23,14 @@ HEADLINE = [
     "daily_stats", "hourly_stats", "flight_stats", "airline_stats", "ml_confusion", "meteo_stats", "weather_conditions",
     "search_flights", "wide_view", "latest_metar", "best_taf", "late_actuals", "upsert_counters", "route_dim",
     "union_countries", "feature_frame", "gap_removal", "pr_points", "score_metrics", "board_parse", "metar_feed",
-    "snapshot_delta", "stream_hourly", "stream_latest",
+    "snapshot_delta", "stream_hourly", "stream_latest", "train_tree_importance",
 ]
 
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",

@@ -2,6 +2,6 @@
 
 
 def statements() -> dict[str, str]:
-    from . import associate, merge, model, normalize, reports, streaming
+    from . import associate, io, merge, model, normalize, reports, streaming
 
-    return {**reports.SQL, **associate.SQL, **merge.SQL, **normalize.SQL, **model.SQL, **streaming.SQL}
+    return {**reports.SQL, **associate.SQL, **merge.SQL, **normalize.SQL, **model.SQL, **streaming.SQL, **io.SQL}

@@ -62,6 +62,16 @@ ranked as (select *, row_number() over (partition by country_name order by score
 matched as (select id, code, country_name, average_age, score from ranked where a = 1 and b = 1)"""
 
 
+def authority(source, name):
+    """Chosen airline per code among ``source``: exact matches first, else the nearest name."""
+    return f"""{name}_exact as (select c.iata, min(c.id) as id from {source} c join authority a on c.iata = a.iata
+  and (upper(c.icao) = upper(a.icao) or lower(c.name) = lower(a.name)) group by 1),
+{name}_near as (select c.iata, arg_min(c.id, {{'w': levenshtein(lower(c.name), lower(a.name)) / greatest(length(c.name), length(a.name)) - 1,
+  'id': c.id}}) as id from {source} c join (select distinct iata, name from authority) a on c.iata = a.iata
+  where c.iata not in (select iata from {name}_exact) group by 1),
+{name} as (select iata, id, 'exact' as rule from {name}_exact union all select iata, id, 'nearest' from {name}_near)"""
+
+
 def violations(parts):
     return " union all ".join(f"select '{n}' as \"check\", (select count(*) from {q}) as violations" for n, q in parts)
 
@@ -137,6 +147,17 @@ group by 1 having active_rows > 1""",
     "authority_exact": "with " + CARRIER + """
 select c.iata, min(c.id) as id from carrier c join authority a on c.iata = a.iata
   and (upper(c.icao) = upper(a.icao) or lower(c.name) = lower(a.name)) group by 1""",
+    "authority_match": "with " + CARRIER + ", " + authority("carrier", "chosen") + " select * from chosen",
+    "clear_active_dups": "with " + CARRIER + """,
+repeated as (select iata from carrier where upper(active) = 'Y' and iata is not null group by 1 having count(*) > 1),
+contested as (select * from carrier where upper(active) = 'Y' and iata in (select iata from repeated)), """ + authority("contested", "chosen") + """
+select c.* replace (case when upper(c.active) = 'Y' and c.iata in (select iata from repeated)
+  and not coalesce(c.id = (select id from chosen k where k.iata = c.iata), false) then 'N' else c.active end as active) from carrier c""",
+    "one_row_per_iata": "with " + CARRIER + """,
+many as (select * from carrier where iata in (select iata from carrier group by 1 having count(*) > 1)), """ + authority("many", "chosen") + """
+select c.* from carrier c join (select s.iata, coalesce(k.id, s.id) as id from
+  (select iata, min(id) as id from carrier where iata is not null group by 1) s left join chosen k using (iata)) w
+  on c.iata = w.iata and c.id = w.id""",
     "airport_dim": "with " + AIRPORT_DIM + " select * from airport_dim",
     "distinct_airports": "with " + AIRPORT_DIM
         + " select distinct id, iata_code from airport_dim where iata_code is not null",
@@ -154,9 +175,8 @@ from orders where o_custkey % 40 in (select n_nationkey from nation)""",
 select * from matched union all select id, code, name, null, null from country where id not in (select id from matched)""",
     "country_anti": "with " + COUNTRY + " select * from country where id not in (select id from matched)",
     "first_seen_dedup": w("flight") + """
-select carrier, flight_number, dep_date, cast(p.h as int) as pull_hour, p.k as row_key from (
-  select airline_code as carrier, flight_number, cast(departure_scheduled_utc as date) as dep_date,
-    min({'h': hour(departure_scheduled_utc), 'k': row_key}) as p from flight group by 1, 2, 3)""",
+select airline_code as carrier, flight_number, cast(departure_scheduled_utc as date) as dep_date,
+  strftime(departure_scheduled_utc, '%H:%M') as dep_time, min(row_key) as row_key from flight group by 1, 2, 3, 4""",
     "snapshot_delta": """
 with o as (select l_orderkey, l_linenumber, l_quantity, l_returnflag, count(*) as n from lineitem group by all),
 w as (select l_orderkey, l_linenumber, l_quantity, case when l_quantity > 45 then 'X' else l_returnflag end as l_returnflag,
@@ -167,7 +187,11 @@ select coalesce(w.l_orderkey, o.l_orderkey) as l_orderkey, coalesce(w.l_linenumb
   abs(coalesce(w.n, 0) - coalesce(o.n, 0)) as copies
 from w full outer join o using (l_orderkey, l_linenumber, l_quantity, l_returnflag)
 where coalesce(w.n, 0) <> coalesce(o.n, 0)""",
-    "snapshot_changed": "select count(*) as rows from lineitem",
+    "snapshot_changed": """
+with r as (select copy, ('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+    cast(l_quantity as bigint), case when copy = 'new' and l_quantity > 45 then 'X' else l_returnflag end)), 1, 15))::bigint as h
+  from lineitem, (values ('old'), ('new')) c(copy))
+select copy, count(*) as rows, bit_xor(h) as digest, cast(sum(h % 1000003) as bigint) as sum from r group by copy""",
     "dq_unique": """select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1""",
     "dq_relationship": w("flight", "metar") + """
 select row_key, departure_metar_fk from flight where departure_metar_fk not in (select id from metar)""",

@@ -96,6 +96,8 @@ select f.from_airport, count(*) as n, count(case when delay_min > 15 then 1 end)
   count(case when hour(arrival_scheduled_utc + interval '1' minute * z.off) in (7, 8, 17, 18, 19) then 1 end) as rush
 from cut f join shares s on f.from_airport = s.from_airport join z on f.to_airport = z.code
 where status <> 'CANCELLED' group by 1""",
+    "sample_rows": w("flight") + """
+select row_key, airline_code from flight order by ('0x' || substr(md5(concat('42|', row_key)), 1, 15))::bigint, row_key limit 1000""",
     "pr_points": W + """select score as threshold, tp / (tp + fp) as precision, tp / p as recall, tp / p as tpr, fp / n as fpr from c""",
     "roc_auc": W + f"select {AUC} as roc_auc from c",
     "avg_precision": W + f"select round({AP}, 9) as pr_auc from c",

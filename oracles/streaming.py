@@ -24,5 +24,6 @@ select cast(o_orderkey as varchar) as flight_number,
   cast(o_orderdate as timestamp) + interval '1' minute * l.v.a as departure_final_utc, l.v.d as status_final, l.v.e as delay_min
 from orders left join late l on o_orderkey = l_orderkey""",
     "stream_best_taf": w("taf", "airport", extra=STREAM_FLIGHT + BEST_TAF) + """
-select f.flight_key, c.taf_id from flight f left join chosen c on c.row_key = concat(f.to_airport, '|', f.arrival_scheduled_utc)""",
+select distinct f.flight_key, c.taf_id from flight f left join chosen c on c.row_key = concat(f.to_airport, '|', f.arrival_scheduled_utc)""",
 }
+SQL["stream_best_taf_files"] = SQL["stream_best_taf"]

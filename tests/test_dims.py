@@ -2,6 +2,8 @@ from difflib import SequenceMatcher
 
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from aeroledger.functions import text
 from aeroledger.operators import dims, quality
 
@@ -100,10 +102,49 @@ def test_snapshots(spark):
 def test_quality(spark):
     df = spark.createDataFrame([(1, "Y"), (1, "N"), (2, "Q"), (None, None), (None, "Y")], "id long, flag string")
     parent = spark.createDataFrame([(1,)], "pid long")
-    counts = quality.report({
-        "unique": quality.unique(df, ["id"]), "null": quality.not_null(df, "id"),
-        "rel": quality.relationship(df, "id", parent, "pid"), "values": quality.accepted_values(df, "flag", ["Y", "N"]),
-    })
-    assert rows(counts) == [("null", 2), ("rel", 1), ("unique", 1), ("values", 1)]
+    checks = [
+        quality.Check("unique", "t", "unique", ("id",)), quality.Check("null", "t", "not_null", ("id",)),
+        quality.Check("rel", "t", "relationship", ("id",), parent=("p", "pid")),
+        quality.Check("values", "t", "accepted", ("flag",), values=("Y", "N")),
+        quality.Check("none", "t", "condition", condition="id > 5"), quality.Check("pairs", "t", "unique", ("id", "flag")),
+    ]
+    counts = quality.report({"t": df, "p": parent}, checks)
+    assert rows(counts, "check", "violations") == [
+        ("none", 0), ("null", 2), ("pairs", 0), ("rel", 1), ("unique", 1), ("values", 1)
+    ]
+    assert quality.unique(df, ["id"]).count() == 1 and quality.not_null(df, "id").count() == 2
+    assert quality.relationship(df, "id", parent, "pid").count() == quality.accepted_values(df, "flag", ["Y", "N"]).count() == 1
     sky = spark.createDataFrame([(1, 1, None), (2, None, None), (3, 1, 1)], "id long, metar_fk long, taf_fk long")
     assert rows(quality.one_parent(sky), "id") == [(2,), (3,)]
+
+
+def test_hot_trigrams_are_split(spark, monkeypatch):
+    monkeypatch.setattr(text, "HOT_GRAM", 5)
+    left = [f"air {w} {i}" for w in ("alpha", "beta", "gamma") for i in range(30)]
+    right = [f"air {w} {i}x" for w in ("alpha", "delta") for i in range(30)]
+    got = {(r["a"], r["b"]) for r in text.similar_names(names(spark, left, "a"), "a", names(spark, right, "b"), "b").collect()}
+    want = {(a, b) for a in left for b in right if len(grams(a) & grams(b)) / len(grams(a) | grams(b)) > 0.3}
+    assert got == want and len(want) > 900
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    from aeroledger.operators.joins import left_join_spread
+
+    left = spark.range(1000).select(F.col("id").alias("f"), F.when(F.col("id") % 3 == 0, F.col("id") % 7).alias("k"))
+    right = spark.createDataFrame([(i, f"r{i}") for i in range(6)] + [(None, "never")], "k long, v string")
+    joined = left_join_spread(left, right, "k", F.col("f"))
+    want = left.join(right, "k", "left").select("f", "k", "v")
+    assert rows(joined, "f", "k", "v") == rows(want, "f", "k", "v")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan
+    named = left.withColumn("k", F.concat(F.lit("s"), "k"))
+    text_right = right.withColumn("k", F.concat(F.lit("s"), "k"))
+    assert rows(left_join_spread(named, text_right, "k", F.col("f")), "f", "v") == rows(want, "f", "v")
+
+
+def test_estimated_size(spark):
+    from aeroledger.operators import sizing
+
+    side = spark.createDataFrame([("x" * 1000, [1, 2]), (None, None)], "a string, b array<int>")
+    assert 1000 < sizing.estimated_bytes(side) < 1400
+    assert sizing.estimated_bytes(side.limit(0)) == 0

@@ -238,3 +238,51 @@ def test_split_and_folds(spark):
 def test_unknown_model():
     with pytest.raises(ValueError):
         model.learner("nope")
+
+
+def test_split_and_folds_within_the_label(spark):
+    df = spark.range(20_000).select(F.col("id").alias("f_id"), (F.col("id") % 1000 == 0).cast("int").alias("delay"))
+    train, test = model.split(df, ["f_id"])
+    assert rows(test.groupBy("delay").count()) == [(0, 4995), (1, 5)] and train.count() == 15_000
+    assert rows(test, "f_id") == rows(model.split(df.repartition(5), ["f_id"])[1], "f_id")
+    folds = model.with_folds(df, ["f_id"], 4).groupBy("fold", "delay").count()
+    assert rows(folds) == [(f, d, n) for f in range(4) for d, n in ((0, 4995), (1, 5))]
+
+
+def test_rare_levels_share_a_column(spark):
+    data = [(i, f"v{i % 25:02d}") for i in range(500)] + [(900 + i, "v07") for i in range(9)] + [(999, None)]
+    df = spark.createDataFrame(data, "f_id long, w string")
+    levels = model.category_levels(df, ["w"])["w"]
+    assert len(levels) == 20 and levels[-1] == model.INFREQUENT and "v07" in levels
+    assert model.category_levels(df, ["w"], 25)["w"] == [f"v{i:02d}" for i in range(25)]
+    rare = sorted({f"v{i:02d}" for i in range(25)} - set(levels))[0]
+    full = frame(spark, 40)
+    names = {c: levels for c in features.CATEGORICAL}
+    from pyspark.ml import Pipeline
+
+    fitted = Pipeline(stages=model.preprocessor(names)).fit(full)
+    odd = full.limit(1).withColumn("dep_weather_impact", F.lit(rare)).withColumn("arr_weather_impact", F.lit(None).cast("string"))
+    value = dict(zip(model.feature_names(names), fitted.transform(odd).first()["features"]))
+    assert value[f"dep_weather_impact={model.INFREQUENT}"] == 1.0 and value[f"arr_weather_impact={model.INFREQUENT}"] == 0.0
+    assert sum(v for n, v in value.items() if n.startswith("dep_weather_impact=")) == 1.0
+
+
+def test_comparison_with_cross_validation(spark):
+    trained = model.train(frame(spark, 400), ["f_id"], "decision_tree", maxDepth=3, cv_folds=2)
+    row = trained.overfit.first()
+    assert 0 <= row["cv_roc_auc_mean"] <= 1 and row["cv_f1_std"] >= 0
+
+
+def test_bounded_rows_for_neighbours(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    ready = spark.range(500).select(array_to_vector(F.array((F.col("id") % 50).cast("double"))).alias("features"), (F.col("id") % 2).cast("int").alias("delay"))
+    assert model.fit_rows(ready, 100).count() == 100 and model.fit_rows(ready, 1000).count() == 500
+
+
+def test_loaded_model_has_its_own_figures(spark, tmp_path):
+    trained = model.train(frame(spark, 300), ["f_id"], "decision_tree", maxDepth=3)
+    model.save(trained, str(tmp_path), "1")
+    loaded, _ = model.load(spark, str(tmp_path))
+    for part in ("test_metrics", "overfit", "test_scores"):
+        assert rows(getattr(loaded, part)) == rows(getattr(trained, part))

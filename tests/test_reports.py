@@ -117,3 +117,11 @@ def test_wide_view(spark, flights, metar):
     )
     ids = spark.createDataFrame([("a",), ("c",), ("a",)], "f_id string")
     assert [r["f_id"] for r in views.flights_by_ids(view, ids).collect()] == ["c", "a"]
+
+
+def test_one_per_code(spark):
+    table = spark.createDataFrame(
+        [(3, "AA", "old", "N"), (4, "AA", "new", "Y"), (5, "AA", "newer", "Y"), (1, "BB", "b", None), (2, "BB", "a", "N"), (9, None, "x", "Y")],
+        "id long, iata string, name string, active string",
+    )
+    assert rows(reports.one_per_code(table, "iata", ["name"])) == [("AA", "new"), ("BB", "b")]

@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -189,3 +190,34 @@ def test_documents(spark, tmp_path):
     assert documents.read_json(spark, str(tmp_path / "out"), "a long").count() == 1
     documents.write_predictions_csv(single.select("a"), str(tmp_path / "csv"))
     assert documents.read_flight_csv(spark, str(tmp_path / "csv"), ["a"]).first()["a"] == "4"
+
+
+def test_board_pages_with_unclosed_tags(spark):
+    page = BOARD.replace("<td", "<p>" * 5000 + "<td", 1) + "</b>" * 5000
+    pages = spark.createDataFrame([("raw_a.html", page), ("raw_b.html", None), ("raw_c.html", "<![x[ <![if")], "path string, html string")
+    assert boards.unreadable_pages(pages).count() <= 1
+    found = boards.board_rows(pages).filter("path = 'raw_a.html'")
+    assert found.count() == boards.board_rows(spark.createDataFrame([("raw_a.html", BOARD)], pages.schema)).count()
+
+
+def test_landing_lookup(spark):
+    files = spark.createDataFrame([
+        ("CDG", "departure", "2025-10-01", "08", 3600.0, "f1", "/f1"), ("CDG", "departure", "2025-10-01", "08", 7200.0, "f0", "/f0"),
+        ("JFK", "departure", "2025-10-01", "08", 90_000.0, "f2", "/f2"),
+    ], "airport string, type string, date string, shift string, age_seconds double, filename string, path string").withColumn(
+        "modified", F.lit(dt.datetime(2025, 10, 2)) - F.make_dt_interval(secs=F.col("age_seconds"))
+    )
+    wanted = spark.createDataFrame([(a, "departure", "2025-10-01", "08") for a in ("CDG", "JFK", "LHR")], "airport string, type string, date string, shift string")
+    assert rows(landing.lookup(files, wanted), "airport", "status", "filename", "path") == [
+        ("CDG", "found", "f1", "/f1"), ("JFK", "too old", "f2", None), ("LHR", "missing", None, None),
+    ]
+
+
+def test_reference_fallback_only_without_a_file(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    fallback = reference.airport_reference_or_fallback(spark, str(tmp_path / "absent.csv"))
+    assert fallback.columns == ["code_iata", "icao_code", "timezone"] and fallback.count() == 10
+    (tmp_path / "odd.csv").write_text("code;zone\nCDG;Europe/Paris\n")
+    with pytest.raises(AnalysisException):
+        reference.airport_reference_or_fallback(spark, str(tmp_path / "odd.csv")).count()

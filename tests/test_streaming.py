@@ -3,6 +3,7 @@ import datetime as dt
 from conftest import rows
 from pyspark.sql import functions as F
 
+from aeroledger.operators import merge
 from aeroledger.streaming import jobs
 from test_sources import METAR
 
@@ -89,3 +90,62 @@ def test_xml_stream(spark, tmp_path):
     docs = jobs.new_metar(spark, str(tmp_path / "in"), None).select("_id", "station_id")
     jobs.append_available(docs, str(tmp_path / "out"), str(tmp_path / "progress"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    import os
+
+    source, root, progress = (str(tmp_path / n) for n in ("in", "table", "progress"))
+    day = "date_format(observation_time, 'yyyy-MM-dd')"
+    stored = spark.createDataFrame([(i, "old", D + dt.timedelta(days=i)) for i in range(4)] + [(9, "old", None)], EVENTS)
+    jobs.start_partitions(stored, root, F.expr(day))
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(f"{root}/data") for f in names}
+
+    before = files()
+    drop(spark, source, "a", [(1, "new", D + dt.timedelta(days=1)), (7, "new", D + dt.timedelta(days=9))])
+    stream = jobs.read_new(spark, source, "parquet", EVENTS)
+    jobs.merge_partitions_available(stream, root, progress, lambda table, batch: merge.upsert(table, batch, ["id"]), day)
+    assert rows(jobs.read_partitions(spark, root), "id", "station_id") == [
+        (0, "old"), (1, "new"), (2, "old"), (3, "old"), (7, "new"), (9, "old"),
+    ]
+    after = files()
+    assert all(after[name] == stamp for name, stamp in before.items())
+    new = {name.split("part=")[1][:10] for name in after.keys() - before.keys() if "part=" in name}
+    assert new == {"2025-10-02", "2025-10-10"}
+    assert rows(jobs.read_partitions(spark, root, 0), "id", "station_id")[1] == (1, "old")
+    assert jobs.read_partitions(spark, root, parts=["1999-01-01"]).count() == 0
+
+
+def test_late_files_and_repeats(spark, tmp_path):
+    import os
+
+    source, root, progress = (str(tmp_path / n) for n in ("in", "table", "progress"))
+    spark.createDataFrame([], "station_id string, metar_id long, observation_time timestamp_ntz").write.parquet(jobs.version_path(root, 0))
+
+    def run():
+        stream = jobs.latest_reports(jobs.read_new(spark, source, "parquet", EVENTS))
+        jobs.merge_available(stream, root, progress, jobs.keep_latest, "update")
+        return rows(jobs.read_latest(spark, root), "station_id", "metar_id")
+
+    drop(spark, source, "a", [(1, "A", D)])
+    assert run() == [("A", 1)]
+    known = set(os.listdir(source))
+    drop(spark, source, "b", [(2, "B", D), (1, "A", D)])
+    for name in set(os.listdir(source)) - known:
+        os.utime(f"{source}/{name}", (1_000_000_000, 1_000_000_000))
+    assert run() == [("A", 1), ("B", 2)]
+
+
+def test_repeated_flights_keep_one_row(spark, tmp_path):
+    source, root, progress = (str(tmp_path / n) for n in ("in", "table", "progress"))
+    flight = "flight_key string, to_airport string, operated_by string, arrival_scheduled_utc timestamp_ntz"
+    taf = spark.createDataFrame([(5, "LFPG", D, None, "FM")], "id long, station_id string, fcst_time_from timestamp_ntz, fcst_time_to timestamp_ntz, change_indicator string")
+    airports = spark.createDataFrame([("CDG", "LFPG")], "iata_code string, icao_code string")
+    spark.createDataFrame([], "flight_key string, taf_id long").write.parquet(jobs.version_path(root, 0))
+    step = jobs.link_step(taf, airports, ["flight_key"], ["arrival_scheduled_utc"])
+    for _ in range(2):
+        drop(spark, source, "a", [("f1", "CDG", None, D + dt.timedelta(hours=1)), ("f2", None, None, D), ("f1", "CDG", None, D)], flight)
+        jobs.merge_available(jobs.read_new(spark, source, "parquet", flight), root, progress, step)
+    assert rows(jobs.read_latest(spark, root)) == [("f1", 5), ("f2", None)]
