@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from .catalog import LOADED, NOW, _board_airports, _carriers, _listing, _moment, _pages, _prepared, _scored, query, with_doubles
-from .functions import clean
+from .functions import clean, zones
 from .operators import associate, dims, merge, normalize
 from .plans import evaluation, features, hourly, model
 from .session import reliable_checkpoint, run_dir
@@ -561,3 +561,31 @@ def stream_actuals_by_day(spark, folder):
     order = ["l_partkey", "l_suppkey", "status_final", "delay_min"]
     jobs.merge_partitions_available(late, f"{base}/table", f"{base}/progress", jobs.actuals_step(order), day)
     return jobs.read_partitions(spark, f"{base}/table").select("flight_number", "departure_scheduled_utc", "status_final", "delay_min")
+
+
+# ---- zones over a whole year -------------------------------------------------------------
+
+def _year(spark, folder):
+    """Events spread over the days of a leap year, at the airports in turn."""
+    moments = fx.table(spark, folder, "events").selectExpr(
+        "event_id as id", "cast(event_id % 25 as int) as place",
+        "timestamp_ntz'2024-01-01 00:00:00' + interval '1' day * cast(event_id % 366 as int)"
+        " + interval '1' minute * cast((event_id * 37) % 1440 as int) as moment",
+    )
+    return moments.join(fx.airports(spark, folder).selectExpr("id as place", "iata_code", "timezone"), "place")
+
+
+@query
+def local_times_year(spark, folder):
+    """UTC to local time, on both sides of every change of clocks."""
+    return _year(spark, folder).select("id", zones.utc_to_local(F.col("moment"), F.col("timezone")).alias("local"))
+
+
+@query
+def board_times_year(spark, folder):
+    """Board dates and clock times to UTC, from four in the morning on, when no hour is missing or repeated."""
+    boards_of_year = _year(spark, folder).selectExpr(
+        "id", "iata_code as from_airport", "date_format(moment, 'yyyy-MM-dd') as day",
+        "concat(lpad(cast(4 + id % 20 as string), 2, '0'), ':', date_format(moment, 'mm')) as clock",
+    )
+    return zones.board_times_to_utc(boards_of_year, fx.airports(spark, folder), "day", {"utc": "clock"}, "from_airport").select("id", "utc")

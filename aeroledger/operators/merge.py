@@ -1,9 +1,11 @@
 """Merges as pure functions: ``(target, source) -> new table``.
 
 Parquet tables have no MERGE, so a merge returns the full new content and the
-caller writes it to a new version folder. Sources are reduced to one row per key
-with an aggregate, which combines before the shuffle, so a key that repeats a
-million times in a batch costs one row per task.
+caller writes it to a new version folder (or only the partitions that a batch
+touches, see ``streaming.jobs``). Sources are reduced to one row per key with an
+aggregate, which combines before the shuffle, so a key that repeats a million
+times in a batch costs one row per task. The reduced source is written once and,
+if it is small, sent to the target's rows, so the target is not shuffled.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sizing import sized_broadcast, written
+
 
 def _one_per_key(df: DataFrame, keys: list[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
@@ -44,7 +48,9 @@ def shared_ids(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Source rows whose key is not in the target, first one per key."""
-    return first_per_key(source, keys, order).join(target.select(*keys), keys, "left_anti")
+    fresh, lookup = written(first_per_key(source, keys, order))
+    known = target.select(*keys).join(lookup.select(*keys), keys, "left_semi").distinct()
+    return fresh.join(known, keys, "left_anti")
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -82,8 +88,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[st
 
     Without ``order`` the source must hold one row per key.
     """
-    fresh = last_per_key(source, keys, order) if order else source
-    return target.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+    fresh, lookup = written(last_per_key(source, keys, order) if order else source)
+    return target.join(lookup.select(*keys), keys, "left_anti").unionByName(fresh)
 
 
 def replace_upsert(
@@ -155,9 +161,9 @@ def late_actuals(flights: DataFrame, actuals: DataFrame, order: list[str]) -> Da
         "coalesce(flight_number, '') <> '' and coalesce(from_airport, '') <> '' "
         "and coalesce(to_airport, '') <> '' and departure_scheduled_utc is not null"
     )
-    latest = usable.groupBy(*FLIGHT_KEY).agg(
+    latest = sized_broadcast(usable.groupBy(*FLIGHT_KEY).agg(
         F.max_by(F.struct(*ACTUALS), F.struct(*order)).alias("late")
-    )
+    ))
     out = [
         F.when(F.col("late").isNotNull(), F.col(f"late.{c}")).otherwise(
             F.col(c) if c in flights.columns else F.lit(None)
@@ -173,9 +179,9 @@ def write_back_predictions(flights: DataFrame, predictions: DataFrame, key: str
     scored = predictions.filter(
         F.col("delay_probability").isNotNull() & ~F.isnan(F.col("delay_probability").cast("double"))
     )
-    latest = scored.groupBy(key).agg(
+    latest = sized_broadcast(scored.groupBy(key).agg(
         F.max(F.struct("delay_probability", "risk_level")).alias("scored")
-    )
+    ))
     kept = [c for c in flights.columns if c not in ("delay_prob", "delay_risk_level")]
     hit = F.col("scored").isNotNull()
     return flights.join(latest, key, "left").select(
@@ -187,7 +193,7 @@ def write_back_predictions(flights: DataFrame, predictions: DataFrame, key: str
 
 def set_links(flights: DataFrame, links: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Set association columns from a result table; flights without a result keep theirs."""
-    found = links.select(key, F.struct(*columns).alias("found"))
+    found = sized_broadcast(links.select(key, F.struct(*columns).alias("found")))
     kept = [c for c in flights.columns if c not in columns]
     return flights.join(found, key, "left").select(
         *kept,

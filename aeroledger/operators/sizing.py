@@ -29,6 +29,12 @@ def estimated_bytes(side: DataFrame) -> int:
     return side.agg(F.sum(row)).first()[0] or 0
 
 
+def written(side: DataFrame, max_bytes: int = MAX_LOOKUP_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``side`` written to the shared folder: as it is, and with a broadcast hint if it is small."""
+    kept = reliable_checkpoint(side)
+    return kept, F.broadcast(kept) if estimated_bytes(kept) <= max_bytes else kept
+
+
 def sized_broadcast(side: DataFrame, max_bytes: int = MAX_LOOKUP_BYTES) -> DataFrame:
     """``side``, with a broadcast hint if it is measured and small.
 
@@ -40,5 +46,4 @@ def sized_broadcast(side: DataFrame, max_bytes: int = MAX_LOOKUP_BYTES) -> DataF
     that is too large is joined through a shuffle, where adaptive execution
     splits skewed keys.
     """
-    kept = reliable_checkpoint(side)
-    return F.broadcast(kept) if estimated_bytes(kept) <= max_bytes else kept
+    return written(side, max_bytes)[1]

@@ -22,7 +22,9 @@ used_metar as (select id, external_id, case when id % 13 = 0 then '' else statio
 used_taf as (select id, external_id, station_id, date_trunc('second', issue_time) as issue_time from taf
     where external_id in (select taf_id from chosen))"""
 
-SHORT = "cast(round_even({}, {}) as double)"
+YEAR = """year as (select e.*, a.timezone from (select event_id as id, event_id % 25 as place,
+  timestamp '2024-01-01' + interval '1' day * cast(event_id % 366 as int) + interval '1' minute * cast((event_id * 37) % 1440 as int) as moment
+  from events) e join airport a on a.id = e.place)"""
 
 BRANCH = """case when arriving then 'XYZ' else airport end"""
 
@@ -165,4 +167,9 @@ with l as (select l_orderkey, l_linenumber, max({'a': l_partkey, 'b': l_suppkey,
 last as (select l_orderkey, arg_max(v, l_linenumber) as v from l group by 1)
 select cast(o_orderkey as varchar) as flight_number, timestamp '2024-01-01' + interval '1' hour * cast(o_orderkey % 480 as int)
   as departure_scheduled_utc, v.c as status_final, v.d as delay_min from orders left join last on o_orderkey = l_orderkey""",
+    "local_times_year": w("airport", extra=YEAR) + """
+select id, timezone(timezone, timezone('UTC', moment)) as local from year""",
+    "board_times_year": w("airport", extra=YEAR) + """
+select id, timezone('UTC', timezone(timezone, date_trunc('day', moment) + interval '1' hour * cast(4 + id % 20 as int)
+  + interval '1' minute * minute(moment))) as utc from year""",
 }

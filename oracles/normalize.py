@@ -1,9 +1,46 @@
 """DuckDB statements for the normalisation queries."""
 
-from aeroledger.functions.weather import CLEAR_SKY, WX_WORDS
-
 from .prelude import with_tables as w
 
+# Weather codes and their wording, stated here again so that a slip in the engine's table shows.
+WX_WORDS = {
+    "MI": "Mince (shallow)",
+    "BC": "Bancs (patches)",
+    "PR": "Partiel (partial)",
+    "DR": "Chasse basse (low drifting)",
+    "BL": "Chasse elevee (blowing)",
+    "SH": "Averses (showers)",
+    "TS": "Orage (thunderstorm)",
+    "FZ": "Givrant (freezing)",
+    "RE": "Recent",
+    "VC": "Au voisinage (vicinity)",
+    "RA": "Pluie (rain)",
+    "DZ": "Bruine (drizzle)",
+    "SN": "Neige (snow)",
+    "SG": "Neige en grains (snow grains)",
+    "IC": "Cristaux de glace (ice crystals)",
+    "PL": "Granules de glace (ice pellets)",
+    "GR": "Grele (hail >= 5mm)",
+    "GS": "Gresil (small hail < 5mm)",
+    "UP": "Precipitation inconnue (unknown)",
+    "FG": "Brouillard (fog, vis < 1 km)",
+    "BR": "Brume (mist, 1-5 km vis)",
+    "HZ": "Brume seche (haze)",
+    "FU": "Fumee (smoke)",
+    "VA": "Cendres volcaniques (volcanic ash)",
+    "DU": "Poussiere etendue (dust)",
+    "SA": "Sable (sand)",
+    "PY": "Embruns (spray)",
+    "SQ": "Grain (squall)",
+    "PO": "Tourbillons de sable/poussiere",
+    "DS": "Tempete de sable (dust storm)",
+    "SS": "Tempete de sable (sandstorm)",
+    "FC": "Trombe/tornade (funnel cloud)",
+    "+": "Fort (heavy)",
+    "-": "Faible (light)",
+}
+CLEAR_SKY = "Ciel degage / Pas de phenomene"
+
 TEXTS = """texts as (select event_id as id,
   case event_id % 8 when 0 then concat(event_id, '+') when 1 then 'VRB' when 2 then '-'
     when 3 then concat('-', event_id, '.', lpad(cast(event_id % 1000 as varchar), 3, '0'))
