@@ -589,3 +589,14 @@ def board_times_year(spark, folder):
         "concat(lpad(cast(4 + id % 20 as string), 2, '0'), ':', date_format(moment, 'mm')) as clock",
     )
     return zones.board_times_to_utc(boards_of_year, fx.airports(spark, folder), "day", {"utc": "clock"}, "from_airport").select("id", "utc")
+
+
+# ---- the whole feature frame -----------------------------------------------------------------
+
+@query
+def feature_rows(spark, folder):
+    """Every feature of every flight that training keeps."""
+    frame = _prepared(spark, folder)
+    features_of = [*features.NUMERIC, *features.CATEGORICAL, *features.ORDERED]
+    shares = {c: F.round(c, 9) for c in features.FREQUENCIES.values()}
+    return frame.withColumns(shares).select("f_id", "delay", "delay_min", *features_of)

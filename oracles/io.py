@@ -28,7 +28,65 @@ YEAR = """year as (select e.*, a.timezone from (select event_id as id, event_id
 
 BRANCH = """case when arriving then 'XYZ' else airport end"""
 
+def weather(end, column):
+    """Impact columns of a weather string."""
+    u = f"coalesce(upper({column}), '')"
+
+    def has(*codes):
+        return "(" + " or ".join(f"contains({u}, '{c}')" for c in codes) + ")"
+
+    level = f"""case when {has('TS', 'GR', 'SQ', 'SS', 'DS', 'FG')} then 4
+      when {has('FZ')} and {has('RA', 'SN')} or {has('SN')} or {has('RA')} and {has('HVY', '+')} then 3
+      when {has('RA', 'DZ', 'BR')} then 2 else 1 end"""
+    return level, f"""(['none', 'low', 'medium', 'high'])[{level}] as {end}_weather_impact,
+  case when {has('TS')} then 'THUNDERSTORM' when {has('GR')} then 'HAIL' when {has('SS', 'DS')} then 'DUST_STORM'
+    when {has('SQ')} then 'THUNDERSTORM' when {has('FG')} then 'FOG' when {has('FZ')} and {has('RA', 'SN')} then 'ICING'
+    when {has('SN')} then 'SNOW' when {has('RA')} and {has('HVY', '+')} then 'RAIN'
+    when {has('RA', 'DZ', 'BR')} then 'LIGHT_WEATHER' else 'CLEAR' end as {end}_weather_simplified,
+  {has('TS', 'SQ', 'GR')} as {end}_has_convective, {has('FZ', 'IC', 'PE')} as {end}_has_icing,
+  {has('FG', 'BR')} as {end}_visibility_affected, {has('TS', 'SQ')} as {end}_wind_affected"""
+
+
+def miles(column):
+    return f"""case when {column} is null then null when {column} < 5 then concat('<', cast(floor({column}) as int) + 1) else '>=5' end as {column}"""
+
+
+def severe(prefix):
+    return f"""cast(coalesce({prefix}wind_speed_kt, 0) > 20 as int) + cast(coalesce({prefix}wind_gust_kt, 0) > 30 as int)
+    + cast(coalesce({prefix}visibility_statute_mi < 2, false) as int)"""
+
+
+DEP_LEVEL, DEP = weather("dep", "wx_string")
+ARR_LEVEL, ARR = weather("arr", "t_wx_string")
+RUSH = "in (7, 8, 17, 18, 19) as int)"
+
+FEATURE_ROWS = FRAME.rstrip() + f""",
+lines as (select airline_code, round(count(*) / (select count(*) from cut), 9) as share from cut group by 1),
+placed as (select f.*, s.share as airport_flight_count, l.share as airline_flight_count, m.wind_dir_degrees as dep_dir,
+    t.wind_dir_degrees as arr_dir, f.departure_scheduled_utc + interval '1' minute * zd.off as dl, f.arrival_scheduled_utc + interval '1' minute * za.off as al
+  from cut f join shares s on f.from_airport = s.from_airport join lines l on f.airline_code = l.airline_code
+  join z zd on f.from_airport = zd.code join z za on f.to_airport = za.code
+  left join metar m on f.departure_metar_fk = m.id left join taf t on f.arrival_taf_fk = t.id
+  where f.status <> 'CANCELLED')
+select f_id, cast(coalesce(delay_min, 0) > 15 as int) as delay, cast(coalesce(delay_min, 0) as double) as delay_min,
+  cast(coalesce(wind_speed_kt, 0) as double) as wind_speed_kt, cast(dep_dir as double) as wind_dir_degrees,
+  cast(coalesce(wind_gust_kt, 0) as double) as wind_gust_kt, cast(coalesce(t_wind_speed_kt, 0) as double) as t_wind_speed_kt,
+  cast(arr_dir as double) as t_wind_dir_degrees, cast(coalesce(t_wind_gust_kt, 0) as double) as t_wind_gust_kt,
+  (epoch_us(departure_actual_utc) - epoch_us(departure_scheduled_utc)) / 60000000.0::double as departure_delay_minutes,
+  (epoch_us(arrival_scheduled_utc) - epoch_us(departure_scheduled_utc)) / 60000000.0::double as flight_duration_minutes,
+  airport_flight_count, airline_flight_count, {severe('')} as weather_severity_dep, {severe('t_')} as weather_severity_arr,
+  round_even((epoch_us(arrival_scheduled_utc) - epoch_us(departure_scheduled_utc)) / 3600000000.0, 1) as flight_duration_hours,
+  cast(hour(dl) as int) as departure_hour_local, cast(hour(al) as int) as arrival_hour_local,
+  cast(isodow(dl) - 1 as int) as departure_dayofweek, cast(isodow(al) - 1 as int) as arrival_dayofweek,
+  cast(month(dl) as int) as departure_month, cast(quarter(dl) as int) as departure_quarter, cast(day(dl) as int) as departure_day,
+  cast(hour(dl) {RUSH} as is_rush_hour_dep, cast(hour(al) {RUSH} as is_rush_hour_arr,
+  cast(isodow(dl) >= 6 as int) as is_weekend, cast(day(dl) > 25 as int) as is_month_end, cast(day(dl) <= 5 as int) as is_month_start,
+  {DEP}, {ARR}, (['none', 'low', 'medium', 'high'])[greatest({DEP_LEVEL}, {ARR_LEVEL})] as overall_weather_impact,
+  {miles('visibility_statute_mi')}, {miles('t_visibility_statute_mi')}, msc_sky_cover, tsc_sky_cover
+from placed"""
+
 SQL = {
+    "feature_rows": FEATURE_ROWS,
     "seed_load": """select c_custkey as key, c_name as name, case when c_custkey % 9 = 0 then 'NA' else c_mktsegment end as segment,
   case when c_custkey % 7 <> 0 then c_nationkey end as nation from customer""",
     "headerless_carriers": """select cast(c_custkey as varchar) as id, concat('Line, ', c_name) as name, cast(null as varchar) as alias,
