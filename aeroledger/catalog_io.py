@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .catalog import LOADED, NOW, _board_airports, _carriers, _listing, _moment, _pages, _prepared, _scored, query, with_doubles
+from .catalog import LOADED, NOW, _board_airports, _carriers, _listing, _moment, _pages, _prepared, _scored, _view, query, with_doubles
 from .functions import clean, zones
-from .operators import associate, dims, merge, normalize
+from .operators import associate, dims, merge, neighbours, normalize
 from .plans import evaluation, features, hourly, model
 from .session import reliable_checkpoint, run_dir
 from .sources import boards, documents, feeds, landing, reference
@@ -600,3 +600,34 @@ def feature_rows(spark, folder):
     features_of = [*features.NUMERIC, *features.CATEGORICAL, *features.ORDERED]
     shares = {c: F.round(c, 9) for c in features.FREQUENCIES.values()}
     return frame.withColumns(shares).select("f_id", "delay", "delay_min", *features_of)
+
+
+@query
+def scored_and_stored(spark, folder):
+    """A model stored, loaded again and applied to the open flights; the others keep what they had."""
+    view, airports, root = _view(spark, folder), fx.airports(spark, folder), run_dir(spark, "models")
+    hourly.train_and_store(view, airports, root, "20240201_000000", "decision_tree", flights=fx.flights(spark, folder))
+    trained, tables = model.load(spark, root)
+    stored = fx.flights(spark, folder).selectExpr(
+        "row_key as id", "status_final", "cast(null as double) as delay_prob", "cast(null as string) as delay_risk_level"
+    )
+    ids = stored.filter("status_final is null").selectExpr("id as f_id")
+    updated, _ = model.score_and_store(trained, stored, view, airports, ids, tables)
+    return updated.select(
+        "id", F.coalesce(F.col("delay_prob").between(0, 1), F.lit(False)).alias("scored"),
+        F.coalesce(F.col("delay_risk_level").isin("low", "medium", "high"), F.lit(False)).alias("has_level"),
+    )
+
+
+@query
+def nearest_vectors(spark, folder):
+    """The nearest distinct vectors that hold at least five rows, per query vector."""
+    base = fx.table(spark, folder, "part").selectExpr(
+        "array(cast(p_size % 12 as double), cast(p_partkey % 13 as double), cast(p_partkey % 7 as double)) as vector",
+        "cast(p_partkey % 3 = 0 as int) as label",
+    )
+    queries = fx.table(spark, folder, "supplier").selectExpr(
+        "s_suppkey as qid", "array(cast(s_nationkey % 12 as double), cast(s_suppkey % 13 as double), cast(s_suppkey % 7 as double)) as vector"
+    )
+    near = neighbours.nearest(queries, neighbours.distinct_vectors(base), 5)
+    return near.select("qid", F.round("distance", 9).alias("distance"), "copies", "positives")

@@ -230,4 +230,13 @@ select id, timezone(timezone, timezone('UTC', moment)) as local from year""",
     "board_times_year": w("airport", extra=YEAR) + """
 select id, timezone('UTC', timezone(timezone, date_trunc('day', moment) + interval '1' hour * cast(4 + id % 20 as int)
   + interval '1' minute * minute(moment))) as utc from year""",
+    "scored_and_stored": w("flight") + """
+select row_key as id, status_final is null as scored, status_final is null as has_level from flight""",
+    "nearest_vectors": """with b as (select p_size % 12 as x, p_partkey % 13 as y, p_partkey % 7 as z, count(*) as copies,
+  cast(sum(case when p_partkey % 3 = 0 then 1 else 0 end) as bigint) as positives from part group by 1, 2, 3),
+d as (select s_suppkey as qid, b.*, (s_nationkey % 12 - x) ** 2 + (s_suppkey % 13 - y) ** 2 + (s_suppkey % 7 - z) ** 2 as square
+  from supplier, b),
+o as (select *, coalesce(sum(copies) over (partition by qid order by square, x, y, z rows between unbounded preceding and 1 preceding), 0) as ahead
+  from d)
+select qid, round(sqrt(square), 9) as distance, copies, positives from o where ahead < 5""",
 }
