@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from . import common
 
 # Pieces whose ids a worker keeps; a full cache starts anew.
-CACHED_PIECES = 500_000
+CACHED_PIECES = 250_000
 # Token pairs whose validity a worker keeps.
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 300_000
 # Code points that are split at once; a longer text is cut between words.
 SPLIT_CHARS = 1 << 20
 # Code points of short texts whose pieces are encoded together.
@@ -278,8 +278,12 @@ class TextEncoder:
         return b"".join(self.encode_all([part])[0] for part in portions(text))
 
     def decode(self, ids: bytes) -> bytes:
-        token = self.encoder.token.__getitem__
-        return b"".join(map(token, np.frombuffer(ids, dtype="<u4").tolist()))
+        return decoded(ids, self.encoder.token)
+
+
+def decoded(ids: bytes, token: dict[int, bytes]) -> bytes:
+    """The bytes of tokens given as little-endian 32-bit words."""
+    return b"".join(map(token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -291,6 +295,16 @@ def encoder_for(path: str) -> TextEncoder:
     return _ENCODERS[path]
 
 
+_TOKENS: dict[str, dict[int, bytes]] = {}
+
+
+def tokens_for(path: str) -> dict[int, bytes]:
+    """Bytes of each id; all that a worker needs to decode."""
+    if path not in _TOKENS:
+        _TOKENS[path] = {rank: data for data, rank in read_ranks(path).items()}
+    return _TOKENS[path]
+
+
 # ---- whole tables --------------------------------------------------------------------------
 
 def encode_documents(documents: DataFrame, ranks_path: str) -> DataFrame:
@@ -318,9 +332,9 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id, ids, decoded``: the bytes that the ids stand for."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encoder = encoder_for(ranks_path)
+        token = tokens_for(ranks_path)
         for doc_id, ids in rows:
-            yield doc_id, ids, encoder.decode(ids)
+            yield doc_id, ids, decoded(ids, token)
 
     return common.map_rows(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, decoded binary")
 
