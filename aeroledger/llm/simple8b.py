@@ -41,7 +41,7 @@ BLOCK_IDS = 1 << 12
 MAGIC = b"S8BIDS01"
 NO_ID = -(1 << 63)
 # Spellings whose ids a worker keeps; a full cache starts anew.
-CACHED = 400_000
+CACHED = 700_000
 
 #: Ids per word and bits per id of selectors 0 to 13, as Simple-8b defines them.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
