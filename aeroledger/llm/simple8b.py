@@ -12,7 +12,8 @@ on the ids alone; a file appears whole or not at all (``common.publish``).
 File: magic, then unsigned 64-bit little-endian counts (documents, ids, block size, blocks,
 words), then document ids (signed), ids per document, first word of each block, words.
 
-Cases: null text is empty and yields the end id alone; rows with equal ids follow each other,
+Cases: added tokens of the tokenizer in a text (``<|endoftext|>``) have their own ids, as the library
+gives them; null text is empty and yields the end id alone; rows with equal ids follow each other,
 ordered by their text; null ids come last and are written as a missing id; bytes that are no
 UTF-8 are read as U+FFFD; an empty table gives no file; further columns are not read.
 """
@@ -189,7 +190,8 @@ def file_content(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def id_type(plan: dict) -> str:
     """16 bits per id where the vocabulary allows, else 32."""
-    return "<u2" if max(plan["model"]["vocab"].values()) < 1 << 16 else "<u4"
+    added = (token["id"] for token in plan["added_tokens"])
+    return "<u2" if max([*plan["model"]["vocab"].values(), *added]) < 1 << 16 else "<u4"
 
 
 def read_plan(path: str) -> dict:
@@ -201,7 +203,8 @@ class SpellingCache(dict):
     """Ids of each white-space-free stretch of text, asked of the library once per spelling.
 
     The tokenizer drops white space, and neither its normaliser nor its split pattern
-    looks across it, so a text's ids are those of its stretches one after another.
+    looks across it, so a text's ids are those of its stretches one after another. Added
+    tokens are found in the raw text before all else and have ids of their own (``pieces``).
     """
 
     def __init__(self, path: str):
@@ -213,6 +216,12 @@ class SpellingCache(dict):
         self.pattern = regex.compile(splits[0])
         self.code = {"<u2": "H", "<u4": "I"}[id_type(plan)]
         self.words: dict[str, bytes] = {}
+        if any(token["normalized"] or token["single_word"] for token in plan["added_tokens"]):
+            raise ValueError("only added tokens that stand for themselves in the raw text are supported")
+        self.added = {token["content"]: struct.pack(f"<{self.code}", token["id"]) for token in plan["added_tokens"]}
+        # The longest of those that start at a place is found, as the library does it.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})")
         # The library's model alone; stretches come to it normalised and split.
         plan |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
         self.model = Tokenizer.from_str(json.dumps(plan)).model
@@ -254,6 +263,18 @@ class SpellingCache(dict):
         return ids
 
 
+    def pieces(self, text: str) -> Iterator[bytes]:
+        """Ids of a raw text in order, piece by piece."""
+        if not any(token in text for token in self.added):
+            yield from map(self.__getitem__, stretches(text))
+            return
+        for number, part in enumerate(self.cut.split(text)):
+            if number % 2:
+                yield self.added[part]
+            else:
+                yield from map(self.__getitem__, stretches(part))
+
+
 # White space of Unicode; Python's split also takes the four separators that are none.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 STRETCH = regex.compile(r"\S+")
@@ -277,9 +298,9 @@ def tokenize(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     end = np.array([end_id], dtype=id_type(read_plan(tokenizer_path))).tobytes()
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        ids = cache_for(tokenizer_path).__getitem__
+        pieces = cache_for(tokenizer_path).pieces
         for doc_id, key, raw in rows:
-            yield doc_id, key, b"".join(map(ids, stretches(common.decode(raw)))) + end
+            yield doc_id, key, b"".join(pieces(common.decode(raw))) + end
 
     raw = common.text_bytes("text")
     return common.map_rows(
