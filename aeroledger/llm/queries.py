@@ -9,9 +9,11 @@ from ..session import run_dir
 from . import (
     chat,
     decontaminate,
+    merkle,
     prefix_bpe,
     pseudo_lm,
     ranking,
+    sharding,
     simhash,
     simple8b,
     trie_counts,
@@ -104,3 +106,16 @@ def op9_winnow(spark, folder):
 def op10_trie_counts(spark, folder):
     """Unigram token counts of every document."""
     return trie_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_jump(spark, folder):
+    """Documents stored in 16 shards, and every stored row's shard, slot and shard of 17."""
+    stored, shard = sharding.write_shards(table(spark, folder, "documents"), "doc_id", run_dir(spark, "shards"))
+    return sharding.placement(stored, "doc_id", shard)
+
+
+@query
+def op12_merkle(spark, folder):
+    """Hash tree of the documents, and each one's proof with a perhaps tampered leaf."""
+    return merkle.proofs(table(spark, folder, "documents"))
