@@ -13,6 +13,7 @@ from . import (
     prefix_bpe,
     pseudo_lm,
     ranking,
+    repair,
     sharding,
     simhash,
     simple8b,
@@ -119,3 +120,9 @@ def op11_jump(spark, folder):
 def op12_merkle(spark, folder):
     """Hash tree of the documents, and each one's proof with a perhaps tampered leaf."""
     return merkle.proofs(table(spark, folder, "documents"))
+
+
+@query
+def op13_repair(spark, folder):
+    """Conversations damaged, repaired at least cost, and the edits of each."""
+    return repair.audited(table(spark, folder, "conversations"))
