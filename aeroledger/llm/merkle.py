@@ -1,12 +1,14 @@
 """Merkle manifest of a table: hash trees per source, and proofs by a recursive query.
 
 ``build`` numbers the leaves of every source, folds blocks of ``BLOCK`` leaves level by level, then blocks of the
-nodes that remain, until each source has one; the subroots are the leaves of one more tree. All levels are stored
-as node rows, each with its siblings and a link to its parent. ``climb`` is a recursive query over those rows: every
-leaf ascends by one link a step, appends the siblings it meets and folds its own, perhaps tampered, hash with them.
+nodes that remain, until each source has one; the subroots are the leaves of one more tree. The levels are node rows
+with their siblings and a link to the parent. A recursive query climbs those rows: every leaf ascends by one link a
+step, appends the siblings it meets and folds its own, perhaps tampered, hash with them.
 
-A block of leaves is a ``home``. The few nodes above a home are stored once per home (found by the same climb, from
-the homes' tops), so no step joins more than ``BLOCK`` leaves on one node, also in a source with a third of the rows.
+A block of leaves is a ``home``. What lies above a home is the same for all its leaves, so the same kind of query
+climbs from the homes' tops to the root, a level a step, and leaves the way as one link per home. Links within a home
+lead up ``LINK_LEVELS`` levels. So no step joins more than ``BLOCK`` leaves on one node, also in a source with a third
+of the rows, and a leaf's row is shuffled once for each link, not for each level.
 
 Digests are held as 32 bytes and hashed as lower-case hex text.
 
@@ -32,8 +34,10 @@ BLOCK = FANOUT**BLOCK_LEVELS
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 # Name of the tree over the subroots; sources' trees are named '' or '=' and the source.
 TOP = "!"
-# Places of a home's nodes: level by level, more than a block's nodes apart.
-STRIDE = 1024
+# Levels that a link within a home leads up.
+LINK_LEVELS = 3
+# Place of a home's link to the root; other links are at level times ``BLOCK``, plus the node's place on that level.
+HOME_TOP = -1
 # More levels than any table can have.
 MAX_LEVELS = 200
 
@@ -144,6 +148,26 @@ def _nodes(blocks: DataFrame) -> DataFrame:
     return nodes.withColumn("lefts", lefts).withColumn("rights", rights).drop("row", "hash")
 
 
+def _links(first: int, at: Column) -> Column:
+    """The siblings on the way up from a block's node: a pair for each of ``LINK_LEVELS`` levels, or to the top."""
+    width = F.array(*(F.lit(FANOUT**n) for n in range(LINK_LEVELS)))
+    last = F.least(F.col("height"), F.lit(first + LINK_LEVELS)) - 1
+
+    def pair(level: Column) -> Column:
+        place = F.floor(at / F.get(width, level - first)).cast("int")
+        lefts, rights = _siblings(F.get(F.col("levels"), level), place)
+        return F.struct(lefts.alias("lefts"), rights.alias("rights"))
+
+    none = F.array().cast("array<struct<lefts: binary, rights: binary>>")
+    return F.when(F.col("height") > first, F.transform(F.sequence(F.lit(first), last), pair)).otherwise(none)
+
+
+def _up(first: int, at: Column) -> Column:
+    """Place of the next link."""
+    over = first + LINK_LEVELS
+    return F.when(F.col("height") > over, over * BLOCK + F.floor(at / FANOUT**LINK_LEVELS).cast("int")).otherwise(HOME_TOP)
+
+
 def _recursion(spark: SparkSession, start: DataFrame, nodes: DataFrame, query: str, label: str) -> DataFrame:
     """Run a recursive query over ``starts`` and ``nodes`` and store its rows.
 
@@ -178,16 +202,17 @@ with recursive path (home, step, tree, level, idx, lefts, rights) max recursion
 select home, step, lefts, rights from path where step > 0
 """
 
-# Every leaf to the root: its hash folded with the siblings of each step.
+# Every leaf to the root: at each link its hash is folded with the siblings, which are appended to those met before.
 CLIMB = """
-with recursive climb (home, leaf_at, place, step, fold, lefts, rights) max recursion level {levels} as (
-    select home, leaf_at, place, 0, fold, lefts, rights from {starts}
+with recursive climb (home, doc_id, leaf, subroot, place, fold, met) max recursion level {levels} as (
+    select home, doc_id, leaf, cast(null as binary), place, fold, met from {starts}
     union all
-    select c.home, c.leaf_at, n.up, c.step + 1,
-        unhex(sha2(cast(lower(hex(concat(n.lefts, c.fold, n.rights))) as binary), 256)), n.lefts, n.rights
+    select c.home, c.doc_id, c.leaf, n.subroot, n.up,
+        aggregate(n.links, c.fold, (f, s) -> unhex(sha2(cast(lower(hex(concat(s.lefts, f, s.rights))) as binary), 256))),
+        aggregate(n.links, c.met, (m, s) -> concat(m, s.lefts, s.rights))
     from climb c join {nodes} n on c.home = n.home and c.place = n.place
 )
-select home, leaf_at, step, fold, lefts, rights from climb
+select doc_id, leaf, subroot, fold, sha2(cast(lower(hex(met)) as binary), 256) as proof_sha256 from climb where place is null
 """
 
 
@@ -222,7 +247,7 @@ def _upper(passes: list[DataFrame]) -> DataFrame:
 
 
 def climb(tree: dict) -> DataFrame:
-    """``home, leaf_at, step, fold, lefts, rights``: every leaf's way to the root, a row per step."""
+    """``doc_id, leaf, subroot, fold, proof_sha256``: what every leaf has when it is at the root."""
     homes = tree["homes"]
     spark = homes.sparkSession
     tops = homes.select(
@@ -230,23 +255,29 @@ def climb(tree: dict) -> DataFrame:
         F.when(F.col("whole"), 0).otherwise(F.col("height")).alias("level"),
         F.when(F.col("whole"), F.col("rank")).otherwise(F.col("block")).alias("idx"),
     )
-    paths = _recursion(spark, tops, tree["nodes"], PATHS, "merkle_paths").join(homes.select("home", "height"), "home")
-    place = (F.col("height") + F.col("step") - 1) * STRIDE
-    above = paths.select("home", place.alias("place"), (place + STRIDE).alias("up"), "lefts", "rights")
-    parent = (F.col("level") + 1) * STRIDE + F.floor(F.col("at") / FANOUT).cast("int")
-    inside = _nodes(homes).where("level > 0").select(
-        "home", (F.col("level") * STRIDE + F.col("at")).alias("place"), parent.alias("up"), "lefts", "rights"
+    ways = _recursion(spark, tops, tree["nodes"], PATHS, "merkle_paths").groupBy("home").agg(
+        F.array_sort(F.collect_list(F.struct("step", "lefts", "rights"))).alias("way")
+    )
+    pairs = F.transform(F.coalesce("way", F.array()), lambda s: F.struct(s["lefts"].alias("lefts"), s["rights"].alias("rights")))
+    above = homes.select("home", "subroot").join(ways, "home", "left").select(
+        "home", F.lit(HOME_TOP).alias("place"), F.lit(None).cast("int").alias("up"), pairs.alias("links"), "subroot"
     )
-    nodes = reliable_checkpoint(inside.unionByName(above))
-
-    members = homes.select("home", "height", F.col("members.hash").alias("row"), F.posexplode("members").alias("leaf_at", "leaf"))
-    lefts, rights = _siblings(F.col("row"), F.col("leaf_at"))
-    linked, own = F.col("height") > 0, F.coalesce("leaf.changed", "leaf.hash")
-    first = members.withColumn("lefts", F.when(linked, lefts)).withColumn("rights", F.when(linked, rights))
-    # The lowest run is at hand in the block, so a leaf starts with its first step done.
-    starts = first.select(
-        "home", "leaf_at", F.when(linked, STRIDE + F.floor(F.col("leaf_at") / FANOUT).cast("int")).otherwise(0).alias("place"),
-        F.when(linked, digest(F.concat("lefts", own, "rights"))).otherwise(own).alias("fold"), "lefts", "rights",
+    at = F.col("at")
+    parts = [above]
+    for first in range(LINK_LEVELS, BLOCK_LEVELS, LINK_LEVELS):
+        nodes = homes.where(F.col("height") > first).select("home", "height", "levels", F.posexplode(F.get("levels", F.lit(first))).alias("at", "hash"))
+        parts.append(nodes.select(
+            "home", (first * BLOCK + at).alias("place"), _up(first, at).alias("up"), _links(first, at).alias("links"), F.lit(None).cast("binary").alias("subroot")
+        ))
+    nodes = reliable_checkpoint(_union(parts))
+    # The lowest link is at hand in the block, so a leaf starts with it done.
+    members = homes.select("home", "height", "levels", F.posexplode("members").alias("at", "member"))
+    linked = members.select("home", "member", _up(0, at).alias("place"), _links(0, at).alias("links"))
+    own = F.coalesce("member.changed", "member.hash")
+    starts = linked.select(
+        "home", "member.doc_id", F.col("member.hash").alias("leaf"), "place",
+        F.aggregate("links", own, lambda f, s: digest(F.concat(s["lefts"], f, s["rights"]))).alias("fold"),
+        F.aggregate("links", F.lit(b""), lambda m, s: F.concat(m, s["lefts"], s["rights"])).alias("met"),
     )
     return _recursion(spark, starts, nodes, CLIMB, "merkle_climb")
 
@@ -254,14 +285,8 @@ def climb(tree: dict) -> DataFrame:
 def proofs(documents: DataFrame) -> DataFrame:
     """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` for every row."""
     tree = build(documents)
-    homes, root = tree["homes"], F.lit(tree["root"]).cast("binary")
-    ways = climb(tree).groupBy("home", "leaf_at").agg(
-        F.max_by("fold", "step").alias("folded"),
-        F.array_sort(F.collect_list(F.struct("step", as_hex(F.concat("lefts", "rights")).alias("met")))).alias("way"),
-    )
-    rows = homes.select("home", "subroot", F.posexplode("members").alias("leaf_at", "member"))
-    return rows.join(ways, ["home", "leaf_at"]).select(
-        "member.doc_id", as_hex(F.col("member.hash")).alias("leaf"), as_hex(F.col("subroot")).alias("subroot"),
-        as_hex(root).alias("root"), F.sha2(F.array_join("way.met", "").cast("binary"), 256).alias("proof_sha256"),
-        as_hex(F.col("folded")).alias("folded_root"), (F.col("folded") == root).alias("verified"),
+    root = F.lit(tree["root"]).cast("binary")
+    return climb(tree).select(
+        "doc_id", as_hex(F.col("leaf")).alias("leaf"), as_hex(F.col("subroot")).alias("subroot"), as_hex(root).alias("root"),
+        "proof_sha256", as_hex(F.col("fold")).alias("folded_root"), (F.col("fold") == root).alias("verified"),
     )
