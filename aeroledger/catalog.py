@@ -80,11 +80,11 @@ def filter_options(spark, folder):
     return reports.filter_options(fx.flights(spark, folder))
 
 
-def _search(spark, folder, **filters):
+def _search(spark, folder, flights=None, **filters):
     # Every code twice: the copies must neither show nor multiply rows.
     airports, airlines = fx.airports(spark, folder), fx.airlines(spark, folder)
     return with_doubles(reports.search_flights(
-        fx.flights(spark, folder), fx.metar(spark, folder),
+        flights if flights is not None else fx.flights(spark, folder), fx.metar(spark, folder),
         airports.unionByName(airports.selectExpr("* except (id, city)", "id + 1000 as id", "'copy' as city")),
         airlines.unionByName(_old_airlines(airlines)), **filters,
     ))

@@ -23,15 +23,34 @@ def ntz(value: dt.datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def day_of(time: str) -> str:
+    """Name of the day column that a table laid out by ``time`` has."""
+    return f"{time}_day"
+
+
+def from_day(df: DataFrame, column: str, start) -> DataFrame:
+    """Rows of ``start`` or later; a table laid out by day reads only such days."""
+    df = df.filter(F.col(column) >= ntz(day(start)))
+    return df.filter(F.col(day_of(column)) >= F.lit(day(start).date())) if day_of(column) in df.columns else df
+
+
+def until(df: DataFrame, column: str, end: dt.datetime, included: bool = False) -> DataFrame:
+    """Rows before ``end``, or up to it; a table laid out by day reads only days that may have such."""
+    df = df.filter(F.col(column) <= ntz(end) if included else F.col(column) < ntz(end))
+    last = end.date() if included or end.time() != dt.time() else end.date() - dt.timedelta(days=1)
+    return df.filter(F.col(day_of(column)) <= F.lit(last)) if day_of(column) in df.columns else df
+
+
 def between_days(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     """Keep whole calendar days ``start`` to ``end``, both included.
 
-    The bounds stay on the bare column, so they reach the Parquet scan.
+    The bounds stay on the bare column, so they reach the Parquet scan, and on the
+    day column of a table that is laid out by day, so that other days are not opened.
     """
     if start is not None:
-        df = df.filter(F.col(column) >= ntz(day(start)))
+        df = from_day(df, column, start)
     if end is not None:
-        df = df.filter(F.col(column) < ntz(day(end) + dt.timedelta(days=1)))
+        df = until(df, column, day(end) + dt.timedelta(days=1))
     return df
 
 

@@ -17,10 +17,11 @@ from ..functions.columns import (
     between_days,
     count_if,
     day,
+    from_day,
     minutes_between,
-    ntz,
     percent,
     risk_rank,
+    until,
 )
 
 SCHEDULED = "departure_scheduled_utc"
@@ -92,6 +93,10 @@ def airline_stats(
         .orderBy(F.desc("flights"), "airline")
         .limit(top)
     )
+    return named_airlines(busiest, airlines)
+
+
+def named_airlines(busiest: DataFrame, airlines: DataFrame) -> DataFrame:
     names = one_per_code(airlines, "iata", ["name"]).toDF("airline", "airline_name")
     return (
         busiest.join(names, "airline", "left")
@@ -142,6 +147,11 @@ def confusion(flights: DataFrame, delay_threshold: int = 10, date_start=None, da
         count_if(said & ~late).alias("fp"),
         count_if(~said & late).alias("fn"),
     )
+    return confusion_shares(cells)
+
+
+def confusion_shares(cells: DataFrame) -> DataFrame:
+    """Counts of the four cells with their shares of all."""
     total = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
 
     def share(part: Column, places: int) -> Column:
@@ -211,10 +221,10 @@ def search_flights(
         hits = hits.filter(F.col("flight_number").ilike(f"%{flight_number}%"))
     hits = between_days(hits, SCHEDULED, departure_date, departure_date)
     if date_start is not None:
-        hits = hits.filter(F.col(SCHEDULED) >= ntz(day(date_start)))
+        hits = from_day(hits, SCHEDULED, date_start)
     if date_end is not None:
         # Both ends included: midnight after the last day still matches.
-        hits = hits.filter(F.col(SCHEDULED) <= ntz(day(date_end) + dt.timedelta(days=1)))
+        hits = until(hits, SCHEDULED, day(date_end) + dt.timedelta(days=1), included=True)
     if airline_code:
         hits = hits.filter(F.col("airline_code") == airline_code)
     if risk_levels:
