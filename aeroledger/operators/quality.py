@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -146,3 +146,35 @@ def weather_checks() -> list[Check]:
     ]
     checks.append(Check("sky.one_parent", "sky", "condition", condition="(metar_fk is null) = (taf_fk is null)"))
     return checks + [Check(f"{t}.external_id unique", t, "unique", ("external_id",)) for t in ("metar", "taf")]
+
+
+# ---- checks while writing --------------------------------------------------------------
+
+# Kinds that one row decides; uniqueness and references need other rows.
+ROW_KINDS = ("not_null", "accepted", "condition")
+
+
+def observed(df: DataFrame, table: str, checks: list[Check]) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows and violations while it is written, without a scan of its own.
+
+    The counts are there once an action has run: see ``violations``.
+    """
+    own = [c for c in checks if c.table == table and c.kind in ROW_KINDS]
+    seen = Observation()
+    counts = [F.count(F.when(c.bad(), 1)).alias(c.name) for c in own]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def violations(spark: SparkSession, seen: dict[str, Observation]) -> DataFrame:
+    """``check, violations`` of all written tables; a row per check."""
+    found = [(name, n) for observation in seen.values() for name, n in observation.get.items() if name != "rows"]
+    return spark.createDataFrame(found, "check string, violations long")
+
+
+def write_checked(tables: dict[str, DataFrame], root: str, checks: list[Check]) -> DataFrame:
+    """Write each table below ``root`` and return the violations that were counted on the way."""
+    spark, seen = next(iter(tables.values())).sparkSession, {}
+    for name, df in tables.items():
+        watched, seen[name] = observed(df, name, checks)
+        watched.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+    return violations(spark, seen)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -21,16 +22,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..operators import lsh
 from ..operators.neighbours import distinct_vectors, nearest, vector_id, weighted_vote
 from ..session import ensure_checkpoint_dir, reliable_checkpoint
 from . import evaluation, features
+from .kernels import FourierFeatures
 
 SEED = 42
 # Columns of one category, the one for all rarer levels included.
 MAX_CATEGORIES = 20
 INFREQUENT = "(infrequent)"
-# Bound of the labelled rows that neighbour methods fit on: each of them is compared with many others.
-MAX_NEIGHBOUR_ROWS = 100_000
+# How neighbours are found: through hashed cells (all rows), or exactly (at most ``MAX_EXACT_ROWS`` labelled rows).
+SEARCHES = ("hashed", "exact")
+MAX_EXACT_ROWS = 100_000
 
 
 # ---- splitting ---------------------------------------------------------------
@@ -98,8 +102,8 @@ def category_levels(train: DataFrame, columns: list[str], limit: int = MAX_CATEG
     return levels
 
 
-def preprocessor(levels: dict[str, list[str]]) -> list:
-    """Stages that turn a feature frame into one vector column.
+def preprocessor(levels: dict[str, list[str]], error: float = 0.001) -> list:
+    """Stages that turn a feature frame into one vector column; medians and quartiles are exact to ``error`` in rank.
 
     Numbers: median for missing, then robust scaling. Categories: one indicator
     per level but the first; a value outside the levels sets the infrequent column if
@@ -128,9 +132,9 @@ def preprocessor(levels: dict[str, list[str]]) -> list:
     filled = [f"fill_{c}" for c in features.NUMERIC]
     return [
         SQLTransformer(statement=statement),
-        Imputer(strategy="median", inputCols=list(numbers), outputCols=filled, relativeError=0.001),
+        Imputer(strategy="median", inputCols=list(numbers), outputCols=filled, relativeError=error),
         VectorAssembler(inputCols=filled, outputCol="numbers"),
-        RobustScaler(inputCol="numbers", outputCol="scaled", withCentering=True, withScaling=True, relativeError=0.001),
+        RobustScaler(inputCol="numbers", outputCol="scaled", withCentering=True, withScaling=True, relativeError=error),
         VectorAssembler(inputCols=["scaled", *indicators, *ordered], outputCol="features"),
     ]
 
@@ -162,10 +166,11 @@ PRESETS = {
     "decision_tree": {"maxDepth": 10, "minInstancesPerNode": 10},
     "random_forest": {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 10},
     "logistic_regression": {"maxIter": 1000, "regParam": 0.0},
-    "svm": {"regParam": 0.01, "maxIter": 100},
-    "knn": {"k": 5},
+    "svm": {"regParam": 0.01, "maxIter": 100, "kernel": "rbf", "components": 200},
+    "knn": {"k": 5, "search": "hashed"},
     "xgboost": {"maxIter": 2000, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.7,
-                "featureSubsetStrategy": "0.7", "minInstancesPerNode": 10, "minInfoGain": 0.0},
+                "featureSubsetStrategy": "0.7", "minInstancesPerNode": 10, "minInfoGain": 0.0, "validation_share": 0.1,
+                "validationTol": 0.001},
     "xgboost_tuned": {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8,
                       "featureSubsetStrategy": "0.8"},
     "lightgbm": {"maxIter": 100, "maxDepth": 4, "stepSize": 0.1},
@@ -188,8 +193,12 @@ def _estimator(spec: Learner, weighted: bool):
         return RandomForestClassifier(seed=SEED, **common, **spec.params)
     if spec.name == "logistic_regression":
         return LogisticRegression(**common, **spec.params)
+    params = {n: v for n, v in spec.params.items() if n != "validation_share"}
+    if spec.params.get("validation_share"):
+        # Rounds end once the held rows gain no more.
+        common["validationIndicatorCol"] = "held"
     # Long boosting runs grow a long lineage; it is cut in the shared folder.
-    return GBTClassifier(seed=SEED, cacheNodeIds=True, checkpointInterval=10, **common, **spec.params)
+    return GBTClassifier(seed=SEED, cacheNodeIds=True, checkpointInterval=10, **common, **params)
 
 
 @dataclass
@@ -208,30 +217,50 @@ class Fitted:
 
     def score_vectors(self, ready: DataFrame) -> DataFrame:
         if self.classify is None:
-            return _knn_scores(ready, self.base, self.spec.params["k"])
+            return _knn_scores(ready, self.base, self.spec.params["k"], self.spec.params.get("search", "exact"))
         out = self.classify.transform(ready)
         return out.withColumn("score", vector_to_array("probability")[1]).drop(
-            "rawPrediction", "probability", "prediction", "margin", "margins"
+            "rawPrediction", "probability", "prediction", "side", "margin", "margins", "waves"
         )
 
 
-def _knn_scores(ready: DataFrame, base: DataFrame, k: int) -> DataFrame:
+def neighbour_search(search: str):
+    """``(queries, base, k) -> neighbours``."""
+    if search not in SEARCHES:
+        raise ValueError(f"unknown search {search!r}; known: {SEARCHES}")
+    return lsh.approximate if search == "hashed" else nearest
+
+
+def _knn_scores(ready: DataFrame, base: DataFrame, k: int, search: str) -> DataFrame:
     """Vote of the nearest training rows; equal vectors are asked once."""
+    near = neighbour_search(search)
     asked = ready.withColumn("vector", vector_to_array("features")).withColumn("qid", vector_id("vector"))
-    votes = weighted_vote(nearest(asked.select("qid", "vector").dropDuplicates(["qid"]), base, k), k)
+    votes = weighted_vote(near(asked.select("qid", "vector").dropDuplicates(["qid"]), base, k), k)
     return asked.join(votes, "qid", "left").drop("qid", "vector")
 
 
+def fourier_stage(ready: DataFrame, spec: Learner) -> FourierFeatures:
+    """The map of an RBF kernel; without ``gamma`` it is one over the number of features times their variance."""
+    gamma = spec.params.get("gamma")
+    if gamma is None:
+        values = ready.select(vector_to_array("features").alias("v")).select(F.size("v").alias("n"), F.explode("v").alias("x"))
+        found = values.agg(F.max("n").alias("n"), F.var_pop("x").alias("variance")).first()
+        gamma = 1.0 / (found["n"] * found["variance"]) if found["variance"] else 1.0
+    return FourierFeatures(gamma=float(gamma), components=spec.params.get("components", 200), seed=SEED)
+
+
 def _fit_classifier(spec: Learner, ready: DataFrame, weighted: bool) -> PipelineModel | None:
     if spec.name == "knn":
         return None
     if spec.name == "svm":
-        # A linear margin (the kernel of the single-machine model has no Spark
-        # counterpart), turned into a probability by a logistic fit on it.
-        stages = [
+        # The kernel is a linear margin over random Fourier features. A logistic fit turns the margin into a probability.
+        params = {n: v for n, v in spec.params.items() if n not in ("kernel", "components", "gamma")}
+        mapped = spec.params.get("kernel", "linear") == "rbf"
+        stages = [fourier_stage(ready, spec)] if mapped else []
+        stages += [
             LinearSVC(
-                featuresCol="features", labelCol="delay", rawPredictionCol="margin", predictionCol="side",
-                **({"weightCol": "weight"} if weighted else {}), **spec.params,
+                featuresCol="waves" if mapped else "features", labelCol="delay", rawPredictionCol="margin", predictionCol="side",
+                **({"weightCol": "weight"} if weighted else {}), **params,
             ),
             SQLTransformer(statement="SELECT *, margin AS margins FROM __THIS__"),
             LogisticRegression(featuresCol="margins", labelCol="delay", maxIter=100),
@@ -255,10 +284,11 @@ def fit(train: DataFrame, spec: Learner, balance: str = "weights") -> Fitted:
 def fit_vectors(
     ready: DataFrame, spec: Learner, balance: str, prepare: PipelineModel, levels: dict[str, list[str]]
 ) -> Fitted:
-    if spec.name == "knn" or balance == "resample":
+    search = spec.params.get("search", "hashed")
+    if search == "exact" and (spec.name == "knn" or balance == "resample"):
         ready = fit_rows(ready)
     if balance == "resample":
-        ready = resample(ready)
+        ready = resample(ready, search=search)
     base = None
     if spec.name == "knn":
         base = reliable_checkpoint(distinct_vectors(
@@ -267,6 +297,10 @@ def fit_vectors(
     weighted = balance == "weights"
     if weighted and spec.name != "knn":
         ready = with_class_weights(ready)
+    if spec.params.get("validation_share"):
+        text = F.concat_ws(",", vector_to_array("features").cast("array<string>"))
+        ready = ready.withColumn("_text", text)
+        ready = ready.withColumn("held", hash_share(["_text", "delay"], SEED + 5) < spec.params["validation_share"]).drop("_text")
     # Learners pass over the rows many times.
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     ensure_checkpoint_dir(ready.sparkSession)
@@ -275,8 +309,8 @@ def fit_vectors(
     return Fitted(spec, prepare, classify, levels, base)
 
 
-def fit_rows(ready: DataFrame, most: int = MAX_NEIGHBOUR_ROWS) -> DataFrame:
-    """At most ``most`` labelled rows, chosen by hash, for methods that compare rows pair by pair.
+def fit_rows(ready: DataFrame, most: int = MAX_EXACT_ROWS) -> DataFrame:
+    """At most ``most`` labelled rows, chosen by hash, for the search that compares rows pair by pair.
 
     Only what is fitted on is bounded; every row is scored.
     """
@@ -287,7 +321,7 @@ def fit_rows(ready: DataFrame, most: int = MAX_NEIGHBOUR_ROWS) -> DataFrame:
 
 # ---- rebalancing -------------------------------------------------------------
 
-def resample(ready: DataFrame, k: int = 3, seed: int = SEED) -> DataFrame:
+def resample(ready: DataFrame, k: int = 3, seed: int = SEED, search: str = "hashed") -> DataFrame:
     """Synthetic minority rows, then removal of rows their neighbours contradict.
 
     Each synthetic row lies between a minority row and one of its ``k`` nearest
@@ -302,16 +336,17 @@ def resample(ready: DataFrame, k: int = 3, seed: int = SEED) -> DataFrame:
         return ready
     minor = min(counts, key=lambda c: counts[c])
     wanted = max(counts.values()) - counts[minor]
-    grown = rows.unionByName(_synthetic(rows.filter(F.col("label") == minor), counts[minor], wanted, minor, k, seed))
-    kept = _edited(reliable_checkpoint(grown), 3)
+    near = neighbour_search(search)
+    grown = rows.unionByName(_synthetic(rows.filter(F.col("label") == minor), counts[minor], wanted, minor, k, seed, near))
+    kept = _edited(reliable_checkpoint(grown), 3, near)
     return kept.select(array_to_vector("vector").alias("features"), F.col("label").alias("delay"))
 
 
-def _synthetic(minority: DataFrame, n: int, wanted: int, label: int, k: int, seed: int) -> DataFrame:
+def _synthetic(minority: DataFrame, n: int, wanted: int, label: int, k: int, seed: int, find) -> DataFrame:
     base = reliable_checkpoint(distinct_vectors(minority))
     queries = base.select(vector_id("vector").alias("qid"), "vector")
     partners = (
-        nearest(queries, base, k + 1).filter("distance > 0").groupBy("qid")
+        find(queries, base, k + 1).filter("distance > 0").groupBy("qid")
         # At most k + 1 neighbours per vector.
         .agg(F.sort_array(F.collect_list(F.struct("distance", "vector"))).alias("near"))
         .select("qid", F.slice(F.col("near.vector"), 1, k).alias("near"))
@@ -332,11 +367,11 @@ def _synthetic(minority: DataFrame, n: int, wanted: int, label: int, k: int, see
     return made.withColumn("gap", gap).select(between.alias("vector"), F.lit(label).alias("label"))
 
 
-def _edited(rows: DataFrame, k: int) -> DataFrame:
+def _edited(rows: DataFrame, k: int, find) -> DataFrame:
     """Rows whose ``k`` nearest other rows all share their label."""
     base = reliable_checkpoint(distinct_vectors(rows))
     queries = base.select(vector_id("vector").alias("qid"), "vector")
-    near = nearest(queries, base, k + 1)
+    near = find(queries, base, k + 1)
     by_place = W.partitionBy("qid").orderBy("place")
     before = F.coalesce(F.sum("copies").over(by_place.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     # A row is its own nearest neighbour once; it does not judge itself.
@@ -459,16 +494,59 @@ def grid_parameter(spec: Learner) -> tuple[str, str]:
     return "maxIter", "trees"
 
 
+def boosted(spec: Learner) -> bool:
+    return grid_parameter(spec)[0] == "maxIter"
+
+
+def staged(fitted: Fitted, rounds: int) -> Fitted:
+    """The model after its first ``rounds`` rounds, without another fit."""
+    whole = fitted.classify.stages[-1]
+    java = whole._java_obj
+    rounds = min(rounds, whole.getNumTrees)
+    gateway = SparkSession.active().sparkContext._gateway
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for n in range(rounds):
+        trees[n], weights[n] = java.trees()[n], java.treeWeights()[n]
+    first = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{java.uid()}_{rounds}", trees, weights)
+    part = GBTClassificationModel(first)
+    for name in ("featuresCol", "probabilityCol", "rawPredictionCol", "predictionCol"):
+        part.set(part.getParam(name), whole.getOrDefault(name))
+    return replace(fitted, classify=PipelineModel([part]))
+
+
+def boosting_curve(frame: DataFrame, key: list[str], spec: Learner, balance: str = "none") -> DataFrame:
+    """Loss of every boosting round on train and held-out rows, from one fit, and the round that was best on the held ones.
+
+    Columns ``round, train_loss, held_loss, chosen``; the loss is the mean logistic loss of all rows.
+    """
+    train_part, held = split(frame, key, 0.2, SEED + 2)
+    fitted = fit(train_part, spec, balance)
+    whole = fitted.classify.stages[-1]
+    losses = []
+    for part in (train_part, held):
+        ready = reliable_checkpoint(fitted.prepare.transform(part).select("features", F.col("delay").cast("double").alias("delay")))
+        # One number per round.
+        losses.append([float(x) for x in whole.evaluateEachIteration(ready)])
+    best = min(range(len(losses[1])), key=lambda n: (losses[1][n], n))
+    rows = [(n + 1, a, b, n == best) for n, (a, b) in enumerate(zip(*losses))]
+    return frame.sparkSession.createDataFrame(rows, "round int, train_loss double, held_loss double, chosen boolean")
+
+
 def validation_curve(
     frame: DataFrame, key: list[str], spec: Learner, values: list | None = None
 ) -> DataFrame:
-    """ROC area on train and held-out rows per value of the learner's main parameter."""
+    """ROC area on train and held-out rows per value of the learner's main parameter.
+
+    Boosted learners are fitted once, with the most rounds; fewer rounds are the first trees of that fit.
+    """
     name, grid = grid_parameter(spec)
     train_part, held = split(frame, key, 0.2, SEED + 2)
-    rows = []
-    for value in values or GRIDS[grid]:
+    rows, values = [], values or GRIDS[grid]
+    longest = fit(train_part, spec.with_params(maxIter=max(values))) if boosted(spec) else None
+    for value in values:
         setting = 1.0 / value if grid == "C" else value
-        fitted = fit(train_part, spec.with_params(**{name: setting}))
+        fitted = staged(longest, value) if longest else fit(train_part, spec.with_params(**{name: setting}))
         rows.append(_areas_row(train_part, held, fitted).select(
             F.lit(name).alias("parameter"), F.lit(float(value)).alias("value"), "train_roc_auc", "test_roc_auc"
         ))

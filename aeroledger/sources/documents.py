@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 # Fixed value: name of a combined flight file.
 COMBINED_NAME = r"^combined_([a-z]+)_(\d{4}-\d{2}-\d{2})\.json$"
 
@@ -30,6 +32,32 @@ def read_json_with_provenance(
     return rows.withColumn("provenance", _provenance(F.current_timestamp() if loaded_at is None else loaded_at))
 
 
+BROKEN = "_corrupt_record"
+
+
+def read_json_checked(
+    spark: SparkSession, path: str, schema: str, lines: bool = False, loaded_at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with provenance, and what could not be read: ``file`` and ``record``.
+
+    With ``lines`` every line is a document and only the broken line is lost, else a broken file is one record.
+    """
+    marked, file = f"{schema}, {BROKEN} string", F.col("_metadata.file_path").alias("file")
+    when = F.current_timestamp() if loaded_at is None else loaded_at
+    if lines:
+        text = spark.read.text(path).filter(F.trim("value") != "")
+        parsed = F.from_json("value", marked, {"columnNameOfCorruptRecord": BROKEN})
+        found = text.select(file, F.col("_metadata.file_name").alias("file_name"), "value", F.inline(F.array(parsed)))
+        source = F.struct(F.col("file_name").alias("source_file"), when.alias("imported_at"), F.col("file").alias("file_path"))
+        good = found.filter(F.col(BROKEN).isNull()).withColumn("provenance", source).drop("file", "file_name", "value", BROKEN)
+        return good, found.filter(F.col(BROKEN).isNotNull()).select("file", F.col("value").alias("record"))
+    rows = spark.read.schema(marked).option("columnNameOfCorruptRecord", BROKEN).json(path, multiLine=True)
+    good = rows.filter(F.col(BROKEN).isNull()).withColumn("provenance", _provenance(when)).drop(BROKEN)
+    # Spark answers no query on the broken records of files alone; they are few, and written once.
+    bad = reliable_checkpoint(rows.filter(F.col(BROKEN).isNotNull()).withColumn("file", file))
+    return good, bad.select("file", F.col(BROKEN).alias("record"))
+
+
 def read_combined(spark: SparkSession, folder: str, schema: str, loaded_at: Column | None = None) -> DataFrame:
     """All ``combined*.json`` of the folder itself, with flight type and date from the name."""
     rows = (

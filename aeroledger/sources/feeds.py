@@ -138,3 +138,34 @@ def metar_from_text(rows: DataFrame, column: str, loaded_at: Column) -> DataFram
 def taf_from_text(rows: DataFrame, column: str, loaded_at: Column) -> DataFrame:
     parsed = _parsed(rows, column, TAF_SCHEMA)
     return taf_documents(parsed, F.lit(column), loaded_at)
+
+
+# ---- broken records ----------------------------------------------------------------
+
+BROKEN = "_corrupt_record"
+
+
+def read_checked(
+    spark: SparkSession, path: str, kind: str, loaded_at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Documents of a feed (``METAR`` or ``TAF``), and the elements that could not be read.
+
+    The quarantine has ``file``, ``block_start`` (where the reading task began in the file) and ``record``, the
+    element as it stands in the file. A file is cut behind every end tag, so a broken element takes none of its
+    neighbours along, files are read in pieces, and an element without end tag is told from the one that follows it.
+    """
+    schema, shaped = (METAR_SCHEMA, metar_documents) if kind == "METAR" else (TAF_SCHEMA, taf_documents)
+    end, start = f"</{kind}>", rf"<{kind}[\s>]"
+    text = spark.read.option("lineSep", end).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value"
+    )
+    # What is before the first start tag is no element; all but the last of several lack their end.
+    cut = text.withColumn("pieces", F.filter(F.split("value", f"(?={start})"), lambda p: p.rlike(f"^{start}")))
+    each = cut.select("file", "block_start", F.size("pieces").alias("of"), F.posexplode("pieces").alias("at", "piece"))
+    whole = each.withColumn("record", F.when(F.col("at") + 1 == F.col("of"), F.concat("piece", F.lit(end))))
+    parsed = F.from_xml("record", f"{schema}, {BROKEN} string", {"columnNameOfCorruptRecord": BROKEN, "mode": "PERMISSIVE"})
+    found = whole.select("file", "block_start", "piece", "record", F.inline_outer(F.array(parsed)))
+    broken = F.col("record").isNull() | F.col(BROKEN).isNotNull()
+    good = shaped(found.filter(~broken), F.col("file"), F.current_timestamp() if loaded_at is None else loaded_at)
+    bad = found.filter(broken).select("file", "block_start", F.coalesce("record", "piece").alias("record"))
+    return good, bad

@@ -8,6 +8,7 @@ writes the same version again.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 
@@ -110,20 +111,33 @@ def _manifest_path(root: str, number: int) -> str:
     return f"{root.rstrip('/')}/manifest/version={number}"
 
 
+# Columns that name a row's partition and its folder while a version is written.
+PART, PLACE = "_part_name", "_part_place"
+
+
+def _part(part: Column) -> Column:
+    """A partition's name; rows without one share a partition of their own."""
+    return F.coalesce(F.concat(F.lit("="), part.cast("string")), F.lit("-"))
+
+
 def start_partitions(table: DataFrame, root: str, part: Column) -> None:
     """Version 0 of a partitioned table; ``part`` names a row's partition, such as its day."""
     _write_partitions(table, root, 0, part, {})
 
 
 def _write_partitions(rows: DataFrame, root: str, number: int, part: Column, kept: dict[str, str]) -> None:
-    """Write ``rows`` as the partitions of version ``number``; ``kept`` stay where they are."""
+    """Write ``rows`` as the partitions of version ``number``; ``kept`` stay where they are.
+
+    A partition's folder is named by a digest, so its own name may hold any character.
+    """
     spark = rows.sparkSession
     target = f"{root.rstrip('/')}/data/version={number}"
-    named = reliable_checkpoint(rows.withColumn("part", F.coalesce(part.cast("string"), F.lit("-"))))
-    named.write.mode("overwrite").partitionBy("part").parquet(target)
+    named = reliable_checkpoint(rows.withColumn(PART, _part(part)))
+    folders = named.withColumn(PLACE, F.md5(F.col(PART).cast("binary"))).drop(PART)
+    folders.hint("rebalance", F.col(PLACE)).write.mode("overwrite").partitionBy(PLACE).parquet(target)
     # One row per partition that the batch touched.
-    written = [r["part"] for r in named.select("part").distinct().collect()]
-    places = kept | {part: f"{target}/part={part}" for part in written}
+    written = [r[PART] for r in named.select(PART).distinct().collect()]
+    places = kept | {name: f"{target}/{PLACE}={hashlib.md5(name.encode()).hexdigest()}" for name in written}
     # The row without path keeps the schema of a table that has no partition.
     listed = [(name, path, rows.schema.json()) for name, path in [("", None), *sorted(places.items())]]
     manifest = spark.createDataFrame(listed, "part string, path string, schema string")
@@ -136,35 +150,49 @@ def _manifest(spark: SparkSession, root: str, number: int) -> tuple[dict[str, st
     return {r["part"]: r["path"] for r in listed if r["path"]}, StructType.fromJson(json.loads(listed[0]["schema"]))
 
 
-def read_partitions(spark: SparkSession, root: str, number: int | None = None, parts: list[str] | None = None) -> DataFrame:
-    """A version of a partitioned table, or only some of its partitions."""
+def read_partitions(spark: SparkSession, root: str, number: int | None = None, parts: list[str | None] | None = None) -> DataFrame:
+    """A version of a partitioned table, or only some of its partitions (None: the one of rows without a partition)."""
     if number is None:
         number = latest_version(spark, f"{root.rstrip('/')}/manifest")
+    return _read_named(spark, root, number, None if parts is None else ["-" if p is None else f"={p}" for p in parts])
+
+
+def _read_named(spark: SparkSession, root: str, number: int, names: list[str] | None) -> DataFrame:
     places, schema = _manifest(spark, root, number)
-    paths = [path for part, path in places.items() if parts is None or part in parts]
+    paths = [path for name, path in places.items() if names is None or name in names]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def merge_partitions_available(
     stream: DataFrame, root: str, checkpoint: str, step: Callable[[DataFrame, DataFrame], DataFrame], part: str,
-    mode: str = "append",
+    mode: str = "append", moved_by: list[str] | None = None, keep_versions: int | None = None,
 ) -> None:
     """Apply ``step(table, batch)`` to the partitions that a batch touches; the others keep their files.
 
     ``part`` is an SQL expression over table rows and batch rows alike. Batch ``n`` reads
     manifest ``n`` and writes manifest ``n + 1``, so a replayed batch writes the same again.
+    Where the partition does not follow from a row's key, ``moved_by`` names the key: the partitions that
+    hold the batch's keys now are then merged too (their key columns are read in all partitions), so a row
+    that moves leaves its old place. With ``keep_versions`` older versions are dropped after each batch.
     """
     spark = stream.sparkSession
-    name = F.coalesce(F.expr(part).cast("string"), F.lit("-"))
+    name = _part(F.expr(part))
 
     def apply(batch: DataFrame, number: int) -> None:
         kept_batch = reliable_checkpoint(batch)
+        rows = kept_batch.select(name.alias(PART))
+        if moved_by:
+            stored = read_partitions(spark, root, number)
+            known = stored.join(kept_batch.select(*moved_by).distinct(), moved_by, "left_semi")
+            rows = rows.unionByName(known.select(name.alias(PART)))
         # One row per touched partition.
-        touched = [r["part"] for r in kept_batch.select(name.alias("part")).distinct().collect()]
+        touched = [r[PART] for r in rows.distinct().collect()]
         places, _ = _manifest(spark, root, number)
-        current = read_partitions(spark, root, number, touched)
+        current = _read_named(spark, root, number, touched)
         kept = {p: path for p, path in places.items() if p not in touched}
         _write_partitions(step(current, kept_batch), root, number + 1, F.expr(part), kept)
+        if keep_versions:
+            drop_versions(spark, root, keep_versions)
 
     query = (
         stream.writeStream.foreachBatch(apply).outputMode(mode)
@@ -173,6 +201,30 @@ def merge_partitions_available(
     query.awaitTermination()
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Drop all but the newest ``keep`` versions of a partitioned table, and the folders that only they name.
+
+    A batch that is replayed reads the version before the newest, so at least two stay. Returns the dropped versions.
+    """
+    root = root.rstrip("/")
+    last = latest_version(spark, f"{root}/manifest")
+    first_kept = max(0, last - max(keep, 2) + 1)
+    used = {path for n in range(first_kept, last + 1) for path in _manifest(spark, root, n)[0].values()}
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(root).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    dropped = []
+    for number in range(first_kept):
+        manifest, data = path(_manifest_path(root, number)), path(f"{root}/data/version={number}")
+        if store.exists(manifest):
+            store.delete(manifest, True)
+            dropped.append(number)
+        if store.exists(data):
+            for status in store.listStatus(data):
+                if status.isDirectory() and f"{root}/data/version={number}/{status.getPath().getName()}" not in used:
+                    store.delete(status.getPath(), True)
+    return dropped
+
+
 # ---- transformations ---------------------------------------------------------
 
 def first_copies(stream: DataFrame, keys: list[str], time: str, delay: str = SETTLING) -> DataFrame:

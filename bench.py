@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from aeroledger import catalog, catalog_days, catalog_io  # noqa: E402, F401
+from aeroledger import catalog, catalog_days, catalog_io, catalog_models, catalog_state  # noqa: E402, F401
 from aeroledger.session import build_session  # noqa: E402
 
 HEADLINE = [
