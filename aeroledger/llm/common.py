@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyarrow import fs
@@ -13,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint, ship_package
 
-# Rows of one Arrow batch; whole texts travel in it, so it is kept short.
+# Rows of one Arrow batch, and characters or bytes of its texts; whole texts travel in it, so it is kept short.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 # Ranges of one written dataset; the bounds are held by the driver and every task.
 MAX_RANGES = 16_384
 # Sampled ids per range when bounds are chosen.
@@ -22,9 +26,17 @@ SAMPLE_PER_RANGE = 32
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable on the workers and keep batches of whole texts small."""
+    """Make the package importable on the workers and keep batches of whole texts small.
+
+    Batch sizes are settings of the session and are read when a lazy frame runs, so they cannot be put back here; they
+    are only ever lowered, and other functions of the session get the same rows in smaller batches.
+    """
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    if int(spark.conf.get(size).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
 
 
 def text_bytes(column: str) -> Column:
@@ -46,25 +58,36 @@ def free_name(frame: DataFrame, name: str) -> str:
 
 
 def map_rows(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``function(iterator of rows as tuples) -> iterator of tuples`` over Arrow batches."""
+    """``function(iterator of rows as tuples) -> iterator of tuples`` over Arrow batches.
+
+    A batch of results ends with ``BATCH_ROWS`` rows or ``BATCH_BYTES`` of texts, whichever comes first.
+    """
     prepare(frame.sparkSession)
     fields = frame.sparkSession.createDataFrame([], schema).schema
     names = fields.fieldNames()
+    sized = [at for at, field in enumerate(fields) if field.dataType.typeName() in ("string", "binary", "array")]
+    most = BATCH_BYTES
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(fields)
         held: list[tuple] = []
+        size = 0
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(zip(*held), arrow)], names=names)
+
         for row in function(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))):
             held.append(row)
-            if len(held) >= BATCH_ROWS:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=t.type) for c, t in zip(zip(*held), arrow)], names=names
-                )
-                held = []
+            for at in sized:
+                if row[at] is not None:
+                    size += len(row[at])
+            if len(held) >= BATCH_ROWS or size >= most:
+                yield batch()
+                held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(zip(*held), arrow)], names=names)
+            yield batch()
 
     return frame.mapInArrow(run, schema)
 
@@ -106,6 +129,65 @@ def by_range(frame: DataFrame, bounds: list[int], name: str = "range_no") -> Dat
     return frame.repartitionById(len(bounds) + 2, F.col(name))
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of ids in ascending order, null last; an id with very many rows has several, cut by a digest.
+
+    ``parts[n]`` is the number of ranges of the ``n``-th stretch of ids between two ``bounds``; the null ids' stretch is
+    the last one.
+    """
+
+    bounds: list[int]
+    parts: list[int]
+
+    @property
+    def count(self) -> int:
+        return sum(self.parts)
+
+    def number(self, frame: DataFrame, column: str, place: Column, name: str = "range_no") -> DataFrame:
+        """``frame`` with the number of each row's range; ``place`` from 0 to below 1 orders the rows of one id."""
+        stretch = free_name(frame, "stretch")
+        cut = with_range(frame, column, self.bounds, stretch)
+        if self.count == len(self.parts):
+            return cut.withColumnRenamed(stretch, name)
+        starts = list(accumulate(self.parts, initial=0))
+        rows = [(n, starts[n], parts) for n, parts in enumerate(self.parts)]
+        first, parts = free_name(frame, "first_range"), free_name(frame, "parts")
+        layout = frame.sparkSession.createDataFrame(rows, f"{stretch} int, {first} int, {parts} int")
+        # At most three numbers per range.
+        joined = cut.join(F.broadcast(layout), stretch)
+        return joined.withColumn(name, (F.col(first) + F.floor(place * F.col(parts))).cast("int")).drop(stretch, first, parts)
+
+    def falling(self) -> list[int]:
+        """All ranges by falling id, those of one id and of null ids in their own order; null ids last."""
+        starts = list(accumulate(self.parts, initial=0))
+        order = [*range(len(self.parts) - 2, -1, -1), len(self.parts) - 1]
+        return [n for stretch in order for n in range(starts[stretch], starts[stretch + 1])]
+
+
+def find_ranges(frame: DataFrame, column: str, rows_per_range: int) -> Ranges:
+    """Ranges of about ``rows_per_range`` rows; ids with more rows than that get several."""
+    bounds = range_bounds(frame, column, rows_per_range)
+    # At most as many ids as there are ranges.
+    hot = {r[0]: r[1] for r in frame.groupBy(column).count().where(F.col("count") > rows_per_range).collect()}
+    alone = {n for n in hot if n is not None and abs(n) < 1 << 52}
+    cuts = sorted(set(bounds) | alone | {n + 1 for n in alone})
+    sizes = [1] * (len(cuts) + 1)
+    for n in alone:
+        sizes[bisect_right(cuts, n)] = -(-hot[n] // rows_per_range)
+    return Ranges(cuts, [*sizes, max(1, -(-hot.get(None, 0) // rows_per_range))])
+
+
+def hex_place(digest: Column) -> Column:
+    """The leading bits of a digest in hex as a number from 0 to below 1."""
+    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("double") / float(1 << 28)
+
+
+def in_ranges(frame: DataFrame, ranges: Ranges, name: str = "range_no") -> DataFrame:
+    """One partition per range."""
+    return frame.repartitionById(max(1, ranges.count), F.col(name))
+
+
 # ---- files that appear whole or not at all ---------------------------------------
 
 MANIFEST = "name string, staged string, range_no int, seq int, records long, items long, bytes long, sha256 string"

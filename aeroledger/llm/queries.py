@@ -57,9 +57,9 @@ def op2_simhash(spark, folder):
 def op3_chat(spark, folder):
     """Conversations, and one that says control strings, formatted, written and read back."""
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame(
-        [(CONTROL_CONVERSATION, turn, role, CONTROL_TEXT) for turn, role in enumerate(("user", "assistant"))], rows.schema
-    )
+    extra = spark.sql(f"""
+        select cast({CONTROL_CONVERSATION} as bigint) as conv_id, turn, role, '{CONTROL_TEXT}' as text
+        from values (0L, 'user'), (1L, 'assistant') as said(turn, role)""")
     return chat.summary(*chat.write(rows.unionByName(extra), run_dir(spark, "chat")))
 
 

@@ -27,10 +27,12 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
@@ -346,10 +348,12 @@ class IdFiles:
 
 
 def write_ids(
-    tokenized: DataFrame, bounds: list[int], folder: str, file_ids: int = FILE_IDS, kind: str = "<u4"
+    tokenized: DataFrame, ranges: common.Ranges, folder: str, file_ids: int = FILE_IDS, kind: str = "<u4"
 ) -> DataFrame:
     """Write ``doc_id, text_key, ids`` rows (ids of type ``kind``) below ``folder``; the manifest."""
-    dealt = common.by_range(common.with_range(tokenized, "doc_id", bounds), bounds).sortWithinPartitions(
+    # The upper bits of the signed key, in its order.
+    place = (F.shiftright("text_key", 33) + (1 << 30)).cast("double") / float(1 << 31)
+    dealt = common.in_ranges(ranges.number(tokenized, "doc_id", place), ranges).sortWithinPartitions(
         "range_no", F.col("doc_id").asc_nulls_last(), "text_key"
     )
 
@@ -370,15 +374,17 @@ def write_ids(
 def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document in the files of the manifest.
 
-    ``start`` counts the ids of all documents before it. The manifest has one narrow
-    row per file, so the running sum over files is taken on the driver.
+    ``start`` counts the ids of all documents before it. Ids are summed per range, of which there are few, on the
+    driver, and over the files of a range in its own window.
     """
     spark = manifest.sparkSession
-    files = sorted(manifest.select("range_no", "seq", "name", "items", "sha256").collect())
-    ahead, listed = 0, []
-    for file in files:
-        listed.append((file["name"], ahead, file["sha256"]))
-        ahead += file["items"]
+    sums = sorted((r["range_no"], r["items"]) for r in manifest.groupBy("range_no").agg(F.sum("items").alias("items")).collect())
+    starts = list(zip((n for n, _ in sums), accumulate((items for _, items in sums), initial=0)))
+    ranges = spark.createDataFrame(starts, "range_no int, ahead long")
+    earlier = W.partitionBy("range_no").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
+    inside = manifest.withColumn("inside", F.coalesce(F.sum("items").over(earlier), F.lit(0)))
+    # A row per range, at most ``MAX_RANGES`` of them.
+    placed = inside.join(F.broadcast(ranges), "range_no").select("name", (F.col("ahead") + F.col("inside")).alias("first"), "sha256")
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         store, root = common.open_folder(folder)
@@ -394,16 +400,15 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                 own = ids[end - count : end]
                 yield (None if doc_id == NO_ID else doc_id), first + end - count, count, own.tobytes()
 
-    names = spark.createDataFrame(listed, "name string, first long, sha256 string")
-    names = names.repartition(max(1, min(len(listed), 4 * spark.sparkContext.defaultParallelism)), "name")
+    names = placed.repartition(4 * spark.sparkContext.defaultParallelism, "name")
     return common.map_rows(names, run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def write_documents(documents: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID,
                     rows_per_range: int = ROWS_PER_RANGE, file_ids: int = FILE_IDS) -> DataFrame:
-    bounds = common.range_bounds(documents, "doc_id", rows_per_range)
+    ranges = common.find_ranges(documents, "doc_id", rows_per_range)
     kind = id_type(read_plan(tokenizer_path))
-    return write_ids(tokenize(documents, tokenizer_path, end_id), bounds, folder, file_ids, kind)
+    return write_ids(tokenize(documents, tokenizer_path, end_id), ranges, folder, file_ids, kind)
 
 
 def crc(ids: bytes) -> int:

@@ -10,7 +10,9 @@ The vocabulary file names the pieces in order of rank. Scores follow the rank by
 that begins no piece falls back to its UTF-8 bytes, each at the score of the last rank.
 
 Each worker keeps one trie of bounded size and inserts the distinct pre-tokens of a batch of rows;
-a full trie starts anew, which costs time but changes nothing. No text leaves its row.
+a full trie starts anew, which costs time but changes nothing. A pre-token of more than ``MAX_WORD`` code
+points shares little: the same recurrence runs over a window as long as the longest piece, without nodes, and
+its count is not kept beyond the batch. No text leaves its row.
 
 Cases: null or blank text has no token; rows with equal ids each keep their row; bytes that are
 no UTF-8 are read as U+FFFD; an empty table gives no rows; further columns are not read.
@@ -30,6 +32,8 @@ ZIPF_SHIFT = 2.7
 WORD_START = "▁"
 MAX_NODES = 1_500_000
 MAX_KNOWN = 400_000
+# Code points up to which a pre-token becomes nodes.
+MAX_WORD = 1_024
 
 
 class Pieces:
@@ -82,22 +86,36 @@ class Trie:
         return node.count
 
     def grow(self, word: str, end: int, path: list[Node]) -> Node:
+        first = max(0, end - self.pieces.longest)
+        return self.best(word, end, first, path[first:end])
+
+    def best(self, word: str, end: int, first: int, ahead: list[Node]) -> Node:
+        """The best cut of ``word[:end]``; ``ahead`` are the prefixes of ``first`` to ``end - 1`` code points."""
         score_of = self.pieces.score
         # One code point by its bytes is always possible.
         if word[end - 1] in score_of:
             best, count = -math.inf, 0
         else:
             size = len(word[end - 1].encode())
-            best, count = path[end - 1].score + size * self.pieces.byte_score, path[end - 1].count + size
-        for start in range(max(0, end - self.pieces.longest), end):
+            best, count = ahead[-1].score + size * self.pieces.byte_score, ahead[-1].count + size
+        for start in range(first, end):
             own = score_of.get(word[start:end])
             if own is not None:
-                before = path[start]
+                before = ahead[start - first]
                 score = before.score + own
                 if score > best or (score == best and before.count + 1 < count):
                     best, count = score, before.count + 1
         return Node(best, count)
 
+    def count_long(self, word: str) -> int:
+        """Pieces of the best cut of a long pre-token; only the last prefixes are held."""
+        size = self.pieces.longest
+        ring = [self.root] * (size + 1)
+        for end in range(1, len(word) + 1):
+            first = max(0, end - size)
+            ring[end % (size + 1)] = self.best(word, end, first, [ring[at % (size + 1)] for at in range(first, end)])
+        return ring[len(word) % (size + 1)].count
+
     def learn(self, words: set[str]) -> None:
         """Insert words in order, so that those that share a prefix come together."""
         fresh = sorted(words - self.known.keys())
@@ -124,10 +142,17 @@ def count_tokens(documents: DataFrame, vocabulary_path: str) -> DataFrame:
     """``doc_id, n_chars, n_pretokens, n_tokens`` of every whole text."""
 
     def flush(trie: Trie, held: list[tuple]) -> Iterator[tuple]:
-        trie.learn({word for _, _, words in held for word in words})
+        words = {word for _, _, words in held for word in words}
+        long = {word for word in words if len(word) > MAX_WORD}
+        trie.learn(words - long)
+        # Each long pre-token once per batch.
+        counts = {word: trie.count_long(word) for word in long}
         known = trie.known.__getitem__
         for doc_id, size, words in held:
-            yield doc_id, size, len(words), sum(map(known, words))
+            if counts:
+                yield doc_id, size, len(words), sum(counts[w] if w in counts else known(w) for w in words)
+            else:
+                yield doc_id, size, len(words), sum(map(known, words))
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         trie = trie_for(vocabulary_path)

@@ -112,7 +112,7 @@ def write_archives(
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload")).withColumn(
         "digest", F.sha2("payload", 256)
     )
-    bounds = common.range_bounds(pages, "page_id", rows_per_shard)
+    ranges = common.find_ranges(pages, "page_id", rows_per_shard)
 
     long_enough = rows.where(F.octet_length("payload") >= min_bytes).select("page_id", "digest")
     groups = long_enough.groupBy("digest").agg(F.count("*").alias("members"), F.min("page_id").alias("first_id"))
@@ -121,7 +121,8 @@ def write_archives(
         "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", "first_id"
     )
     both = marks.unionByName(rows.withColumn("first_id", F.lit(None).cast("long")))
-    dealt = common.by_range(common.with_range(both, "page_id", bounds), bounds).sortWithinPartitions(
+    placed = ranges.number(both, "page_id", common.hex_place(F.col("digest")))
+    dealt = common.in_ranges(placed, ranges).sortWithinPartitions(
         "range_no", F.col("page_id").asc_nulls_last(), "digest", F.col("payload").isNotNull(), "url"
     )
 

@@ -69,3 +69,22 @@ def test_messy_rows(spark, pieces):
     want = [(d, len(t or ""), len((t or "").split()), slow_text(pieces, t)) for d, t in MESSY]
     assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(want, key=repr)
     assert trie_counts.count_tokens(messy(spark).limit(0), PATH).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="aehintos▁é世", min_size=1, max_size=60))
+def test_the_window_gives_what_the_trie_gives(pieces, word):
+    trie = trie_counts.Trie(pieces)
+    assert trie.count_long(word) == trie.insert(word) and trie.known == {}
+
+
+def test_long_pretokens_take_no_nodes(spark, pieces, monkeypatch):
+    monkeypatch.setattr(trie_counts, "_TRIES", {})
+    word = "internationalization" * 20_000 + "é世"
+    trie = trie_counts.Trie(pieces, max_nodes=5_000)
+    before = trie.nodes
+    count = trie.count_long("▁" + word)
+    assert trie.nodes == before and 20_000 < count < 200_000
+    found = trie_counts.count_tokens(messy(spark, [(1, word), (2, f"two {word} {word}"), (3, "two")]), PATH).collect()
+    by_id = {r["doc_id"]: (r["n_pretokens"], r["n_tokens"]) for r in found}
+    assert by_id[1] == (1, count) and by_id[2] == (3, 2 * count + by_id[3][1])
