@@ -31,15 +31,14 @@ def _file(spark, lines, folder, name):
 
 @query
 def seed_load(spark, folder):
-    """A seed file with header, loaded with declared types."""
+    """A seed with header, in as many part files as tasks wrote, loaded with declared types."""
     base = run_dir(spark, "seed")
     rows = fx.table(spark, folder, "customer").selectExpr(
-        "concat_ws(',', c_custkey, c_name, if(c_custkey % 9 = 0, 'NA', c_mktsegment), if(c_custkey % 7 = 0, '', cast(c_nationkey as string))) as value"
+        "c_custkey as key", "c_name as name", "if(c_custkey % 9 = 0, 'NA', c_mktsegment) as segment",
+        "if(c_custkey % 7 = 0, null, c_nationkey) as nation",
     )
-    head = "key,name,segment,nation"
-    lines = rows.unionAll(spark.createDataFrame([(head,)], "value string")).orderBy(F.col("value") != head, "value")
-    path = _file(spark, lines, base, "brands.csv")
-    target = reference.load_seed(spark, path, "key long, name string, segment string, nation int", f"{base}/tables")
+    rows.write.csv(f"{base}/brands.csv", header=True)
+    target = reference.load_seed(spark, f"{base}/brands.csv", "key long, name string, segment string, nation int", f"{base}/tables")
     assert target.endswith("/brands")
     return spark.read.parquet(target)
 
@@ -59,24 +58,28 @@ def headerless_carriers(spark, folder):
 
 
 def _airport_file(spark, folder):
-    lines = fx.airports(spark, folder).selectExpr("id", "explode(if(id % 2 = 0, array(0, 1), array(0))) as copy", "*").selectExpr(
-        "copy * 100 + id as place",
-        "concat_ws(';', if(id % 7 = 0 and copy = 0, '  ', concat(' ', iata_code)), icao_code, timezone,"
-        " if(copy = 0, concat(airport_name, ' '), city)) as value",
+    """A place per customer, some with a second line further on, in files that follow each other by name."""
+    lines = fx.table(spark, folder, "customer").selectExpr(
+        "c_custkey as id", "c_name", "c_mktsegment", "c_nationkey", "explode(if(c_custkey % 2 = 0, array(0, 1), array(0))) as copy"
+    ).selectExpr(
+        "copy", "id", "if(id % 7 = 0 and copy = 0, '  ', concat(' K', id)) as code_iata", "concat('Z', id) as icao_code",
+        "if(c_nationkey % 2 = 0, 'Europe/Paris', 'UTC') as timezone", "if(copy = 0, concat(c_name, ' '), c_mktsegment) as name",
     )
-    head = spark.createDataFrame([(-1, "code_iata;icao_code;timezone;name")], "place long, value string")
-    ordered = head.unionAll(lines.selectExpr("cast(place as long)", "value")).orderBy("place").select("value")
-    return _file(spark, ordered, run_dir(spark, "airports"), "ref.csv")
+    path = f"{run_dir(spark, 'airports')}/ref.csv"
+    ordered = lines.repartitionByRange("copy", "id").sortWithinPartitions("copy", "id").drop("copy", "id")
+    ordered.write.csv(path, header=True, sep=";", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
 
 
 @query
 def airport_file(spark, folder):
-    """The ``;``-separated reference: trimmed, blank codes dropped, last copy kept, line order known."""
-    return reference.airport_reference(spark, _airport_file(spark, folder))
+    """The ``;``-separated reference: trimmed, blank codes dropped, last copy kept."""
+    return reference.airport_reference(spark, _airport_file(spark, folder)).drop("row_no")
 
 
 @query
 def first_airports(spark, folder):
+    """The first airports in the order of the files and their lines."""
     return reference.first_airports(reference.airport_reference(spark, _airport_file(spark, folder)), 10).select("code_iata")
 
 
@@ -175,7 +178,7 @@ def paged_reference(spark, folder):
         F.concat(F.lit("A"), "c_custkey").alias("AirlineID"), F.col("c_mktsegment").alias("AirlineID_ICAO"),
         F.struct(F.struct(F.col("c_name").alias("$")).alias("Name")).alias("Names"),
     )
-    pages = fx.table(spark, folder, "customer").groupBy((F.col("c_custkey") % 20).alias("page")).agg(F.collect_list(item).alias("items"))
+    pages = fx.table(spark, folder, "customer").groupBy(F.expr("c_custkey div 1000").alias("page")).agg(F.collect_list(item).alias("items"))
     nested = F.struct(F.struct(F.struct(F.col("items").alias("Airline")).alias("Airlines")).alias("AirlineResource"))
     pages.select("page", F.to_json(nested["AirlineResource"]).alias("inner")).selectExpr(
         "page", "concat('{\"AirlineResource\":', inner, '}') as value"
@@ -457,12 +460,16 @@ def residual_histogram(spark, folder):
 
 # ---- streams ------------------------------------------------------------------------------
 
+# Files of each landed slice of a table; a batch takes as many.
+SLICE_FILES = 4
+
+
 def _files_of(spark, folder, name, parts, label):
-    """A driver table as several landed files, ``parts`` by number, some rows in two of them."""
+    """A driver table as landed files, ``SLICE_FILES`` for each of ``parts``, some rows in two slices."""
     base = run_dir(spark, label)
     rows = fx.table(spark, folder, name)
-    for part, condition in enumerate(parts):
-        rows.filter(condition).coalesce(1).write.mode("append").parquet(base)
+    for condition in parts:
+        rows.filter(condition).repartition(SLICE_FILES).write.mode("append").parquet(base)
     return base, rows.schema
 
 
@@ -471,7 +478,7 @@ def stream_latest_files(spark, folder):
     """Newest report per station over several files, with repeats and an old file that lands last."""
     parts = ["event_id % 3 = 0", "event_id % 3 <> 1", "event_id % 3 = 1 and event_id % 2 = 0", "event_id % 3 = 1"]
     source, schema = _files_of(spark, folder, "events", parts, "events")
-    reports = jobs.read_new(spark, source, "parquet", schema, files_per_batch=1).selectExpr(
+    reports = jobs.read_new(spark, source, "parquet", schema, files_per_batch=SLICE_FILES).selectExpr(
         "concat('ZZ', lpad(user_id % 25, 2, '0')) as station_id", "event_id as id", "ts as observation_time"
     )
     base = run_dir(spark, "latest")
@@ -487,7 +494,7 @@ def stream_best_taf_files(spark, folder):
     """Flights offered again in a later file keep one row each."""
     parts = ["l_linenumber <= 3", "l_linenumber >= 3", "l_linenumber = 1"]
     source, schema = _files_of(spark, folder, "lineitem", parts, "lines")
-    arrivals = jobs.read_new(spark, source, "parquet", schema, files_per_batch=1).selectExpr(
+    arrivals = jobs.read_new(spark, source, "parquet", schema, files_per_batch=SLICE_FILES).selectExpr(
         "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) as flight_key",
         "concat('AP', lpad(l_suppkey % 25, 2, '0')) as to_airport", "cast(null as string) as operated_by",
         "timestamp_ntz'2024-01-01 00:00:00' + interval '1' minute * cast((l_orderkey * 7 + l_partkey) % 43200 as int)"
@@ -540,7 +547,7 @@ def linked_documents(spark, folder):
 
 @query
 def stream_actuals_by_day(spark, folder):
-    """Late records in several files correct stored flights; only the days they touch are rewritten."""
+    """Late records in several files correct stored flights, day by day."""
     day = "date_format(departure_scheduled_utc, 'yyyy-MM-dd')"
     stored = fx.table(spark, folder, "orders").selectExpr(
         "cast(o_orderkey as string) as flight_number", "'AAA' as from_airport", "'BBB' as to_airport",
@@ -550,16 +557,16 @@ def stream_actuals_by_day(spark, folder):
     )
     base = run_dir(spark, "days")
     jobs.start_partitions(stored, f"{base}/table", F.expr(day))
-    parts = ["l_linenumber = 1 and l_orderkey % 480 < 48", "l_linenumber = 2 and l_orderkey % 480 < 100"]
+    parts = ["l_linenumber = 1", "l_linenumber = 2", "l_linenumber > 2"]
     source, schema = _files_of(spark, folder, "lineitem", parts, "late")
-    late = jobs.read_new(spark, source, "parquet", schema, files_per_batch=1).selectExpr(
+    late = jobs.read_new(spark, source, "parquet", schema, files_per_batch=SLICE_FILES).selectExpr(
         "cast(l_orderkey as string) as flight_number", "'AAA' as from_airport", "'BBB' as to_airport",
         "timestamp_ntz'2024-01-01 00:00:00' + interval '1' hour * cast(l_orderkey % 480 as int) as departure_scheduled_utc",
         "cast(null as timestamp_ntz) as departure_final_utc", "cast(null as timestamp_ntz) as arrival_actual_utc",
         "l_returnflag as status_final", "cast(l_quantity as int) as delay_min", "l_partkey", "l_suppkey",
     )
     order = ["l_partkey", "l_suppkey", "status_final", "delay_min"]
-    jobs.merge_partitions_available(late, f"{base}/table", f"{base}/progress", jobs.actuals_step(order), day)
+    jobs.merge_partitions_available(late, f"{base}/table", f"{base}/progress", jobs.actuals_step(order), day, keep_versions=2)
     return jobs.read_partitions(spark, f"{base}/table").select("flight_number", "departure_scheduled_utc", "status_final", "delay_min")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import minutes_between
 from ..functions.weather import impact, worst_impact
 from ..functions.zones import utc_to_local, zone_lookup
-from ..operators.sizing import sized_broadcast
+from ..operators.sizing import MAX_LOOKUP_BYTES, ROW_BYTES, sized_broadcast
 from ..session import reliable_checkpoint
 
 DEPARTURE, ARRIVAL = "departure_scheduled_utc", "arrival_scheduled_utc"
@@ -112,8 +112,10 @@ def training_cut(flights: DataFrame, hours: int = 24) -> TrainingCut:
         F.count(F.lit(1)).alias("rows"), F.max(F.coalesce(usable, F.lit(False))).alias("usable"), F.max(DEPARTURE).alias("newest"),
     ))
     by_hour = counted.groupBy("hour").agg(F.max("usable").alias("usable"), F.max("newest").alias("newest")).filter("usable")
-    covered = sized_broadcast(by_hour.select("hour", "newest"))
-    newest = covered.agg(F.max("newest")).first()[0]
+    # Two moments a row, so the number of rows tells the size, in the same job as the newest departure.
+    hours_kept = reliable_checkpoint(by_hour.select("hour", "newest"))
+    newest, size = hours_kept.agg(F.max("newest"), F.count(F.lit(1))).first()
+    covered = F.broadcast(hours_kept) if size * 2 * ROW_BYTES <= MAX_LOOKUP_BYTES else hours_kept
     before = newest and newest - dt.timedelta(hours=hours)
     edge = before and before.replace(minute=0, second=0, microsecond=0)
     whole = counted.filter(F.col("hour") < F.lit(edge).cast("timestamp_ntz")).select("hour", *columns, "rows")
@@ -121,7 +123,7 @@ def training_cut(flights: DataFrame, hours: int = 24) -> TrainingCut:
         (F.col(DEPARTURE) >= F.lit(edge).cast("timestamp_ntz")) & (F.col(DEPARTURE) < F.lit(before).cast("timestamp_ntz"))
     ).groupBy(hour.alias("hour"), *columns).agg(F.count(F.lit(1)).alias("rows"))
     kept = whole.unionByName(part).join(covered.select("hour"), "hour", "left_semi")
-    return TrainingCut(covered.select("hour"), before, _shares(kept.groupBy(*columns).agg(F.sum("rows").alias("rows")), columns))
+    return TrainingCut(covered.select("hour"), before, _shares(kept, columns))
 
 
 # ---- frequencies -------------------------------------------------------------
@@ -129,21 +131,31 @@ def training_cut(flights: DataFrame, hours: int = 24) -> TrainingCut:
 def frequency_tables(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
     """Per column the share of each value among the rows that have one, from one pass.
 
-    The counts per combination are written once; each column's table and total
-    are sums over them, so no step gathers all values in one task.
+    The counts per value of all columns are written once; totals and sizes are sums over them, so no step
+    gathers all values in one task.
     """
     return _shares(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")), columns)
 
 
-def _shares(counts: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
-    combined = reliable_checkpoint(counts)
-    tables = {}
+class Shares(dict):
+    """Frequency tables that were measured together: those that are small carry a broadcast hint."""
+
+
+def _shares(counts: DataFrame, columns: list[str]) -> Shares:
+    """Shares from ``rows`` per combination of the columns' values."""
+    each = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).alias("value"), F.col("rows")) for c in columns
+    ]))).filter("value is not null")
+    known = reliable_checkpoint(each.groupBy("name", "value").agg(F.sum("rows").alias("n")))
+    # One row per column.
+    totals = {r["name"]: r for r in known.groupBy("name").agg(
+        F.sum("n").alias("n"), (F.sum(F.octet_length("value")) + F.count(F.lit(1)) * 2 * ROW_BYTES).alias("bytes")
+    ).collect()}
+    tables = Shares()
     for column in columns:
-        known = combined.filter(F.col(column).isNotNull())
-        total = known.agg(F.sum("rows")).scalar()
-        tables[column] = known.groupBy(column).agg(F.sum("rows").alias("n")).select(
-            column, (F.col("n") / total).alias("share")
-        )
+        total, size = (totals[column]["n"], totals[column]["bytes"]) if column in totals else (1, 0)
+        own = known.filter(F.col("name") == column).select(F.col("value").alias(column), (F.col("n") / F.lit(total)).alias("share"))
+        tables[column] = F.broadcast(own) if size <= MAX_LOOKUP_BYTES else own
     return tables
 
 
@@ -151,10 +163,10 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
     return frequency_tables(df, [column])[column]
 
 
-def with_frequency(df: DataFrame, table: DataFrame, column: str, out: str) -> DataFrame:
-    """Add a stored frequency; a value the table does not know gets null."""
+def with_frequency(df: DataFrame, table: DataFrame, column: str, out: str, measured: bool = False) -> DataFrame:
+    """Add a stored frequency; a value the table does not know gets null. A table that was not ``measured`` is now."""
     known = table.select(column, F.col("share").alias(out))
-    return df.join(sized_broadcast(known), column, "left")
+    return df.join(known if measured else sized_broadcast(known), column, "left")
 
 
 # ---- weather -----------------------------------------------------------------
@@ -318,7 +330,7 @@ def prepare(
     if tables is None:
         tables = frequency_tables(df, list(FREQUENCIES))
     for column, out in FREQUENCIES.items():
-        df = with_frequency(df, tables[column], column, out)
+        df = with_frequency(df, tables[column], column, out, isinstance(tables, Shares))
     df = df.withColumns({
         "departure_delay_minutes": minutes_between("departure_actual_utc", DEPARTURE),
         "flight_duration_minutes": minutes_between(ARRIVAL, DEPARTURE),

@@ -92,13 +92,12 @@ SQL = {
     "headerless_carriers": """select cast(c_custkey as varchar) as id, concat('Line, ', c_name) as name, cast(null as varchar) as alias,
   case when c_custkey % 3 <> 0 then concat('C', c_custkey % 50) end as iata, c_mktsegment as icao, 'NA' as callsign,
   cast(c_nationkey as varchar) as country_name, case when c_custkey % 2 = 0 then 'Y' else 'N' end as active from customer""",
-    "airport_file": w("airport", extra="""lines as (select *, 0 as copy, 1 + id as line from airport where id % 7 <> 0
-  union all select *, 1, 26 + id // 2 from airport where id % 2 = 0)""") + """
-select iata_code as code_iata, icao_code, timezone, case when copy = 0 then airport_name else city end as name, cast(line as bigint) as row_no
-from lines l where line = (select max(line) from lines k where k.id = l.id)""",
-    "first_airports": w("airport", extra="""lines as (select id, iata_code, 1 + id as line from airport where id % 7 <> 0
-  union all select id, iata_code, 26 + id // 2 from airport where id % 2 = 0)""") + """
-select iata_code as code_iata from (select iata_code, max(line) as line from lines group by 1) order by line limit 10""",
+    "airport_file": """
+select concat('K', c_custkey) as code_iata, concat('Z', c_custkey) as icao_code, case when c_nationkey % 2 = 0 then 'Europe/Paris' else 'UTC' end as timezone,
+  case when c_custkey % 2 = 0 then c_mktsegment else c_name end as name from customer where c_custkey % 2 = 0 or c_custkey % 7 <> 0""",
+    "first_airports": """
+select concat('K', c_custkey) as code_iata from customer where c_custkey % 2 = 0 or c_custkey % 7 <> 0
+order by c_custkey % 2 = 0, c_custkey limit 10""",
     "restore_metar": w("metar") + """
 select id, external_id, station_id, date_trunc('second', observation_time) as observation_time, wind_dir_degrees, temp_c, dewpoint_c,
   wind_speed_kt, wind_gust_kt, visibility_statute_mi, altim_in_hg, wx_string, metar_type, flight_category from metar""",
@@ -220,9 +219,9 @@ select metar_id is not null as metar_associated, case when metar_id is not null
   count(*) as rows, count(distinct metar_id) as reports, 0::bigint as odd from every group by 1, 2""",
     # The second file comes after the first, so its record wins.
     "stream_actuals_by_day": """
-with l as (select l_orderkey, l_linenumber, max({'a': l_partkey, 'b': l_suppkey, 'c': l_returnflag, 'd': cast(l_quantity as int)}) as v
-  from lineitem where l_linenumber = 1 and l_orderkey % 480 < 48 or l_linenumber = 2 and l_orderkey % 480 < 100 group by 1, 2),
-last as (select l_orderkey, arg_max(v, l_linenumber) as v from l group by 1)
+with l as (select l_orderkey, least(l_linenumber, 3) as slice, max({'a': l_partkey, 'b': l_suppkey, 'c': l_returnflag, 'd': cast(l_quantity as int)}) as v
+  from lineitem group by 1, 2),
+last as (select l_orderkey, arg_max(v, slice) as v from l group by 1)
 select cast(o_orderkey as varchar) as flight_number, timestamp '2024-01-01' + interval '1' hour * cast(o_orderkey % 480 as int)
   as departure_scheduled_utc, v.c as status_final, v.d as delay_min from orders left join last on o_orderkey = l_orderkey""",
     "local_times_year": w("airport", extra=YEAR) + """

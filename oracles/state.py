@@ -34,6 +34,8 @@ from lineitem join orders on o_orderkey = l_orderkey where l_partkey % 60 <= 48"
     "metar_checked": w("metar") + "select concat('R', id) as raw_text, station_id from metar where id % 23 <> 5 and id % 17 <> 3",
     "metar_quarantine": w("metar") + "select id, true as has_file from metar where id % 23 = 5 or id % 17 = 3",
     "json_quarantine": "select event_id, event_id % 19 = 4 as broken from events",
+    "sql_boards": f"""with {BOARD} select o_orderkey as k, 0 as place, concat('08:', lpad(cast(o_orderkey % 60 as varchar), 2, '0'),
+  case when delayed then '09:05 [01-16]' else '' end, 'G', o_orderkey % 9) as departure, 'On time' as status from page""",
     "sql_similarity": f"""with g as (select p_partkey, {grams('p_name')} as a, {grams("concat(p_type, ' ', substr(p_name, 1, 5))")} as b from part)
 select p_partkey, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 9) as score from g""",
     "sql_weather": f"""select a.id, a.wx, a.words, s.severity from ({NORMALIZE['wx_decode']}) a join ({NORMALIZE['wx_severity']}) s on s.id = a.id""",
