@@ -1,3 +1,4 @@
+import hashlib
 import datetime as dt
 
 from conftest import rows
@@ -112,8 +113,8 @@ def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     ]
     after = files()
     assert all(after[name] == stamp for name, stamp in before.items())
-    new = {name.split("part=")[1][:10] for name in after.keys() - before.keys() if "part=" in name}
-    assert new == {"2025-10-02", "2025-10-10"}
+    new = {name.split(f"{jobs.PLACE}=")[1][:32] for name in after.keys() - before.keys() if f"{jobs.PLACE}=" in name}
+    assert new == {hashlib.md5(f"={d}".encode()).hexdigest() for d in ("2025-10-02", "2025-10-10")}
     assert rows(jobs.read_partitions(spark, root, 0), "id", "station_id")[1] == (1, "old")
     assert jobs.read_partitions(spark, root, parts=["1999-01-01"]).count() == 0
 
