@@ -8,7 +8,7 @@ from . import fixtures as fx
 from .catalog import LOADED, NOW, _board_airports, _carriers, _listing, _moment, _pages, _prepared, _scored, _view, query, with_doubles
 from .functions import clean, zones
 from .operators import associate, dims, merge, neighbours, normalize
-from .plans import evaluation, features, hourly, model
+from .plans import evaluation, features, hourly, model, views
 from .session import reliable_checkpoint, run_dir
 from .sources import boards, documents, feeds, landing, reference
 from .streaming import jobs
@@ -611,18 +611,27 @@ def feature_rows(spark, folder):
 
 @query
 def scored_and_stored(spark, folder):
-    """A model stored, loaded again and applied to the open flights; the others keep what they had."""
+    """A model stored, loaded again and applied to the open flights; the others keep what they had.
+
+    The loaded model must give the probabilities of the one that was stored, and levels by the stored limits.
+    """
     view, airports, root = _view(spark, folder), fx.airports(spark, folder), run_dir(spark, "models")
-    hourly.train_and_store(view, airports, root, "20240201_000000", "decision_tree", flights=fx.flights(spark, folder))
+    made = hourly.train_and_store(view, airports, root, "20240201_000000", "decision_tree", flights=fx.flights(spark, folder))
     trained, tables = model.load(spark, root)
     stored = fx.flights(spark, folder).selectExpr(
         "row_key as id", "status_final", "cast(null as double) as delay_prob", "cast(null as string) as delay_risk_level"
     )
     ids = stored.filter("status_final is null").selectExpr("id as f_id")
     updated, _ = model.score_and_store(trained, stored, view, airports, ids, tables)
-    return updated.select(
-        "id", F.coalesce(F.col("delay_prob").between(0, 1), F.lit(False)).alias("scored"),
-        F.coalesce(F.col("delay_risk_level").isin("low", "medium", "high"), F.lit(False)).alias("has_level"),
+    config = model.newest_config(spark, root).first()
+    # A key that two flights share has a probability of either.
+    fresh = model.predict_flights(made, views.flights_by_ids(view, ids), airports, tables).groupBy(F.col("f_id").alias("id")).agg(
+        F.min("delay_probability").alias("least"), F.max("delay_probability").alias("most")
+    )
+    level = evaluation.risk_level(F.col("delay_prob"), config["risk_threshold_low"], config["risk_threshold_high"])
+    return updated.join(fresh, "id", "left").select(
+        "id", F.coalesce(F.col("delay_prob").between(F.col("least") - 1e-12, F.col("most") + 1e-12), F.lit(False)).alias("scored"),
+        F.coalesce(F.col("delay_risk_level") == level, F.lit(False)).alias("has_level"),
     )
 
 

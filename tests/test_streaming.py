@@ -1,5 +1,5 @@
-import hashlib
 import datetime as dt
+import hashlib
 
 from conftest import rows
 from pyspark.sql import functions as F
