@@ -2,10 +2,10 @@
 
 Every turn is rendered once, with its control strings, at a running offset in its conversation: the
 ``segments``. Every assistant turn is an example of its own: all turns before it are context, and of the
-example's text only the reply's is trainable. The ``examples`` are written with their whole text and the span
-under the loss mask. Written contexts grow with the square of a conversation, so one whose examples would take more
-than ``EXPANDED_CHARS`` together keeps them as spans over its segments (``text`` null); ``materialized`` writes
-those out for a trainer that wants them.
+example's text only the reply's is trainable. The ``examples`` are all written with their whole text and the span
+under the loss mask. Where a conversation's examples take more than ``EXPANDED_CHARS`` together, each is put together
+from its own segments and no row holds more than one example. Written contexts grow with the square of a conversation;
+a caller who wants spans over the segments instead for such conversations gives the bound ``most`` (``text`` null).
 
 Control strings inside texts are escaped by a backslash behind their first character, and one more
 if there already are some, so that unescaping gives back every text.
@@ -28,7 +28,7 @@ ROLE, ROLE_END = "[ROLE] ", " [/ROLE]"
 
 # Turns of one conversation that are numbered by one task at a time.
 BLOCK_TURNS = 256
-# Code points of all examples of one conversation that are written out; also the most that meets in one row.
+# Code points of all examples of one conversation that are cut from one row of its whole text.
 EXPANDED_CHARS = 1 << 20
 
 PLAIN = r"([<\[])(\\*)(/?s>|/?INST\]|/?ROLE\])"
@@ -123,21 +123,27 @@ def materialized(turns: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def expanded(turns: DataFrame, most: int = EXPANDED_CHARS) -> DataFrame:
-    """The examples with their ``text``; null where a conversation's examples pass ``most`` code points together."""
+def expanded(turns: DataFrame, most: int | None = None) -> DataFrame:
+    """The examples with their ``text``; null where a conversation's examples pass ``most`` code points, if that is given."""
     wanted = examples(turns)
     sizes = wanted.groupBy("conv_key").agg(F.sum("end").alias("chars"))
-    short = sizes.where(F.col("chars") <= most).select("conv_key")
-    # At most ``most`` code points of segments meet: a conversation's last example holds all turns up to it.
+    bound = EXPANDED_CHARS if most is None else most
+    short = sizes.where(F.col("chars") <= bound).select("conv_key")
+    # At most ``bound`` code points of segments meet: a conversation's last example holds all turns up to it.
     reach = wanted.groupBy("conv_key").agg(F.max("end").alias("reach"))
     parts = turns.join(short, "conv_key").join(reach, "conv_key").where(F.col("start") < F.col("reach"))
     whole = parts.groupBy("conv_key").agg(F.array_join(F.array_sort(F.collect_list(F.struct("start", "segment")))["segment"], "").alias("whole"))
     text = F.substring("whole", F.lit(1), F.col("end").cast("int"))
-    return wanted.join(whole, "conv_key", "left").withColumn("text", text).drop("whole")
+    if most is not None:
+        return wanted.join(whole, "conv_key", "left").withColumn("text", text).drop("whole")
+    cut = wanted.join(whole, "conv_key").withColumn("text", text).drop("whole")
+    long = wanted.join(sizes.where(F.col("chars") > bound).select("conv_key"), "conv_key")
+    texts = materialized(turns, long).select("conv_key", "position", "text")
+    return cut.unionByName(long.join(texts, ["conv_key", "position"]))
 
 
 def write(
-    conversations: DataFrame, folder: str, block_turns: int = BLOCK_TURNS, most: int = EXPANDED_CHARS
+    conversations: DataFrame, folder: str, block_turns: int = BLOCK_TURNS, most: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Write segments and expanded examples below ``folder``; both as they read back."""
     spark = conversations.sparkSession

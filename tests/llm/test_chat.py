@@ -107,3 +107,12 @@ def test_the_reply_is_read_from_the_example(spark):
     changed = wanted.withColumn("text", F.translate("text", "first", "FIRST"))
     before, after = ({r["conv_id"]: r["loss_sha256"] for r in chat.summary(turns, w).collect()} for w in (wanted, changed))
     assert before[3] != after[3]
+
+
+def test_long_conversations_are_written_out(spark, monkeypatch):
+    monkeypatch.setattr(chat, "EXPANDED_CHARS", 120)
+    turns, wanted = chat.write(conversations(spark), run_dir(spark, "chat"))
+    whole = {(r["conv_key"], r["position"]): r["text"] for r in chat.materialized(turns, wanted.drop("text")).collect()}
+    rows = wanted.collect()
+    assert len(rows) == len(whole) and all(r["text"] == whole[r["conv_key"], r["position"]] for r in rows)
+    assert sum(r["end"] for r in rows) > 120 and all(len(r["text"]) == r["end"] for r in rows)
