@@ -5,8 +5,9 @@ weights are learned by logistic loss on the feature differences of such pairs, s
 sum ranks documents. The cut is a quantile of the training scores, chosen for the most right labels, and
 the logistic function shifts the cut to the fixed probability ``CUT``.
 
-About ``MAX_LABELLED`` labelled ids at most are fitted, those whose hash is lowest, with one row each. Everything
-else covers all rows. Label, language, source, stored length and id are no inputs of a score.
+All labelled ids are fitted, with one row each. They are dealt by hash to trainers of about ``MAX_LABELLED`` ids;
+the weights of the trainers are averaged by their rows. The scaling, and the scores that the cut is chosen from, are
+those of all labelled ids, counted in Spark. Label, language, source, stored length and id are no inputs of a score.
 
 Cases: null text is empty and is scored; repeated labels of a document count by their majority (a tie
 is label 1), null labels not at all; rows with equal ids each have their score; without labels of both kinds
@@ -22,10 +23,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..plans import evaluation
+from ..session import reliable_checkpoint, ship_package
 from . import common
 
-# Bound of the labelled ids that are fitted on the driver (55 numbers each).
+# Labelled ids of one trainer, about (55 numbers each).
 MAX_LABELLED = 40_000
 FOLDS = 5
 CUT = 0.3
@@ -163,28 +165,68 @@ def best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(cuts[np.argmax(right)])
 
 
+def best_cut_of(scored: DataFrame) -> float:
+    """``best_cut`` of ``label, score`` rows, from running counts per distinct score; the driver gets the quantiles."""
+    points = reliable_checkpoint(evaluation.curve(scored))
+    good, bad = points.select("positives", "negatives").first()
+    count = good + bad
+    places = np.unique(np.linspace(0, count - 1, QUANTILES).astype(int)).tolist()
+    # A score stands at the places ``first`` to ``end - 1`` of all in order.
+    ranked = points.select("score", (F.lit(count) - F.col("tp") - F.col("fp")).alias("first"), "pos", "neg", "tp", "fp").withColumn(
+        "end", F.col("first") + F.col("pos") + F.col("neg")
+    )
+    asked = F.array(*[F.lit(p).cast("long") for p in sorted({q for p in places for q in (max(p - 1, 0), p)})])
+    rows = sorted(ranked.where(F.exists(asked, lambda p: (p >= F.col("first")) & (p < F.col("end")))).collect(), key=lambda r: r["first"])
+    firsts = np.array([r["first"] for r in rows])
+    at = [rows[int(np.searchsorted(firsts, p, side="right")) - 1] for p in places]
+    below = [rows[int(np.searchsorted(firsts, max(p - 1, 0), side="right")) - 1] for p in places]
+    cuts = [(b["score"] + a["score"]) / 2 if p else a["score"] - 1 for p, b, a in zip(places, below, at)]
+    right = [a["tp"] + bad - a["fp"] for a in at]
+    return float(cuts[int(np.argmax(right))])
+
+
 def train(vectors: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Ranker:
-    """Fit on ``doc_id, features`` rows outside fold 0 that have a quality label."""
+    """Fit on ``doc_id, features`` rows outside fold 0 that have a quality label, about ``max_labelled`` ids a trainer."""
+    ship_package(vectors.sparkSession)
     marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(
         (F.avg("quality") >= 0.5).cast("int").alias("label")
     )
-    # Nearly equal shares of all ids, whatever their number: a slice of the hash that holds the bound.
-    wanted = marked.where(fold(F.col("doc_id")) != 0)
-    part = min(1.0, max_labelled / max(1, wanted.count()))
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 32).cast("double") / float(1 << 32)
-    usable = vectors.join(wanted.where(place < part), "doc_id")
-    # One row per labelled id, so rows that repeat an id cannot fill the driver.
-    sample = usable.groupBy("doc_id", "label").agg(F.min_by("features", F.xxhash64("features")).alias("features"))
-    rows = sample.toPandas().sort_values("doc_id")
-    if rows["label"].nunique() < 2:
+    usable = vectors.join(marked.where(fold(F.col("doc_id")) != 0), "doc_id")
+    # One row per labelled id, so rows that repeat an id count once.
+    rows = reliable_checkpoint(
+        usable.groupBy("doc_id", "label").agg(F.min_by("features", F.xxhash64("features")).alias("features"))
+    )
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return Ranker((), 0.0)
+    # One row per feature.
+    moments = rows.select(F.posexplode("features")).groupBy("pos").agg(F.avg("col").alias("m"), F.stddev_pop("col").alias("s")).orderBy("pos").collect()
+    centre, spread = np.array([r["m"] for r in moments]), np.array([r["s"] for r in moments])
+    # A constant differs from its mean by rounding only.
+    spread[spread <= 1e-12 * np.maximum(1, np.abs(centre))] = 1
+    # Every trainer needs some of both labels.
+    trainers = max(1, min(-(-sum(counts.values()) // max_labelled), min(counts.values()) // 4))
+
+    def fit_part(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("doc_id")
+        scaled, label = (np.stack(part["features"].to_numpy()) - centre) / spread, part["label"].to_numpy()
+        if len(np.unique(label)) < 2:
+            return pd.DataFrame({"trainer": [], "seen": [], "weights": []})
+        return pd.DataFrame({"trainer": part["trainer"].iloc[:1], "seen": [len(part)], "weights": [fit_pairs(scaled[label == 1], scaled[label == 0])]})
+
+    # By a hash of the id; a part that has one label only has no pairs.
+    dealt = rows.withColumn("trainer", F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(trainers)).cast("int"))
+    fitted = dealt.groupBy("trainer").applyInPandas(fit_part, "trainer int, seen long, weights array<double>")
+    # 55 numbers per trainer.
+    found = fitted.orderBy("trainer").collect()
+    if not found:
         return Ranker((), 0.0)
-    matrix, label = np.stack(rows["features"].to_numpy()), rows["label"].to_numpy()
-    centre, spread = matrix.mean(axis=0), matrix.std(axis=0)
-    spread[spread == 0] = 1
-    scaled = (matrix - centre) / spread
-    weights = fit_pairs(scaled[label == 1], scaled[label == 0])
+    weights = np.average([r["weights"] for r in found], axis=0, weights=[r["seen"] for r in found])
     own = weights / spread
-    return Ranker(tuple(map(float, own)), best_cut(matrix @ own, label))
+    score = F.lit(0.0)
+    for index, weight in enumerate(own.tolist()):
+        score = score + F.get("features", F.lit(index)) * F.lit(weight)
+    return Ranker(tuple(map(float, own)), best_cut_of(rows.select("label", score.alias("score"))))
 
 
 def score_documents(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aeroledger.llm import queries, ranking
 from tests.llm.helpers import MESSY, messy, table
@@ -145,3 +146,21 @@ def test_scores_in_columns_against_plain_loops(spark):
             total = sum(x * w for x, w in zip(ranking.features_of(text or "").tolist(), ranker.weights)) - ranker.cut
             options.append(1 / (1 + math.exp(-max(-700.0, min(700.0, total + math.log(0.3 / 0.7))))))
         assert any(abs(row["score"] - o) < 1e-9 for o in options)
+
+
+def test_all_labelled_ids_are_fitted(spark):
+    """The feature tells nothing on the ids of the lowest hashes."""
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 32).cast("double") / float(1 << 32)
+    rows = spark.range(400).select(F.col("id").alias("doc_id")).withColumn("low", place < 0.3).withColumn("quality", (F.col("doc_id") % 2).cast("int"))
+    vectors = rows.select("doc_id", F.array(F.when(F.col("low"), 0.5).otherwise(F.col("quality").cast("double")), F.lit(1.0)).alias("features"))
+    found = ranking.train(vectors, rows.select("doc_id", "quality"), 40)
+    assert found.weights[0] > 0 and found.weights[1] == 0
+
+
+def test_the_cut_is_counted_in_spark(spark):
+    rng = np.random.default_rng(3)
+    for n, digits in ((7, 1), (300, 1), (1500, 6)):
+        labels = np.concatenate([[0, 1], rng.integers(0, 2, n)])
+        scores = np.round(labels + rng.normal(0, 1, n + 2), digits)
+        rows = spark.createDataFrame(list(zip(labels.tolist(), scores.tolist())), "label int, score double")
+        assert ranking.best_cut_of(rows) == ranking.best_cut(scores, labels)
