@@ -286,3 +286,39 @@ def test_loaded_model_has_its_own_figures(spark, tmp_path):
     loaded, _ = model.load(spark, str(tmp_path))
     for part in ("test_metrics", "overfit", "test_scores"):
         assert rows(getattr(loaded, part)) == rows(getattr(trained, part))
+
+
+def test_split_is_that_of_the_ranks(spark):
+    """The rows with the smallest hashes of each label, copies of a key told apart, without ordering whole labels."""
+    df = spark.range(3000).selectExpr("id % 2900 as f_id", "cast(if(id % 7 = 0, null, id % 7 < 3) as int) as delay")
+    for share in (0.0, 0.001, 0.25, 1.0):
+        placed = features.ranked(df, ["f_id"], 42, "delay")
+        wanted = placed.filter(F.col("_rank") <= F.floor(F.col("_n") * F.lit(share))).drop("_rank", "_n")
+        train, test = model.split(df, ["f_id"], share)
+        assert rows(test) == rows(wanted) and sorted(rows(train) + rows(test), key=repr) == rows(df)
+    assert "Window" not in "".join(
+        p._jdf.queryExecution().optimizedPlan().toString() for p in model.split(df, ["f_id"])
+    )
+
+
+def test_exact_quantiles_from_counts(spark):
+    rng = random.Random(5)
+    data = {"a": [rng.randrange(9) / 2 for _ in range(1000)], "b": [rng.random() for _ in range(777)], "c": [4.0]}
+    counts = spark.createDataFrame([(n, v) for n, own in data.items() for v in own], "name string, value double").groupBy(
+        "name", "value").agg(F.count(F.lit(1)).alias("n"))
+    got = {r["name"]: r["q"] for r in model.exact_quantiles(counts, (0.25, 0.5, 0.75)).collect()}
+    assert got == {n: [sorted(own)[int(np.ceil(q * len(own))) - 1] for q in (0.25, 0.5, 0.75)] for n, own in data.items()}
+
+
+def test_exact_preprocessing_is_that_of_the_stages(spark):
+    from pyspark.ml import Pipeline
+
+    df = frame(spark, 300)
+    levels = model.category_levels(df, features.CATEGORICAL)
+    exact, whole = model.fit_preprocessor(df, levels, 0.0), Pipeline(stages=model.preprocessor(levels, 0.0)).fit(df)
+    assert rows(exact.transform(df), "f_id", "features") == rows(whole.transform(df), "f_id", "features")
+
+
+def test_few_rows_are_fitted_in_few_tasks(spark):
+    few = model.in_few_tasks(spark.range(100).repartition(40), 30)
+    assert few.rdd.getNumPartitions() <= 4 and few.count() == 100
