@@ -6,8 +6,10 @@ and rules are column expressions, so they run in the JVM.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -31,6 +33,16 @@ TABLE, HEADER, COMPENSATION, NO_FLIGHTS = "flightsTable", "flightsTable-header",
 DELAYED = ("estimatedTime arrDelayed", "estimatedTime depDelayed")
 VOID = {"br", "img", "hr", "input", "meta", "link", "wbr", "col", "source", "area", "base", "embed"}
 
+# Text and the plain tag, comment or doctype behind it, which every version of ``HTMLParser`` reads alike.
+TOKEN = re.compile(
+    r"""([^<]*)<(?:([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z][a-zA-Z0-9_-]*="[^"]*")*)[ \t\n]*(/?)>"""
+    r"""|/([a-zA-Z][a-zA-Z0-9]*)[ \t\n]*>|!--(?!-?>)(?:[^-]|-(?!-))*-->|!(?:doctype|DOCTYPE)[ \t\n][^<>]*>)"""
+)
+ATTRIBUTE = re.compile(r"""([a-zA-Z][a-zA-Z0-9_-]*)="([^"]*)\"""")
+NO_ATTRIBUTES: dict[str, str | None] = {}
+# Elements whose content is no markup, or is not in some versions.
+RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
+
 
 class _Page(HTMLParser):
     """Elements of a page in document order, from one pass.
@@ -38,6 +50,9 @@ class _Page(HTMLParser):
     Element ``i`` has the text ``text[starts[i]:ends[i]]`` and its descendants are the elements
     ``i + 1`` up to ``subs[i]``. Open elements are a plain stack, so tags that are
     never closed cost no recursion, and an end tag without a start is known at once.
+
+    Plain markup is read token by token here; from the first token that is anything else, the rest of the page
+    goes to ``HTMLParser``.
     """
 
     def __init__(self, html: str):
@@ -51,15 +66,59 @@ class _Page(HTMLParser):
         self.size = 0
         self.open: list[int] = []
         self.open_tags: Counter[str] = Counter()
-        self.feed(html)
-        self.close()
-        while self.open:
-            self._end_last()
+        rest = self._plain(html)
+        if rest < len(html):
+            self.feed(html[rest:])
+            self.close()
+        for last in self.open:
+            self.ends[last], self.subs[last] = self.size, len(self.tags)
         self.text = "".join(self.pieces)
 
+    def _plain(self, html: str) -> int:
+        """Read plain tokens; where the first other one, or the text before it, begins."""
+        at, size = 0, 0
+        tags, attrs, starts, ends, subs, opened, open_tags = (
+            self.tags, self.attrs, self.starts, self.ends, self.subs, self.open, self.open_tags
+        )
+        for found in TOKEN.finditer(html):
+            if found.start() != at:
+                break
+            text, tag, marks, single, closed = found.groups()
+            if tag:
+                tag = tag.lower()
+                if tag in RAW:
+                    break
+            if text:
+                if "&" in text:
+                    text = unescape(text)
+                self.pieces.append(text)
+                size += len(text)
+            if tag:
+                attrs.append({
+                    name.lower(): unescape(value) if "&" in value else value for name, value in ATTRIBUTE.findall(marks)
+                } if marks else NO_ATTRIBUTES)
+                tags.append(tag)
+                starts.append(size)
+                ends.append(size)
+                subs.append(len(tags))
+                if not single and tag not in VOID:
+                    opened.append(len(tags) - 1)
+                    open_tags[tag] = open_tags.get(tag, 0) + 1
+            elif closed:
+                closed = closed.lower()
+                while open_tags.get(closed):
+                    last = opened.pop()
+                    ends[last], subs[last] = size, len(tags)
+                    open_tags[tags[last]] -= 1
+                    if tags[last] == closed:
+                        break
+            at = found.end()
+        self.size = size
+        return at
+
     def handle_starttag(self, tag, attrs):
         self.tags.append(tag)
-        self.attrs.append(dict(attrs))
+        self.attrs.append(dict(attrs) if attrs else {})
         self.starts.append(self.size)
         self.ends.append(self.size)
         self.subs.append(len(self.tags))
@@ -95,9 +154,16 @@ class _Page(HTMLParser):
 
     def inside(self, i: int | None, tag: str | None = None, mark: str | None = None) -> Iterator[int]:
         """Descendants of element ``i`` (of the page if None) with a tag and a class."""
-        for k in range(0 if i is None else i + 1, len(self.tags) if i is None else self.subs[i]):
-            if (tag is None or self.tags[k] == tag) and (mark is None or mark in self.classes(k)):
+        k, end = (0, len(self.tags)) if i is None else (i + 1, self.subs[i])
+        while k < end:
+            if tag is not None:
+                try:
+                    k = self.tags.index(tag, k, end)
+                except ValueError:
+                    return
+            if mark is None or mark in self.classes(k):
                 yield k
+            k += 1
 
     def first(self, i: int | None, tag: str | None = None, mark: str | None = None) -> int | None:
         return next(self.inside(i, tag, mark), None)
