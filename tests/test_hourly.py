@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from aeroledger import catalog, fixtures as fx
 from aeroledger.operators import merge, normalize
 from aeroledger.plans import features, hourly, model
+from aeroledger.operators import associate
 from aeroledger.session import reliable_checkpoint
 from aeroledger.sources import boards, feeds
 from test_sources import BOARD, METAR, TAF
@@ -101,3 +102,19 @@ def test_train_store_score(spark, tmp_path):
     assert row["flights"] == ids.distinct().count() and row["low"] + row["medium"] + row["high"] == row["flights"]
     assert updated.count() == flights.count()
     assert abs(row["median_probability"] - row["mean_probability"]) < 1
+
+
+def test_only_new_flights_ask_for_keys(spark, documents, monkeypatch):
+    d = documents
+    linked = reliable_checkpoint(hourly.link_documents(d["flights"], d["metar"], d["taf"], d["airports"], d["now"]))
+    asked, whole = [], associate.resolve_keys
+    monkeypatch.setattr(associate, "resolve_keys", lambda flights, *ids: asked.append(flights.count()) or whole(flights, *ids))
+    loaded, _ = hourly.load_session(tables(spark, d), linked.unionByName(linked), d["metar"], d["taf"], "s1")
+    loaded = {n: reliable_checkpoint(t) for n, t in loaded.items()}
+    assert loaded["flight"].count() == 2
+    hourly.load_session(loaded, linked, d["metar"], d["taf"], "s1")
+    # External ids that a table holds twice multiply no flight.
+    twice = loaded | {"flight": loaded["flight"].limit(0), "metar": loaded["metar"].unionByName(loaded["metar"])}
+    again, _ = hourly.load_session(twice, linked, d["metar"], d["taf"], "s1")
+    assert rows(again["flight"], "departure_metar_fk", "arrival_taf_fk") == rows(loaded["flight"], "departure_metar_fk", "arrival_taf_fk")
+    assert asked == [2, 0, 2]
