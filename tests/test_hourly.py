@@ -118,3 +118,10 @@ def test_only_new_flights_ask_for_keys(spark, documents, monkeypatch):
     again, _ = hourly.load_session(twice, linked, d["metar"], d["taf"], "s1")
     assert rows(again["flight"], "departure_metar_fk", "arrival_taf_fk") == rows(loaded["flight"], "departure_metar_fk", "arrival_taf_fk")
     assert asked == [2, 0, 2]
+
+
+def test_what_flights_ask_is_written_once(spark, documents, monkeypatch):
+    d, written, whole = documents, [], hourly.stored
+    monkeypatch.setattr(hourly, "stored", lambda df, label: written.append(label) or whole(df, label))
+    hourly.link_documents(d["flights"], d["metar"], d["taf"], d["airports"], d["now"])
+    assert written == ["asking"]
