@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from .catalog import _pages, _wx, query
-from .catalog_io import SLICE_FILES, _files_of, _moment
+from .catalog_io import _files_of, _moment
 from .functions import sql
 from .operators import merge, quality, snapshots
 from .session import run_dir
@@ -23,8 +23,8 @@ def stream_station_state(spark, folder):
     """Newest report per station over files that land in order, with stations that fell silent for a day."""
     cuts = ["2024-01-06", "2024-01-13", "2024-01-20"]
     parts = [f"ts < '{cuts[0]}'", *[f"ts >= '{a}' and ts < '{b}'" for a, b in zip(cuts, cuts[1:])], f"ts >= '{cuts[-1]}'"]
-    source, schema = _files_of(spark, folder, "events", parts, "reports")
-    reports = jobs.read_new(spark, source, "parquet", schema, files_per_batch=SLICE_FILES).selectExpr(
+    source, schema, files = _files_of(spark, folder, "events", parts, "reports")
+    reports = jobs.read_new(spark, source, "parquet", schema, files_per_batch=files).selectExpr(
         "concat('U', user_id % 997) as station_id", "event_id as metar_id", "ts as observation_time"
     )
     base = run_dir(spark, "stations")

@@ -8,6 +8,7 @@ writes the same version again.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Callable
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import associate, merge
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, stored
 from ..sources.feeds import METAR_SCHEMA, TAF_SCHEMA, metar_documents, taf_documents
 
 SETTLING = "24 hours"
@@ -301,11 +302,17 @@ def link_step(taf: DataFrame, airports: DataFrame, keys: list[str], order: list[
     """Merge step: flights of the batch get their best forecast (static table).
 
     A flight that comes again replaces its stored row, so repeated pulls leave one
-    row per key; ``order`` picks among copies within a batch.
+    row per key; ``order`` picks among copies within a batch. The distinct forecasts are made by the first batch
+    and read by all others.
     """
+    @functools.cache
+    def forecasts() -> DataFrame:
+        return associate.distinct_forecasts(taf)
+
     def step(table: DataFrame, batch: DataFrame) -> DataFrame:
-        newest = merge.last_per_key(associate.without_codeshares(batch), keys, order)
-        linked = associate.link_best_taf(newest, taf, airports)
+        # Read for the pairs that are asked, and again by the flights that take the answers.
+        newest = stored(merge.last_per_key(associate.without_codeshares(batch), keys, order), "newest")
+        linked = associate.link_best_taf(newest, taf, airports, forecasts=forecasts())
         return merge.upsert(table, linked.select(*table.columns), keys)
 
     return step

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from html.parser import HTMLParser
 from pyspark.sql import functions as F
 
-from aeroledger.operators import lsh, merge, neighbours
+from aeroledger import catalog_io
+from aeroledger.operators import associate, lsh, merge, neighbours
 from aeroledger.sources import boards
+from aeroledger.streaming import jobs
 
 
 class Whole(boards._Page):
@@ -57,3 +61,29 @@ def test_new_rows_are_written_as_columns(spark):
     fresh = merge.new_rows(target, source, ["id"], ["t"])
     assert sorted(fresh.collect(), key=str) == [(2, "c"), (None, "e")]
     assert fresh.inputFiles() and all(name.endswith(".parquet") for name in fresh.inputFiles())
+
+
+def test_distinct_forecasts_are_made_by_the_first_batch_only(spark, monkeypatch):
+    made, whole = [], associate.distinct_forecasts
+    monkeypatch.setattr(associate, "distinct_forecasts", lambda taf: made.append(1) or whole(taf))
+    noon = dt.datetime(2024, 1, 1, 12)
+    taf = spark.createDataFrame(
+        [(5, "LFPG", noon, None, "FM")],
+        "id long, station_id string, fcst_time_from timestamp_ntz, fcst_time_to timestamp_ntz, change_indicator string",
+    )
+    airports = spark.createDataFrame([("CDG", "LFPG")], "iata_code string, icao_code string")
+    table = spark.createDataFrame([], "flight_key string, taf_id long")
+    step = jobs.link_step(taf, airports, ["flight_key"], ["arrival_scheduled_utc"])
+    for key in ("f1", "f2"):
+        batch = spark.createDataFrame(
+            [(key, "CDG", None, noon)], "flight_key string, to_airport string, operated_by string, arrival_scheduled_utc timestamp_ntz"
+        )
+        table = step(table, batch)
+    assert sorted(map(tuple, table.collect())) == [("f1", 5), ("f2", 5)] and made == [1]
+
+
+def test_landed_slices_have_as_many_files_as_their_table_has_splits(spark, tmp_path):
+    spark.range(40_000).repartition(9).selectExpr("id", "repeat(cast(id as string), 20) as t").write.parquet(f"{tmp_path}/rows.parquet")
+    base, _, files = catalog_io._files_of(spark, str(tmp_path), "rows", ["id % 2 = 0", "id % 3 = 0"], "slices")
+    assert files == spark.read.parquet(f"{tmp_path}/rows.parquet").rdd.getNumPartitions() > catalog_io.SLICE_FILES
+    assert len(spark.read.parquet(base).inputFiles()) == 2 * files
