@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
@@ -33,25 +35,48 @@ def stream_station_state(spark, folder):
     return states.current(spark.read.schema(states.CHANGES).parquet(f"{base}/changes"))
 
 
+# Hours of landed files in one batch: the state of a join holds the rows of so long, and of those that may still meet.
+BATCH_HOURS = 24
+
+
+def _landed_hourly(spark, rows, moment, path):
+    """A stream of ``rows`` as they land: a file an hour of ``moment``, in the order of the hours; those without a time first.
+
+    A batch takes whole hours, so none of its rows is late for the watermark of the batch before.
+    """
+    hour = F.coalesce(F.floor(F.unix_micros(F.col(moment).cast("timestamp")) / 3_600_000_000), F.lit(-(1 << 40))).alias("hour")
+    rows.select("*", hour).repartition("hour").write.partitionBy("hour").parquet(path)
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    hours = {int(s.getPath().getName()[5:]): s.getPath() for s in store.listStatus(place) if s.isDirectory()}
+    landed = int(time.time()) - len(hours)
+    for after, number in enumerate(sorted(hours)):
+        for status in store.listStatus(hours[number]):
+            # A stream reads files by their age.
+            store.setTimes(status.getPath(), (landed + after) * 1000, -1)
+    return jobs.read_new(spark, path, "parquet", rows.schema, files_per_batch=BATCH_HOURS).select(*rows.columns)
+
+
 @query
 def stream_joined_actuals(spark, folder):
     """Flights and late records as two streams, joined where a record comes within two days of departure."""
     base = run_dir(spark, "two_streams")
     start = "timestamp_ntz'2024-01-01 00:00:00' + interval '1' hour * cast({} % 480 as int)"
-    fx.table(spark, folder, "orders").selectExpr(
+    flights = fx.table(spark, folder, "orders").selectExpr(
         "cast(o_orderkey as string) as flight_number", "'AAA' as from_airport", "'BBB' as to_airport",
         f"{start.format('o_orderkey')} as departure_scheduled_utc",
-    ).write.parquet(f"{base}/flights")
-    fx.table(spark, folder, "lineitem").selectExpr(
+    )
+    late = fx.table(spark, folder, "lineitem").selectExpr(
         "cast(l_orderkey as string) as flight_number", "'AAA' as from_airport", "'BBB' as to_airport",
         f"{start.format('l_orderkey')} as departure_scheduled_utc",
         f"{start.format('l_orderkey')} + interval '1' hour * cast(l_partkey % 60 as int) as collected_at",
         "cast(null as timestamp_ntz) as departure_final_utc", "cast(null as timestamp_ntz) as arrival_actual_utc",
         "concat(l_returnflag, l_linenumber, '-', l_partkey, '-', l_suppkey) as status_final", "cast(l_quantity as int) as delay_min",
-    ).write.parquet(f"{base}/late")
+    )
     sides = [
-        jobs.read_new(spark, f"{base}/{name}", "parquet", spark.read.parquet(f"{base}/{name}").schema, files_per_batch=1000)
-        for name in ("flights", "late")
+        _landed_hourly(spark, rows, moment, f"{base}/{name}")
+        for name, rows, moment in (("flights", flights, "departure_scheduled_utc"), ("late", late, "collected_at"))
     ]
     joined = jobs.flights_with_actuals(*sides)
     kept = joined.selectExpr("flight_number", "late_status_final as status_final", "late_delay_min as delay_min")

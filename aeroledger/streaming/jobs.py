@@ -266,7 +266,8 @@ def flights_with_actuals(
     """Flights left-joined to late records that arrive within ``within`` of departure.
 
     Two streams: the bound lets Spark drop old state, and a flight without a
-    record is emitted with nulls when its time has passed.
+    record is emitted with nulls when its time has passed. Departures meet as numbers: a key that carried the
+    watermark itself would end a flight at its departure, before the records of a later batch.
     """
     key = merge.FLIGHT_KEY
     planned = flights.withColumn(key[3], F.col(key[3]).cast("timestamp")).withWatermark(key[3], flight_delay)
@@ -276,7 +277,8 @@ def flights_with_actuals(
     ).withColumn("collected_at", F.col("collected_at").cast("timestamp")).withColumn(
         f"late_{key[3]}", F.col(f"late_{key[3]}").cast("timestamp")
     ).withWatermark("collected_at", actual_delay)
-    same = [F.col(c) == F.col(f"late_{c}") for c in key]
+    same = [F.col(c) == F.col(f"late_{c}") for c in key[:3]]
+    same.append(F.unix_micros(key[3]) == F.unix_micros(f"late_{key[3]}"))
     bound = (F.col("collected_at") >= F.col(key[3])) & (
         F.col("collected_at") <= F.col(key[3]) + F.expr(f"interval {within}")
     )
