@@ -1,4 +1,4 @@
-"""Flights and late records that land hour by hour."""
+"""Flights and late records that land hour by hour; keys that are resolved by hashing."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from aeroledger import catalog_state
+from aeroledger.operators import associate
 from aeroledger.streaming import jobs
 from tests.conftest import rows
 
@@ -47,3 +48,27 @@ def test_hours_land_in_order_with_a_file_each(spark, tmp_path):
     catalog_state._landed_hourly(spark, events, "at", str(tmp_path / "in"))
     files = sorted((f.stat().st_mtime, int(f.parent.name[5:])) for f in (tmp_path / "in").glob("hour=*/*.parquet"))
     assert len(files) == len({t for t, _ in files}) and [h for _, h in files] == sorted(h for _, h in files)
+
+
+def test_keys_are_resolved_without_sorting_the_flights(spark):
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = {key: spark.conf.get(key) for key in (name, "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set(name, "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        external = "concat('{}', id % 40) as {}"
+        flights = spark.range(600).selectExpr(
+            "id", external.format("M", "departure_metar_external_id"), external.format("T", "arrival_taf_external_id"),
+            "if(id % 3 = 0, id, null) as departure_metar_fk", "cast(null as bigint) as arrival_taf_fk",
+        )
+        weather = [spark.range(30).selectExpr(f"concat('{c}', id) as external_id", "id + 1000 as id") for c in "MT"]
+        found = associate.resolve_keys(flights, *weather).select("id", "departure_metar_fk", "arrival_taf_fk")
+        expected = [
+            (i, i if i % 3 == 0 else i % 40 + 1000 if i % 40 < 30 else None, i % 40 + 1000 if i % 40 < 30 else None) for i in range(600)
+        ]
+        assert sorted(map(tuple, found.collect())) == expected
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in plan and "Sort " not in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
